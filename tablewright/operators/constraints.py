@@ -79,7 +79,7 @@ def apply_parent_delete(
         raise ValueError(f"set_default needs a default for each of {fk}")
     gone = _as_fk(deleted, pk, fk).distinct()
     if action == "cascade":
-        return child.join(gone, fk, "left_anti")
+        return child.join(gone, fk, "left_anti").select(*child.columns)
     if action in ("restrict", "no_action"):
         _refuse_if_referenced(child, fk, gone)
         return child

@@ -25,13 +25,13 @@ def semi_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> Dat
     the map side and reaches its reducer as one row per map task.
     """
     keys = _keys(on)
-    return left.join(right.select(*keys).distinct(), keys, "left_semi")
+    return left.join(right.select(*keys).distinct(), keys, "left_semi").select(*left.columns)
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``; NULL keys are kept."""
     keys = _keys(on)
-    return left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return left.join(right.select(*keys).distinct(), keys, "left_anti").select(*left.columns)
 
 
 def outer_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str) -> DataFrame:

@@ -54,8 +54,8 @@ def upsert(
         new = new if unkeyed is None else new.unionByName(unkeyed)
         return target.unionByName(new, allowMissingColumns=True)
     if condition is None and set(keyed.columns) == set(target.columns):
-        # Keys of the batch are unique already: no distinct needed on that side.
-        return target.join(keyed.select(*keys), keys, "left_anti").unionByName(inserts_all)
+        kept = target.join(keyed.select(*keys), keys, "left_anti").select(*target.columns)
+        return kept.unionByName(inserts_all)
 
     updated = _update_matches(target, keyed, keys, values, condition)
     new = _absent(target, keyed, keys)

@@ -243,7 +243,7 @@ def sort_groups(spark, t):
     # Positions are numbered after the aggregation, on one row per priority and status.
     counts = t.orders.groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("total"))
     order = Window.orderBy(F.desc("total"), F.asc("o_orderpriority"), F.asc("o_orderstatus"))
-    return counts.select(F.row_number().over(order).alias("pos"), "*")
+    return counts.select(F.row_number().over(order).cast("bigint").alias("pos"), "*")
 
 
 @query(
@@ -254,7 +254,7 @@ def top_k(spark, t):
     best = t.orders.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10)
     # The window sees the ten rows only.
     order = Window.orderBy(F.desc("o_totalprice"), "o_orderkey")
-    return best.select(F.row_number().over(order).alias("pos"), "o_orderkey", "o_totalprice")
+    return best.select(F.row_number().over(order).cast("bigint").alias("pos"), "o_orderkey", "o_totalprice")
 
 
 # -- sampling --------------------------------------------------------------------
