@@ -1,97 +1,149 @@
 """User-defined aggregates in two phases.
 
 Spark combines its own aggregates on the map side, but gives a Python aggregate
-function all rows of a group at once. ``two_phase_aggregate`` folds rows into
-buffers inside each partition and shuffles the buffers only, so a hot key costs one
-buffer per task. For anything the built-in aggregates can say, use those.
+function all rows of a group at once. ``two_phase_aggregate`` folds rows into one
+buffer per key inside each task and shuffles the buffers only, so a hot key costs a
+buffer per task, and no task ever holds the rows of a group. For anything the
+built-in aggregates can say, use those.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-Buffer = tuple
+# Integers stay integers when some are missing.
+_NULLABLE = {
+    pa.int8(): pd.Int8Dtype(),
+    pa.int16(): pd.Int16Dtype(),
+    pa.int32(): pd.Int32Dtype(),
+    pa.int64(): pd.Int64Dtype(),
+}
 
 
 def two_phase_aggregate(
     df: DataFrame,
     keys: str | Sequence[str],
     *,
-    zero: Callable[[], Buffer],
-    reduce: Callable[[Buffer, pd.DataFrame], Buffer],
-    merge: Callable[[Buffer, Buffer], Buffer],
-    finish: Callable[[Buffer], tuple],
+    zero: Mapping[str, Any],
+    reduce: Callable[[Any], pd.DataFrame],
+    merge: Callable[[Any], pd.DataFrame],
+    finish: Callable[[pd.DataFrame], pd.DataFrame],
     buffer_schema: str | T.StructType,
     output_schema: str | T.StructType,
     max_buffers: int = 100_000,
 ) -> DataFrame:
     """One row per key: the key columns and ``output_schema``.
 
-    ``zero`` gives an empty buffer, a tuple with the fields of ``buffer_schema``.
-    ``reduce`` folds rows of one key (a pandas frame of the non-key columns) into a
-    buffer, ``merge`` combines two, ``finish`` turns the last one into a result
-    tuple. ``merge`` must not depend on order. A task that holds more than
-    ``max_buffers`` keys passes its buffers on and starts again, which bounds its
-    memory and changes no result. Without keys there is one row, also for no input.
+    All steps work on many keys at once. ``reduce`` gets rows as a pandas group-by
+    over the keys and returns a frame with one row per group and the columns of
+    ``buffer_schema``. ``merge`` gets buffers as such a group-by and returns one
+    buffer per group; it must not depend on order. ``finish`` turns a frame of
+    buffers into a frame of results. ``zero`` is the buffer of no rows: without keys
+    there is one result row, also for empty input.
+
+    A task passes its buffers on whenever it holds more than ``max_buffers`` keys,
+    which bounds its memory and changes no result.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     spark = df.sparkSession
+    # One zero, not two: Spark groups -0.0 with 0.0.
+    floats = [k for k in keys if isinstance(df.schema[k].dataType, (T.FloatType, T.DoubleType))]
+    df = df.withColumns({k: F.col(k) + F.lit(0).cast(df.schema[k].dataType) for k in floats})
+
     key_fields = [df.schema[k] for k in keys]
-    buffer_fields = _struct(buffer_schema).fields
-    buffer_names = [f"_buffer_{i}" for i in range(len(buffer_fields))]
-    partial_schema = T.StructType(
-        key_fields + [T.StructField(n, f.dataType) for n, f in zip(buffer_names, buffer_fields)]
-    )
-    result_schema = T.StructType(key_fields + _struct(output_schema).fields)
-    partial_arrow = spark.createDataFrame([], partial_schema).toArrow().schema
-    result_arrow = spark.createDataFrame([], result_schema).toArrow().schema
+    buffer_schema, output_schema = _struct(buffer_schema), _struct(output_schema)
+    partial_schema = T.StructType(key_fields + buffer_schema.fields)
+    result_schema = T.StructType(key_fields + output_schema.fields)
+    buffer_arrow = spark.createDataFrame([], buffer_schema).toArrow().schema
+    output_arrow = spark.createDataFrame([], output_schema).toArrow().schema
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buffers: dict[tuple, Buffer] = {}
+        held: list[pa.Table] = []
         for batch in batches:
-            rows = batch.to_pandas()
-            if keys:
-                key_rows = zip(*[batch.column(k).to_pylist() for k in keys])
-                rows = rows.drop(columns=keys)
-            else:
-                key_rows = [()] * len(rows)
-            positions: dict[tuple, list[int]] = {}
-            for i, key in enumerate(key_rows):
-                positions.setdefault(key, []).append(i)
-            for key, at in positions.items():
-                buffer = buffers[key] if key in buffers else zero()
-                buffers[key] = reduce(buffer, rows if len(at) == len(rows) else rows.take(at))
-            if len(buffers) > max_buffers:
-                yield _batch([(*k, *b) for k, b in buffers.items()], partial_arrow)
-                buffers = {}
-        if buffers:
-            yield _batch([(*k, *b) for k, b in buffers.items()], partial_arrow)
-
-    def combine(
-        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
-    ) -> Iterator[pa.RecordBatch]:
-        buffer = zero()
+            if batch.num_rows:
+                held.append(_per_key(pa.Table.from_batches([batch]), keys, reduce, buffer_arrow))
+            if sum(part.num_rows for part in held) > max_buffers:
+                held = [_per_key(pa.concat_tables(held), keys, merge, buffer_arrow)]
+                if held[0].num_rows > max_buffers // 2:
+                    yield from held[0].to_batches()
+                    held = []
+        if held:
+            yield from _per_key(pa.concat_tables(held), keys, merge, buffer_arrow).to_batches()
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Buffers come sorted by key: all but a batch's last key are complete.
+        last: pa.Table | None = None
         for batch in batches:
-            for part in zip(*[batch.column(n).to_pylist() for n in buffer_names]):
-                buffer = merge(buffer, part)
-        yield _batch([(*[k.as_py() for k in key], *finish(buffer))], result_arrow)
+            if not batch.num_rows:
+                continue
+            part = pa.Table.from_batches([batch])
+            part = part if last is None else pa.concat_tables([last, part])
+            merged = _per_key(part, keys, merge, buffer_arrow)
+            last = merged.slice(merged.num_rows - 1)
+            yield from _finished(merged.slice(0, merged.num_rows - 1), keys, finish, output_arrow)
+        if last is not None:
+            yield from _finished(last, keys, finish, output_arrow)
 
     partials = df.mapInArrow(fold, partial_schema)
-    if not keys:
-        partials = partials.unionByName(spark.createDataFrame([zero()], partial_schema))
-    return partials.groupBy(*keys).applyInArrow(combine, result_schema)
+    if keys:
+        partials = partials.repartition(*keys).sortWithinPartitions(*keys)
+    else:
+        empty = spark.createDataFrame([tuple(zero[f.name] for f in buffer_schema.fields)], buffer_schema)
+        partials = partials.unionByName(empty).repartition(1)
+    return partials.mapInArrow(combine, result_schema)
 
 
 def _struct(schema: str | T.StructType) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(values, type=field.type) for values, field in zip(zip(*rows), schema)], schema=schema
+def _per_key(table: pa.Table, keys: list[str], step, buffer_arrow: pa.Schema) -> pa.Table:
+    """Apply ``reduce`` or ``merge`` once per distinct key, in order of first appearance."""
+    first, codes = _group(table, keys)
+    values = table.drop_columns(keys).to_pandas(types_mapper=_NULLABLE.get)
+    buffers = step(values.groupby(codes, sort=True))
+    kept = table.select(keys).take(first) if keys else table.select([])
+    return _joined(kept, buffers.reindex(range(len(first))), buffer_arrow)
+
+
+def _group(table: pa.Table, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Position of each distinct key's first row, and for each row the number of its key."""
+    codes = np.zeros(table.num_rows, dtype=np.int64)
+    for key in keys:
+        column = table.column(key).combine_chunks()
+        encoded = column.dictionary_encode(null_encoding="encode")
+        codes = codes * max(len(encoded.dictionary), 1) + encoded.indices.to_numpy()
+        codes = np.unique(codes, return_inverse=True)[1]
+    first = np.unique(codes, return_index=True)[1]
+    order = np.argsort(first)
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    return first[order], rank[codes]
+
+
+def _finished(merged: pa.Table, keys, finish, output_arrow: pa.Schema) -> Iterator[pa.RecordBatch]:
+    if merged.num_rows:
+        buffers = merged.drop_columns(keys).to_pandas(types_mapper=_NULLABLE.get)
+        yield from _joined(merged.select(keys), finish(buffers), output_arrow).to_batches()
+
+
+def _joined(keys: pa.Table, values: pd.DataFrame, schema: pa.Schema) -> pa.Table:
+    """Key columns as they came, then the frame's columns in the types of ``schema``."""
+    arrays = [_array(values[field.name], field.type) for field in schema]
+    return pa.Table.from_arrays(
+        [*keys.columns, *arrays], schema=pa.schema([*keys.schema, *schema])
     )
+
+
+def _array(values: pd.Series, dtype: pa.DataType) -> pa.Array:
+    if values.dtype.kind == "f" and isinstance(values.dtype, np.dtype):
+        return pa.array(values.to_numpy(), type=dtype, from_pandas=not pa.types.is_floating(dtype))
+    return pa.Array.from_pandas(values, type=dtype)

@@ -289,48 +289,43 @@ def agg_typed(spark, t):
     )
 
 
-def _cents(rows: pd.DataFrame, column: str) -> int:
-    return int((rows[column] * 100).round().astype("int64").sum())
+def _cents(amount: pd.Series) -> pd.Series:
+    return (amount * 100).round().astype("int64")
 
 
-def _user_mean(df, keys, column):
-    """Mean of an amount in hundredths, as a user aggregate: a (sum, count) buffer."""
+@query("SELECT CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean FROM customer")
+def uda_mean(spark, t):
     return two_phase_aggregate(
-        df,
-        keys,
-        zero=lambda: (0, 0),
-        reduce=lambda b, rows: (b[0] + _cents(rows, column), b[1] + len(rows)),
-        merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),
-        finish=lambda b: ((b[0] / 100) / b[1] if b[1] else None,),
+        t.customer.select("c_acctbal"),
+        [],
+        zero={"total": 0, "n": 0},
+        reduce=lambda rows: pd.DataFrame(
+            {"total": rows["c_acctbal"].agg(lambda v: _cents(v).sum()), "n": rows.size()}
+        ),
+        merge=lambda buffers: buffers.sum(),
+        finish=lambda b: pd.DataFrame({"mean": (b["total"] / 100 / b["n"]).where(b["n"] > 0)}),
         buffer_schema="total bigint, n bigint",
         output_schema="mean double",
     )
 
 
-@query(
-    """SELECT CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean FROM customer"""
-)
-def uda_mean(spark, t):
-    return _user_mean(t.customer.select("c_acctbal"), [], "c_acctbal")
-
-
 @query(
     """SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean,
     count(*) AS n, max(o_totalprice) AS greatest FROM orders GROUP BY o_custkey"""
 )
 def uda_two_phase(spark, t):
-    # The whole contract: a three-part buffer, folded per partition and merged per key.
+    # The whole contract: a three-part buffer, folded per task and merged per key.
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents")
+    orders = t.orders.select("o_custkey", "o_totalprice", cents)
     return two_phase_aggregate(
-        t.orders.select("o_custkey", "o_totalprice"),
+        orders,
         "o_custkey",
-        zero=lambda: (0, 0, float("-inf")),
-        reduce=lambda b, rows: (
-            b[0] + _cents(rows, "o_totalprice"),
-            b[1] + len(rows),
-            max(b[2], float(rows["o_totalprice"].max())),
+        zero={"total": 0, "n": 0, "greatest": float("-inf")},
+        reduce=lambda rows: pd.DataFrame(
+            {"total": rows["cents"].sum(), "n": rows.size(), "greatest": rows["o_totalprice"].max()}
         ),
-        merge=lambda a, b: (a[0] + b[0], a[1] + b[1], max(a[2], b[2])),
-        finish=lambda b: ((b[0] / 100) / b[1], b[1], b[2]),
+        merge=lambda buffers: buffers.agg({"total": "sum", "n": "sum", "greatest": "max"}),
+        finish=lambda b: b.assign(mean=b["total"] / 100 / b["n"]),
         buffer_schema="total bigint, n bigint, greatest double",
         output_schema="mean double, n bigint, greatest double",
     )

@@ -2,7 +2,8 @@
 
 ``spark.tablewright.jdbc.url``, ``.driver``, ``.user`` and ``.password`` name a
 database that all executors reach. Without them a local session uses Derby in the
-memory of its own process, which no other process can see.
+memory of its own process, which no other process can see. Every query copies what
+it read from the database to the scratch folder and drops its tables.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tablewright.plans.registry import query
 from tablewright.sources.jdbc import JdbcDatabase, JdbcTarget
+from tablewright.sources.scratch import scratch_path
 
 SETTINGS = "spark.tablewright.jdbc."
 
@@ -42,6 +44,17 @@ def _name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex[:12]}".upper()
 
 
+def _copied(db, rows, *tables):
+    """The rows read from the database, as a Parquet copy; the tables are dropped."""
+    path = scratch_path(db.spark, "jdbc")
+    try:
+        rows.write.parquet(path)
+    finally:
+        for table in tables:
+            db.drop(table)
+    return db.spark.read.parquet(path)
+
+
 def _accounts(t):
     # Upper-case names are what most databases make of unquoted ones.
     return t.customer.select(
@@ -56,7 +69,7 @@ _TYPES = "NAME VARCHAR(64)"
 def jdbc_roundtrip(spark, t):
     db, name = database(spark), _name("accounts")
     db.save(_accounts(t), name, mode="error", column_types=_TYPES, num_partitions=8)
-    return db.table(name)
+    return _copied(db, db.table(name), name)
 
 
 @query("SELECT c_custkey AS ID, c_acctbal AS BALANCE FROM customer WHERE c_acctbal > 5000")
@@ -64,7 +77,7 @@ def jdbc_query(spark, t):
     db, name = database(spark), _name("accounts")
     db.save(_accounts(t), name, mode="error", column_types=_TYPES)
     large = f'SELECT "ID", "BALANCE" FROM {name} WHERE "BALANCE" > 5000'
-    return db.read(large, partition_column="ID", num_partitions=4)
+    return _copied(db, db.read(large, partition_column="ID", num_partitions=4), name)
 
 
 @query(
@@ -88,7 +101,7 @@ def jdbc_upsert(spark, t):
     db.upsert(
         held.unionByName(new), name, "ID", condition='source."BALANCE" > target."BALANCE"'
     )
-    return db.table(name)
+    return _copied(db, db.table(name), name)
 
 
 @query("SELECT o_orderkey AS ID, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS DAY FROM orders")
@@ -100,4 +113,5 @@ def jdbc_incremental(spark, t):
     db.copy_newer(
         db, source, "DAY", target, "DAY", lambda day: f"""SELECT * FROM {source} WHERE "DAY" > DATE('{day}')"""
     )
-    return db.table(target).select("ID", F.col("DAY").cast("string").alias("DAY"))
+    days = db.table(target).select("ID", F.col("DAY").cast("string").alias("DAY"))
+    return _copied(db, days, source, target)

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pandas as pd
 import pytest
 
 from tablewright import two_phase_aggregate
@@ -9,11 +10,11 @@ def mean(df, keys, **options):
     return two_phase_aggregate(
         df,
         keys,
-        zero=lambda: (0.0, 0),
-        reduce=lambda b, rows: (b[0] + float(rows["v"].sum()), b[1] + len(rows)),
-        merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),
-        finish=lambda b: (b[0] / b[1] if b[1] else None, b[1]),
-        buffer_schema="total double, n bigint",
+        zero={"total": 0, "n": 0},
+        reduce=lambda rows: pd.DataFrame({"total": rows["v"].sum(), "n": rows["v"].count()}),
+        merge=lambda buffers: buffers.sum(),
+        finish=lambda b: b.assign(mean=(b["total"] / b["n"]).where(b["n"] > 0)),
+        buffer_schema="total bigint, n bigint",
         output_schema="mean double, n bigint",
         **options,
     )
@@ -45,3 +46,33 @@ def test_keys_keep_type_and_null(spark):
     df = spark.createDataFrame(rows, "k long, d date, v long").repartition(3)
     got = {(r.k, r.d): r["mean"] for r in mean(df, ["k", "d"]).collect()}
     assert got == {(big, day): 2.0, (None, day): 5.0, (None, None): 7.0}
+
+
+def test_missing_values_and_zeros(spark):
+    df = spark.createDataFrame([(0.0, 2), (-0.0, 4), (float("nan"), 1), (float("nan"), None), (None, 9)], "k double, v long")
+    got = {str(r.k): (r["mean"], r.n) for r in mean(df.repartition(4), "k").collect()}
+    assert got == {"0.0": (3.0, 2), "nan": (1.0, 1), "None": (9.0, 1)}
+
+
+def test_buffers_of_any_type(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "y"), ("a", "z"), ("a", "x")], "k string, v string")
+    got = two_phase_aggregate(
+        df.repartition(3),
+        "k",
+        zero={"seen": []},
+        reduce=lambda rows: rows["v"].agg(lambda v: sorted(set(v))).to_frame("seen"),
+        merge=lambda buffers: buffers["seen"].agg(lambda s: sorted({x for part in s for x in part})).to_frame(),
+        finish=lambda b: pd.DataFrame({"n": b["seen"].map(len)}),
+        buffer_schema="seen array<string>",
+        output_schema="n int",
+    )
+    assert dict(tuple(r) for r in got.collect()) == {"a": 2, "b": 1}
+
+
+def test_hot_key_reaches_the_shuffle_as_buffers(spark):
+    df = spark.range(0, 200_000, 1, 8).selectExpr("CASE WHEN id % 3 > 0 THEN 0 ELSE id % 5 END AS k", "id AS v")
+    got = mean(df, "k")
+    assert got.agg({"n": "sum"}).first()[0] == 200_000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    final, below = plan.split("Exchange", 1)
+    assert "MapInArrow" in final and "MapInArrow" in below
