@@ -9,6 +9,8 @@ shrink it to distinct keys before it is shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,17 +41,24 @@ def outer_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
 
     A plain left join cannot split a hot right side, and a full join can split
     neither. The matched rows come from an inner join, which can split both; the
-    rest come from anti joins against distinct keys. When the preserved side is the
-    big one and the other side has unique keys, a plain left join is cheaper.
+    rest come from anti joins against distinct keys. Those read the inner join's
+    shuffles again, unless a renamed column keeps Spark from seeing that they are the
+    same. Rows with a NULL key are not shuffled. When the preserved side is the big
+    one and the other side has unique keys, a plain left join is cheaper.
     """
     if how not in ("left", "right", "full"):
         raise ValueError(f"how must be left, right or full, not {how!r}")
     keys = _keys(on)
-    result = left.join(right, keys, "inner")
+    has_key = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
+    keyed_left, keyed_right = left.where(has_key), right.where(has_key)
+    result = keyed_left.join(keyed_right, keys, "inner")
+    unmatched = []
     if how in ("left", "full"):
-        result = result.unionByName(_padded(anti_join(left, right, keys), result))
+        unmatched += [anti_join(keyed_left, keyed_right, keys), left.where(~has_key)]
     if how in ("right", "full"):
-        result = result.unionByName(_padded(anti_join(right, left, keys), result))
+        unmatched += [anti_join(keyed_right, keyed_left, keys), right.where(~has_key)]
+    for rows in unmatched:
+        result = result.unionByName(_padded(rows, result))
     return result
 
 

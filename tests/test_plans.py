@@ -69,6 +69,13 @@ def test_hot_key_is_split(hot_settings, big, small):
     assert "skew=true" in final_plan(anti_join(big, small, "k"))
 
 
+def test_outer_join_shuffles_each_side_once(hot_settings, spark):
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    orders = tables.orders.select("o_orderkey", "o_custkey")
+    final = final_plan(outer_join(orders, orders.alias("b").select("o_custkey"), "o_custkey", "full"))
+    assert final.split("== Initial Plan ==")[0].count("ReusedExchange") >= 2
+
+
 def test_hot_foreign_key_is_split(hot_settings, big, small):
     for action in ("cascade", "set_null"):
         assert "skew=true" in final_plan(apply_parent_delete(big, "k", small, "k", action))
