@@ -1,5 +1,9 @@
 """Table work on PySpark: mutation, constraint checks, schema changes, JDBC tables."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from tablewright.functions.columns import capitalize_words, split_columns, struct_to_map
 from tablewright.operators.aggregate import two_phase_aggregate
 from tablewright.operators.constraints import (
@@ -22,6 +26,9 @@ from tablewright.operators.mutate import (
 from tablewright.operators.reuse import cached
 from tablewright.sources.jdbc import JdbcDatabase, JdbcTarget
 
+# Python functions travel with the plan: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = [
     "AddColumn",
     "CastColumn",

@@ -1,0 +1,24 @@
+"""Python functions must reach workers that cannot import this package."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from __spark_entry__ import queries
+for name in ["udf_sql", "uda_mean", "uda_two_phase", "map_partitions", "filter_udf"]:
+    print(name, queries()[name](spark, "/root/testdata/sf0.001").count() > 0)
+"""
+
+
+def test_queries_from_another_folder(tmp_path):
+    root = str(Path(__file__).resolve().parent.parent)
+    done = subprocess.run(
+        [sys.executable, "-c", SCRIPT.format(root=root)],
+        cwd=tmp_path, capture_output=True, text=True, timeout=300,
+    )
+    assert done.stdout.count("True") == 5, done.stderr[-2000:]
