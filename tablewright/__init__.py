@@ -25,6 +25,7 @@ from tablewright.operators.mutate import (
 )
 from tablewright.operators.reuse import cached
 from tablewright.sources.jdbc import JdbcDatabase, JdbcTarget
+from tablewright.sources.partitions import upsert_partitions
 
 # Python functions travel with the plan: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -55,5 +56,6 @@ __all__ = [
     "two_phase_aggregate",
     "unique_violations",
     "upsert",
+    "upsert_partitions",
     "watermark",
 ]

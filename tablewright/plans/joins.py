@@ -155,7 +155,7 @@ def cogroup(spark, t):
         .groupBy(F.col("c_nationkey").alias("nationkey"))
         .agg(
             F.count(F.lit(1)).alias("customers"),
-            F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("balance"),
+            (F.sum(F.rint(F.col("c_acctbal") * 100).cast("bigint")).cast("double") / 100).alias("balance"),
         )
     )
     suppliers = t.supplier.groupBy(F.col("s_nationkey").alias("nationkey")).agg(

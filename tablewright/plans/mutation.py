@@ -20,9 +20,11 @@ from tablewright import (
     primary_key_violations,
     unique_violations,
     upsert,
+    upsert_partitions,
     watermark,
 )
 from tablewright.plans.registry import query
+from tablewright.sources.scratch import scratch_path
 
 # -- upsert ----------------------------------------------------------------------
 
@@ -102,6 +104,22 @@ def upsert_latest_wins(spark, t):
     return upsert(_accounts(t), batch, "c_custkey", order_by="o_orderkey")
 
 
+@query(
+    """SELECT o_orderkey, CASE WHEN year(o_orderdate) = 2001 AND o_orderstatus = 'F' THEN 0 ELSE o_totalprice
+    END AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders"""
+)
+def upsert_partitions_(spark, t):
+    # The batch holds orders of one year: the files of the other years stay.
+    year = F.year("o_orderdate").alias("order_year")
+    path = scratch_path(spark, "by-year")
+    orders = t.orders.select("o_orderkey", "o_totalprice", year)
+    orders.hint("rebalance", "order_year").write.partitionBy("order_year").parquet(path)
+    finished = t.orders.where("o_orderstatus = 'F' AND year(o_orderdate) = 2001")
+    batch = finished.select("o_orderkey", F.lit(0.0).alias("o_totalprice"), year)
+    upsert_partitions(path, batch, ["order_year", "o_orderkey"], "order_year")
+    return spark.read.parquet(path)
+
+
 @query(
     """SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority FROM orders
     WHERE o_orderpriority <> '1-URGENT'"""

@@ -3,6 +3,7 @@ import time
 
 import pytest
 from pyspark import StorageLevel
+from pyspark.sql import functions as F
 
 from tablewright import cached
 from tablewright.operators.reuse import session_setting
@@ -99,3 +100,28 @@ def test_buckets_spare_the_shuffle(spark):
         for name in names:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
     assert not spark.catalog.tableExists(names[0])
+
+
+def test_actions(spark, capsys):
+    df = spark.range(5).selectExpr("id", "id * 2 AS x")
+    assert (df.count(), df.first().x, len(df.take(2)), len(df.collect())) == (5, 0, 2, 5)
+    df.orderBy("id").show(2)
+    df.printSchema()
+    out = capsys.readouterr().out
+    assert "|  1|  2|" in out and "|-- x: long" in out
+
+
+def test_declared_types(spark):
+    ddl = "a array<string>, m map<string,struct<city:string,n:int>>, b binary, d date"
+    df = spark.createDataFrame([(["x", None], {"k": ("Rome", 1)}, bytearray(b"z"), None)], ddl)
+    assert df.selectExpr("a[0]", "m['k'].city", "length(b)", "d").first()[:] == ("x", "Rome", 1, None)
+
+
+def test_partition_numbers(spark):
+    def count(batches):
+        for rows in batches:
+            yield rows.groupby("part", as_index=False).size()
+
+    df = spark.range(0, 40, 1, 4).select(F.spark_partition_id().alias("part"))
+    got = df.mapInPandas(count, "part int, size long").collect()
+    assert sorted(tuple(r) for r in got) == [(i, 10) for i in range(4)]
