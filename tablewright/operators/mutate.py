@@ -39,6 +39,9 @@ def upsert(
     A key that occurs more than once in the batch is an error unless ``order_by``
     says which row wins: the one with the greatest value. NULL keys match nothing,
     as under a SQL unique constraint, so such rows are always inserted.
+
+    The plan reads ``source`` several times: write it out first if it is costly or
+    may differ between two runs.
     """
     if action not in ACTIONS:
         raise ValueError(f"action must be one of {ACTIONS}, not {action!r}")
@@ -48,19 +51,16 @@ def upsert(
     keyed, unkeyed = split_batch(target, source, keys, order_by)
 
     values = [c for c in keyed.columns if c not in keys]
-    inserts_all = keyed if unkeyed is None else keyed.unionByName(unkeyed)
-    if action == "nothing" or not values:
-        new = _absent(target, keyed, keys)
-        new = new if unkeyed is None else new.unionByName(unkeyed)
-        return target.unionByName(new, allowMissingColumns=True)
-    if condition is None and set(keyed.columns) == set(target.columns):
-        kept = target.join(keyed.select(*keys), keys, "left_anti").select(*target.columns)
-        return kept.unionByName(inserts_all)
+    replaces = action == "update" and bool(values)
 
-    updated = _update_matches(target, keyed, keys, values, condition)
-    new = _absent(target, keyed, keys)
-    new = new if unkeyed is None else new.unionByName(unkeyed)
-    return updated.unionByName(new, allowMissingColumns=True)
+    def with_unkeyed(rows: DataFrame) -> DataFrame:
+        return rows if unkeyed is None else rows.unionByName(unkeyed)
+
+    if replaces and condition is None and set(keyed.columns) == set(target.columns):
+        kept = target.join(keyed.select(*keys), keys, "left_anti").select(*target.columns)
+        return kept.unionByName(with_unkeyed(keyed))
+    held = _update_matches(target, keyed, keys, values, condition) if replaces else target
+    return held.unionByName(with_unkeyed(_absent(target, keyed, keys)), allowMissingColumns=True)
 
 
 def resolve_names(df: DataFrame, names: Sequence[str]) -> list[str]:
