@@ -32,20 +32,22 @@ def _rows(columns, rows):
     return sorted(columns), sorted(plain, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
-def test_query(spark, tables, name):
-    df = queries()[name](spark, FOLDER)
+def compare(df, connection, sql):
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
     assert got[1], "a query that finds nothing shows nothing"
-    sql = oracle_sql().get(name)
     if sql is None:
         return
-    result = tables.execute(sql)
+    result = connection.execute(sql)
     want = _rows([c[0] for c in result.description], result.fetchall())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
 
 
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query(spark, tables, name):
+    compare(queries()[name](spark, FOLDER), tables, oracle_sql().get(name))
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0

@@ -1,0 +1,70 @@
+"""The same queries on tables where one key holds a third of all rows, with splits forced."""
+
+import os
+import shutil
+from contextlib import ExitStack
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import oracle_sql, queries
+from tablewright.operators.reuse import session_setting
+from test_catalogue import compare
+
+FROM = "/root/testdata/sf0.01"
+HOT = 7
+NAMES = [
+    "segment_priority_report", "agg_having", "agg_multi", "distinct_keys", "group_collect", "unpivot",
+    "uda_two_phase", "join_inner", "join_left", "join_right", "join_full", "join_semi", "join_anti",
+    "join_cross", "join_using", "join_mixed_keys", "cogroup", "union_distinct", "intersect", "sort_mixed",
+    "upsert_update", "upsert_nothing", "upsert_conditional", "upsert_latest_wins", "incremental_append",
+    "check_unique", "check_primary_key", "check_foreign_key", "fk_cascade", "fk_set_null", "fk_set_default",
+    "fk_update_cascade", "sink_bucketed",
+]
+COLUMNS = {
+    "orders": ["o_custkey"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey"],
+    "events": ["user_id"],
+    "customer": ["c_nationkey"],
+    "supplier": ["s_nationkey"],
+}
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("hot"))
+    connection = duckdb.connect()
+    for file in os.listdir(FROM):
+        name, source, path = file.removesuffix(".parquet"), f"{FROM}/{file}", f"{folder}/{file}"
+        if name in COLUMNS:
+            df = spark.read.parquet(source)
+            third = F.pmod(F.xxhash64(*df.columns), F.lit(3)) == 0
+            changes = {c: F.when(third, HOT).otherwise(F.col(c)).cast(df.schema[c].dataType) for c in COLUMNS[name]}
+            df.withColumns(changes).repartition(8).write.parquet(path)
+            source = f"{path}/*.parquet"
+        else:
+            shutil.copy(source, path)
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{source}'")
+    return folder, connection
+
+
+@pytest.fixture(scope="module", autouse=True)
+def splitting(spark):
+    with ExitStack() as stack:
+        for key, value in {
+            "spark.sql.shuffle.partitions": "16",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        }.items():
+            stack.enter_context(session_setting(spark, key, value))
+        yield
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query(spark, hot, name):
+    folder, connection = hot
+    compare(queries()[name](spark, folder), connection, oracle_sql()[name])
