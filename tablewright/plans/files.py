@@ -181,7 +181,10 @@ def sink_text_gzip(spark, t):
 )
 def src_inline(spark, t):
     labels = spark.createDataFrame([("F", "finished"), ("O", "open")], "code string, label string")
-    return t.orders.join(labels, F.col("o_orderstatus") == F.col("code")).select("o_orderkey", "label")
+    # Two literal rows, but Spark does not know the size of rows from Python: without the hint it
+    # would shuffle the orders by a column of three values.
+    matching = F.col("o_orderstatus") == F.col("code")
+    return t.orders.join(F.broadcast(labels), matching).select("o_orderkey", "label")
 
 
 @query(
