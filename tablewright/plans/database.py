@@ -111,7 +111,13 @@ def jdbc_incremental(spark, t):
     db.save(orders, source, mode="error")
     db.save(orders.where("DAY < DATE '2000-01-01'"), target, mode="error")
     db.copy_newer(
-        db, source, "DAY", target, "DAY", lambda day: f"""SELECT * FROM {source} WHERE "DAY" > DATE('{day}')"""
+        db,
+        source,
+        "DAY",
+        target,
+        "DAY",
+        lambda day: f"""SELECT * FROM {source} WHERE "DAY" > DATE('{day}')""",
+        keys="ID",
     )
     days = db.table(target).select("ID", F.col("DAY").cast("string").alias("DAY"))
     return _copied(db, days, source, target)

@@ -114,7 +114,8 @@ def upsert_partitions_(spark, t):
     path = scratch_path(spark, "by-year")
     orders = t.orders.select("o_orderkey", "o_totalprice", year)
     orders.hint("rebalance", "order_year").write.partitionBy("order_year").parquet(path)
-    finished = t.orders.where("o_orderstatus = 'F' AND year(o_orderdate) = 2001")
+    recent = "o_orderdate >= DATE '2001-01-01' AND o_orderdate < DATE '2002-01-01'"
+    finished = t.orders.where(f"o_orderstatus = 'F' AND {recent}")
     batch = finished.select("o_orderkey", F.lit(0.0).alias("o_totalprice"), year)
     upsert_partitions(path, batch, ["order_year", "o_orderkey"], "order_year")
     return spark.read.parquet(path)
