@@ -113,6 +113,15 @@ def src_json(spark, t):
     return spark.read.schema(rows.schema).json(path)
 
 
+@query("SELECT event_id, user_id, event_type AS kind, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_inferred(spark, t):
+    # Nested JSON held in a text column: Spark finds the schema in one pass over the strings.
+    path = scratch_path(spark, "json-strings")
+    detail = F.struct(F.col("event_type").alias("kind"), F.from_json("props", "k bigint").alias("props"))
+    t.events.select(F.to_json(F.struct("event_id", "user_id", detail.alias("detail")))).write.text(path)
+    return spark.read.json(path).select("event_id", "user_id", "detail.kind", "detail.props.k")
+
+
 @query("SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
 def src_csv(spark, t):
     path = scratch_path(spark, "csv")

@@ -98,10 +98,11 @@ def join_sql_comma(spark, t):
 
 @query("SELECT s_suppkey, n_name FROM supplier s INNER JOIN nation n ON s.s_nationkey = n.n_nationkey")
 def join_sql_inner(spark, t):
+    t.supplier.createOrReplaceTempView("tablewright_supplier")
+    t.nation.createOrReplaceTempView("tablewright_nation")
     return spark.sql(
-        "SELECT s_suppkey, n_name FROM {s} s INNER JOIN {n} n ON s.s_nationkey = n.n_nationkey",
-        s=t.supplier,
-        n=t.nation,
+        """SELECT s_suppkey, n_name FROM tablewright_supplier s
+        INNER JOIN tablewright_nation n ON s.s_nationkey = n.n_nationkey"""
     )
 
 
