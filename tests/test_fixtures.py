@@ -196,3 +196,101 @@ def test_range_aggregates(spark):
     df = spark.range(20).selectExpr("id % 3 AS key", "id")
     got = df.groupBy("key").agg(F.sum("id"), F.count("id"), F.avg("id"), F.min("id"), F.max("id"))
     assert ordered(got) == [(0, 63, 7, 9.0, 0, 18), (1, 70, 7, 10.0, 1, 19), (2, 57, 6, 9.5, 2, 17)]
+
+
+@pytest.fixture(scope="module")
+def speakers(spark):
+    return spark.createDataFrame(
+        [(("James", "", "Smith"), ["Java", "Scala", "C++"], "OH", "M"),
+         (("Anna", "Rose", ""), ["Spark", "Java", "C++"], "NY", "F"),
+         (("Julia", "", "Williams"), ["CSharp", "VB"], "OH", "F"),
+         (("Maria", "Anne", "Jones"), ["CSharp", "VB"], "NY", "M"),
+         (("Jen", "Mary", "Brown"), ["CSharp", "VB"], "NY", "M"),
+         (("Mike", "Mary", "Williams"), ["Python", "VB"], "OH", "M")],
+        "name struct<firstname:string,middlename:string,lastname:string>, languages array<string>, state string, gender string",
+    )
+
+
+def test_filters(speakers):
+    spellings = [
+        speakers["state"] == "OH", speakers.state == "OH", F.col("state") == "OH", F.expr("state = 'OH'"),
+    ]
+    assert {speakers.filter(c).count() for c in spellings} == {speakers.where("state == 'OH'").count()} == {3}
+    assert speakers.where("gender = 'M'").count() == 4
+    assert speakers.where((F.col("state") == "OH") & (F.col("gender") == "M")).count() == 2
+    assert speakers.where(F.array_contains("languages", "Java")).count() == 2
+    assert speakers.where(F.col("name.lastname") == "Williams").count() == 2
+
+
+def test_maps(spark):
+    df = spark.createDataFrame(
+        [("James", [("Newark", "NY"), ("Brooklyn", "NY")], {"hair": "black", "eye": "brown"}, {"height": "5.9"}),
+         ("Michael", [("SanJose", "CA")], {"hair": "brown", "eye": "black"}, {"height": "6"}),
+         ("Robert", [("LasVegas", "NV")], {"hair": "red", "eye": "gray"}, {"height": "6.3"}),
+         ("Maria", None, {"hair": "blond", "eye": "red"}, {"height": "5.6"}),
+         ("Jen", [("LAX", "CA")], {"white": "black", "eye": "black"}, {"height": "5.2"})],
+        "name string, addresses array<struct<city:string,state:string>>, properties map<string,string>, second map<string,string>",
+    )
+    keys = dict(rows(df.select("name", F.sort_array(F.map_keys("properties")))))
+    assert keys["James"] == ["eye", "hair"] and keys["Jen"] == ["eye", "white"]
+    values = dict(rows(df.select("name", F.sort_array(F.map_values("properties")))))
+    assert values["Robert"] == ["gray", "red"] and values["Jen"] == ["black", "black"]
+    both = dict(rows(df.select("name", F.map_concat("properties", "second"))))
+    assert both["Maria"] == {"hair": "blond", "eye": "red", "height": "5.6"}
+    assert df.select("name", F.explode("addresses")).count() == 5
+
+
+def test_column_changes(spark):
+    df = spark.createDataFrame(
+        [(("James;", "", "Smith"), "36636", "M", "3000"), (("Michael", "Rose", ""), "40288", "M", "4000"),
+         (("Jen", "Mary", "Brown"), "", "F", "-1")],
+        "name struct<firstname:string,middlename:string,lastname:string>, dob string, gender string, salary string",
+    )
+    pay = F.col("salary").try_cast("int")
+    got = df.withColumns({"country": F.lit("USA"), "copied": pay * -1}).withColumn("salary", pay * 100)
+    assert [tuple(r)[3:] for r in got.collect()] == [(300000, "USA", -3000), (400000, "USA", -4000), (-100, "USA", 1)]
+    assert df.withColumnRenamed("gender", "sex").drop("dob", "nothing").columns == ["name", "sex", "salary"]
+
+
+def test_row_map(spark):
+    df = spark.createDataFrame(
+        [("James", "", "Smith", "36636", "NewYork", 3100), ("Michael", "Rose", "", "40288", "California", 4300),
+         ("Maria", "Anne", "Jones", "39192", "Florida", 5500)],
+        "firstname string, middlename string, lastname string, id string, location string, salary int",
+    )
+    full = F.concat_ws(",", "firstname", "middlename", "lastname").alias("fullName")
+    assert [r[0] for r in rows(df.select(full, "id", "salary"))] == ["James,,Smith", "Michael,Rose,", "Maria,Anne,Jones"]
+
+
+def test_records_and_salaries(spark):
+    records = spark.range(1, 101).selectExpr("CAST(id AS int) AS key", "'val_' || id AS value")
+    assert spark.sql("SELECT COUNT(*) FROM {r}", r=records).first()[0] == 100
+    assert spark.sql("SELECT key, value FROM {r} WHERE key < 10", r=records).count() == 9
+    assert rows(records.where("key = 1").orderBy("value").select("value")) == [("val_1",)]
+    pay = spark.createDataFrame(
+        [("Michael", 3000), ("Andy", 4500), ("Justin", 3500), ("Berta", 4000)], "name string, salary bigint"
+    )
+    assert pay.where(F.col("name").isin("Andy", "Justin")).count() == 2
+    assert pay.where(F.col("salary") >= 4000).count() == 2
+    assert pay.agg(F.avg("salary")).first()[0] == 3750.0
+
+
+def test_quotes(spark):
+    quotes = [
+        "Be the change that you wish to see in the world",
+        "Everyone thinks of changing the world, but no one thinks of changing himself.",
+        "The purpose of our lives is to be happy.",
+    ]
+    df = spark.createDataFrame([(q,) for q in quotes], "quote string")
+    spark.udf.register("capitalize_words", capitalize_words_udf)
+    got = [r[0] for r in spark.sql("SELECT capitalize_words(quote) FROM {df}", df=df).collect()]
+    assert got == [r[0] for r in rows(df.select(capitalize_words("quote")))]
+    assert got[0] == "Be The Change That You Wish To See In The World"
+    assert got[2] == "The Purpose Of Our Lives Is To Be Happy."
+
+
+def test_json_strings(spark, tmp_path):
+    text = '{"name":"Yin","address":{"city":"Columbus","state":"Ohio"}}'
+    strings = spark.createDataFrame([(text,)], "value string")
+    parsed = strings.select(F.from_json("value", F.schema_of_json(F.lit(text))).alias("p")).select("p.*")
+    assert rows(parsed.select("name", "address.city", "address.state")) == [("Yin", "Columbus", "Ohio")]
