@@ -62,8 +62,9 @@ def two_phase_aggregate(
     buffer_schema, output_schema = _struct(buffer_schema), _struct(output_schema)
     partial_schema = T.StructType(key_fields + buffer_schema.fields)
     result_schema = T.StructType(key_fields + output_schema.fields)
-    buffer_arrow = spark.createDataFrame([], buffer_schema).toArrow().schema
-    output_arrow = spark.createDataFrame([], output_schema).toArrow().schema
+    # LIMIT 0 is answered without a task.
+    buffer_arrow = spark.createDataFrame([], buffer_schema).limit(0).toArrow().schema
+    output_arrow = spark.createDataFrame([], output_schema).limit(0).toArrow().schema
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -96,8 +97,9 @@ def two_phase_aggregate(
     if keys:
         partials = partials.repartition(*keys).sortWithinPartitions(*keys)
     else:
-        empty = spark.createDataFrame([tuple(zero[f.name] for f in buffer_schema.fields)], buffer_schema)
-        partials = partials.unionByName(empty).repartition(1)
+        nothing = tuple(zero[f.name] for f in buffer_schema.fields)
+        no_rows = spark.createDataFrame([nothing], buffer_schema).coalesce(1)
+        partials = partials.unionByName(no_rows).repartition(1)
     return partials.mapInArrow(combine, result_schema)
 
 
