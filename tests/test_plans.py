@@ -118,10 +118,12 @@ def test_scans_are_pruned_and_filters_pushed(spark):
     assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double,o_orderpriority:string>" in text
 
 
-@pytest.mark.parametrize("name", sorted(CATALOGUE))
+# The others write when called, and what they return is a plain scan.
+LAZY = [n for n in sorted(CATALOGUE) if not n.startswith(("jdbc", "src_", "sink_", "cache"))]
+
+
+@pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_and_no_python_rows(spark, name):
-    if name.startswith(("jdbc", "src_", "sink_", "cache")):
-        pytest.skip("writes when called; its read is a plain scan")
     text = plan(CATALOGUE[name](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "RDDScan"):
         assert operator not in text
