@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.functions.names import col
+
 
 def split_columns(df: DataFrame, splits: Mapping[str, tuple[str, Sequence[str]]]) -> DataFrame:
     """Replace text columns by the parts between a separator.
@@ -20,10 +22,10 @@ def split_columns(df: DataFrame, splits: Mapping[str, tuple[str, Sequence[str]]]
     out: list[Column] = []
     for name in df.columns:
         if name not in splits:
-            out.append(F.col(f"`{name}`"))
+            out.append(col(name))
             continue
         separator, parts = splits[name]
-        pieces = F.split(F.col(f"`{name}`"), re.escape(separator))
+        pieces = F.split(col(name), re.escape(separator))
         out += [F.get(pieces, F.lit(i)).alias(part) for i, part in enumerate(parts)]
     return df.select(*out)
 
@@ -36,7 +38,7 @@ def struct_to_map(df: DataFrame, column: str, into: str) -> DataFrame:
     entries = [
         part
         for f in dtype.fields
-        for part in (F.lit(f.name), F.col(f"`{column}`").getField(f.name).cast("string"))
+        for part in (F.lit(f.name), col(column).getField(f.name).cast("string"))
     ]
     return df.withColumn(into, F.create_map(*entries)).drop(column)
 

@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.functions.names import cols
+from tablewright.operators.mutate import resolve_names
+
 # Integers stay integers when some are missing.
 _NULLABLE = {
     pa.int8(): pd.Int8Dtype(),
@@ -52,32 +55,38 @@ def two_phase_aggregate(
     A task passes its buffers on whenever it holds more than ``max_buffers`` keys,
     which bounds its memory and changes no result.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    keys = resolve_names(df, [keys] if isinstance(keys, str) else keys)
+    values = [c for c in df.columns if c not in keys]
     spark = df.sparkSession
-    # One zero, not two: Spark groups -0.0 with 0.0.
-    floats = [k for k in keys if isinstance(df.schema[k].dataType, (T.FloatType, T.DoubleType))]
-    df = df.withColumns({k: F.col(k) + F.lit(0).cast(df.schema[k].dataType) for k in floats})
-
-    key_fields = [df.schema[k] for k in keys]
     buffer_schema, output_schema = _struct(buffer_schema), _struct(output_schema)
-    partial_schema = T.StructType(key_fields + buffer_schema.fields)
-    result_schema = T.StructType(key_fields + output_schema.fields)
     # LIMIT 0 is answered without a task.
     buffer_arrow = spark.createDataFrame([], buffer_schema).limit(0).toArrow().schema
     output_arrow = spark.createDataFrame([], output_schema).limit(0).toArrow().schema
+    buffers, results = buffer_schema.names, output_schema.names
+
+    # Between the steps columns go by number: any names may be used, also the same ones twice.
+    key_ids = [f"key_{i}" for i in range(len(keys))]
+    value_ids = [f"value_{i}" for i in range(len(values))]
+    buffer_ids = [f"buffer_{i}" for i in range(len(buffers))]
+    result_ids = [f"result_{i}" for i in range(len(results))]
+    key_fields = [T.StructField(i, df.schema[k].dataType) for i, k in zip(key_ids, keys)]
+    partial_schema = _schema(key_fields, buffer_ids, buffer_schema)
+    result_schema = _schema(key_fields, result_ids, output_schema)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         for batch in batches:
             if batch.num_rows:
-                held.append(_per_key(pa.Table.from_batches([batch]), keys, reduce, buffer_arrow))
+                rows = pa.Table.from_batches([batch]).rename_columns(key_ids + values)
+                held.append(_per_key(rows, key_ids, reduce, buffer_arrow))
             if sum(part.num_rows for part in held) > max_buffers:
-                held = [_per_key(pa.concat_tables(held), keys, merge, buffer_arrow)]
+                held = [_per_key(pa.concat_tables(held), key_ids, merge, buffer_arrow)]
                 if held[0].num_rows > max_buffers // 2:
-                    yield from held[0].to_batches()
+                    yield from held[0].rename_columns(key_ids + buffer_ids).to_batches()
                     held = []
         if held:
-            yield from _per_key(pa.concat_tables(held), keys, merge, buffer_arrow).to_batches()
+            part = _per_key(pa.concat_tables(held), key_ids, merge, buffer_arrow)
+            yield from part.rename_columns(key_ids + buffer_ids).to_batches()
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Buffers come sorted by key: all but a batch's last key are complete.
@@ -85,22 +94,36 @@ def two_phase_aggregate(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = pa.Table.from_batches([batch])
+            part = pa.Table.from_batches([batch]).rename_columns(key_ids + buffers)
             part = part if last is None else pa.concat_tables([last, part])
-            merged = _per_key(part, keys, merge, buffer_arrow)
+            merged = _per_key(part, key_ids, merge, buffer_arrow)
             last = merged.slice(merged.num_rows - 1)
-            yield from _finished(merged.slice(0, merged.num_rows - 1), keys, finish, output_arrow)
+            yield from result(merged.slice(0, merged.num_rows - 1))
         if last is not None:
-            yield from _finished(last, keys, finish, output_arrow)
+            yield from result(last)
+
+    def result(merged: pa.Table) -> Iterator[pa.RecordBatch]:
+        if merged.num_rows:
+            frame = finish(merged.drop_columns(key_ids).to_pandas(types_mapper=_NULLABLE.get))
+            rows = _joined(merged.select(key_ids), frame, output_arrow)
+            yield from rows.rename_columns(key_ids + result_ids).to_batches()
 
-    partials = df.mapInArrow(fold, partial_schema)
+    numbered = df.select(cols(keys + values)).toDF(*key_ids, *value_ids)
+    # One zero, not two: Spark groups -0.0 with 0.0.
+    floats = [f for f in key_fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    numbered = numbered.withColumns({f.name: F.col(f.name) + F.lit(0).cast(f.dataType) for f in floats})
+    partials = numbered.mapInArrow(fold, partial_schema)
     if keys:
-        partials = partials.repartition(*keys).sortWithinPartitions(*keys)
+        partials = partials.repartition(*key_ids).sortWithinPartitions(*key_ids)
     else:
-        nothing = tuple(zero[f.name] for f in buffer_schema.fields)
-        no_rows = spark.createDataFrame([nothing], buffer_schema).coalesce(1)
+        nothing = tuple(zero[name] for name in buffers)
+        no_rows = spark.createDataFrame([nothing], partial_schema).coalesce(1)
         partials = partials.unionByName(no_rows).repartition(1)
-    return partials.mapInArrow(combine, result_schema)
+    return partials.mapInArrow(combine, result_schema).toDF(*keys, *results)
+
+
+def _schema(key_fields: list[T.StructField], ids: list[str], schema: T.StructType) -> T.StructType:
+    return T.StructType(key_fields + [T.StructField(i, f.dataType) for i, f in zip(ids, schema.fields)])
 
 
 def _struct(schema: str | T.StructType) -> T.StructType:
@@ -131,12 +154,6 @@ def _group(table: pa.Table, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return first[order], rank[codes]
 
 
-def _finished(merged: pa.Table, keys, finish, output_arrow: pa.Schema) -> Iterator[pa.RecordBatch]:
-    if merged.num_rows:
-        buffers = merged.drop_columns(keys).to_pandas(types_mapper=_NULLABLE.get)
-        yield from _joined(merged.select(keys), finish(buffers), output_arrow).to_batches()
-
-
 def _joined(keys: pa.Table, values: pd.DataFrame, schema: pa.Schema) -> pa.Table:
     """Key columns as they came, then the frame's columns in the types of ``schema``."""
     arrays = [_array(values[field.name], field.type) for field in schema]

@@ -14,6 +14,8 @@ from operator import and_, or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.functions.names import col, cols
+
 ON_DELETE = ("cascade", "set_null", "set_default", "restrict", "no_action")
 
 
@@ -21,26 +23,26 @@ def _list(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _any_null(cols):
-    return reduce(or_, [F.col(c).isNull() for c in cols])
+def _any_null(names):
+    return reduce(or_, [c.isNull() for c in cols(names)])
 
 
-def _no_null(cols):
-    return reduce(and_, [F.col(c).isNotNull() for c in cols])
+def _no_null(names):
+    return reduce(and_, [c.isNotNull() for c in cols(names)])
 
 
-def unique_violations(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
+def unique_violations(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with ``n_rows``. Keys with a NULL never conflict."""
-    cols = _list(cols)
-    counts = df.where(_no_null(cols)).groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows"))
+    keys = _list(keys)
+    counts = df.where(_no_null(keys)).groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("n_rows"))
     return counts.where("n_rows > 1")
 
 
-def primary_key_violations(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
+def primary_key_violations(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Keys that occur more than once or hold a NULL, with ``n_rows`` and ``reason``."""
-    cols = _list(cols)
-    counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows"))
-    null_key = _any_null(cols)
+    keys = _list(keys)
+    counts = df.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("n_rows"))
+    null_key = _any_null(keys)
     return counts.where(null_key | (F.col("n_rows") > 1)).withColumn(
         "reason", F.when(null_key, F.lit("null")).otherwise(F.lit("duplicate"))
     )
@@ -51,12 +53,12 @@ def foreign_key_orphans(
 ) -> DataFrame:
     """Foreign keys of ``child`` that ``parent`` lacks, with ``n_rows``. A NULL in the key passes."""
     fk, pk = _list(fk), _list(pk)
-    used = child.where(_no_null(fk)).groupBy(*fk).agg(F.count(F.lit(1)).alias("n_rows"))
+    used = child.where(_no_null(fk)).groupBy(*cols(fk)).agg(F.count(F.lit(1)).alias("n_rows"))
     return used.join(_as_fk(parent, pk, fk), fk, "left_anti")
 
 
 def _as_fk(keys: DataFrame, pk: list[str], fk: list[str]) -> DataFrame:
-    return keys.select(*[F.col(p).alias(f) for p, f in zip(pk, fk, strict=True)])
+    return keys.select(*[col(p).alias(f) for p, f in zip(pk, fk, strict=True)])
 
 
 def apply_parent_delete(
@@ -79,7 +81,7 @@ def apply_parent_delete(
         raise ValueError(f"set_default needs a default for each of {fk}")
     gone = _as_fk(deleted, pk, fk).distinct()
     if action == "cascade":
-        return child.join(gone, fk, "left_anti").select(*child.columns)
+        return child.join(gone, fk, "left_anti").select(cols(child.columns))
     if action in ("restrict", "no_action"):
         _refuse_if_referenced(child, fk, gone)
         return child
@@ -88,10 +90,10 @@ def apply_parent_delete(
     values = default if action == "set_default" else dict.fromkeys(fk)
     types = {f.name: f.dataType for f in child.schema.fields}
     changes = {
-        c: F.when(F.col("_gone"), F.lit(values[c]).cast(types[c])).otherwise(F.col(c)) for c in fk
+        c: F.when(F.col("_gone"), F.lit(values[c]).cast(types[c])).otherwise(col(c)) for c in fk
     }
     joined = child.join(gone.withColumn("_gone", F.lit(True)), fk, "left")
-    return joined.withColumns(changes).select(*child.columns)
+    return joined.withColumns(changes).select(cols(child.columns))
 
 
 def apply_parent_update(
@@ -110,23 +112,23 @@ def apply_parent_update(
     """
     if action not in ON_DELETE:
         raise ValueError(f"action must be one of {ON_DELETE}, not {action!r}")
-    moved = changes.where(~F.col(old).eqNullSafe(F.col(new)))
+    moved = changes.where(~col(old).eqNullSafe(col(new)))
     if action != "cascade":
         return apply_parent_delete(child, fk, moved, old, action, {fk: default})
     dtype = child.schema[fk].dataType
     mapping = (
-        moved.groupBy(F.col(old).alias(fk))
-        .agg(F.min(new).alias("_new"), F.max(new).alias("_other"))
+        moved.groupBy(col(old).alias(fk))
+        .agg(F.min(col(new)).alias("_new"), F.max(col(new)).alias("_other"))
         .where(F.assert_true(F.col("_new") == F.col("_other"), F.lit("ambiguous key change")).isNull())
-        .select(fk, F.col("_new").cast(dtype).alias("_new"))
+        .select(col(fk), F.col("_new").cast(dtype).alias("_new"))
     )
     return (
         child.join(mapping, fk, "left")
-        .withColumn(fk, F.coalesce("_new", fk))
-        .select(*child.columns)
+        .withColumn(fk, F.coalesce("_new", col(fk)))
+        .select(cols(child.columns))
     )
 
 
 def _refuse_if_referenced(child, fk, gone):
-    if not child.select(*fk).join(gone, fk, "left_semi").isEmpty():
+    if not child.select(cols(fk)).join(gone, fk, "left_semi").isEmpty():
         raise ValueError(f"child rows still refer to a changed parent by {fk}")

@@ -9,6 +9,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.functions.names import col
+
 
 @dataclass(frozen=True)
 class AddColumn:
@@ -41,7 +43,7 @@ Change = AddColumn | DropColumn | RenameColumn | CastColumn
 
 def evolve_schema(df: DataFrame, changes: Iterable[Change]) -> DataFrame:
     """Apply the changes in order, as one projection over ``df``."""
-    columns = {c: F.col(f"`{c}`") for c in df.columns}
+    columns = {c: col(c) for c in df.columns}
     for change in changes:
         if isinstance(change, AddColumn):
             if change.name in columns:

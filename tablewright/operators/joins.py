@@ -15,6 +15,8 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.functions.names import col, cols
+
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -27,13 +29,13 @@ def semi_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> Dat
     the map side and reaches its reducer as one row per map task.
     """
     keys = _keys(on)
-    return left.join(right.select(*keys).distinct(), keys, "left_semi").select(*left.columns)
+    return left.join(right.select(cols(keys)).distinct(), keys, "left_semi").select(cols(left.columns))
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``; NULL keys are kept."""
     keys = _keys(on)
-    return left.join(right.select(*keys).distinct(), keys, "left_anti").select(*left.columns)
+    return left.join(right.select(cols(keys)).distinct(), keys, "left_anti").select(cols(left.columns))
 
 
 def outer_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str) -> DataFrame:
@@ -49,7 +51,7 @@ def outer_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     if how not in ("left", "right", "full"):
         raise ValueError(f"how must be left, right or full, not {how!r}")
     keys = _keys(on)
-    has_key = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
+    has_key = reduce(and_, [col(k).isNotNull() for k in keys])
     keyed_left, keyed_right = left.where(has_key), right.where(has_key)
     result = keyed_left.join(keyed_right, keys, "inner")
     unmatched = []
@@ -66,7 +68,7 @@ def _padded(df: DataFrame, like: DataFrame) -> DataFrame:
     present = set(df.columns)
     return df.select(
         *[
-            F.col(f"`{f.name}`") if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
+            col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
             for f in like.schema.fields
         ]
     )

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.functions.names import col, cols
 from tablewright.operators.joins import anti_join
 
 ACTIONS = ("update", "nothing")
@@ -57,7 +58,7 @@ def upsert(
         return rows if unkeyed is None else rows.unionByName(unkeyed)
 
     if replaces and condition is None and set(keyed.columns) == set(target.columns):
-        kept = target.join(keyed.select(*keys), keys, "left_anti").select(*target.columns)
+        kept = target.join(keyed.select(cols(keys)), keys, "left_anti").select(cols(target.columns))
         return kept.unionByName(with_unkeyed(keyed))
     held = _update_matches(target, keyed, keys, values, condition) if replaces else target
     return held.unionByName(with_unkeyed(_absent(target, keyed, keys)), allowMissingColumns=True)
@@ -87,13 +88,13 @@ def split_batch(target, source, keys, order_by):
     order = _order_columns(source, order_by)
     types = {f.name: f.dataType for f in target.schema.fields}
     batch = source.select(
-        *[F.col(f"`{s}`").cast(types[n]).alias(n) for s, n in zip(picked, names)],
+        *[col(s).cast(types[n]).alias(n) for s, n in zip(picked, names)],
         *[o.alias(f"_order_{i}") for i, o in enumerate(order)],
     )
     ordering = [c for c in batch.columns if c not in names]
 
     nullable = any(batch.schema[k].nullable for k in keys)
-    has_key = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
+    has_key = reduce(and_, [col(k).isNotNull() for k in keys])
     keyed = batch.where(has_key) if nullable else batch
     unkeyed = batch.where(~has_key).drop(*ordering) if nullable else None
     return _one_row_per_key(keyed, keys, names, ordering), unkeyed
@@ -110,20 +111,20 @@ def _order_columns(source, order_by) -> list[Column]:
     if order_by is None:
         return []
     items = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
-    return [F.col(f"`{resolve_names(source, [o])[0]}`") if isinstance(o, str) else o for o in items]
+    return [col(resolve_names(source, [o])[0]) if isinstance(o, str) else o for o in items]
 
 
 def _one_row_per_key(batch, keys, names, ordering):
     """One row per key by partial aggregation, so a hot key is combined before the shuffle."""
     values = [n for n in names if n not in keys]
-    row = F.struct(*values) if values else F.struct(F.lit(0).alias("_"))
+    row = F.struct(cols(values)) if values else F.struct(F.lit(0).alias("_"))
     if ordering:
         # Equal order values fall through to the row itself: the winner is the same on every run.
         rest = [v for v in values if not _has_map(batch.schema[v].dataType)]
-        picked = batch.groupBy(*keys).agg(F.max_by(row, F.struct(*ordering, *rest)).alias("_row"))
+        picked = batch.groupBy(*cols(keys)).agg(F.max_by(row, F.struct(cols(ordering + rest))).alias("_row"))
     else:
         picked = (
-            batch.groupBy(*keys)
+            batch.groupBy(*cols(keys))
             .agg(F.first(row).alias("_row"), F.count(F.lit(1)).alias("_n"))
             .where(
                 F.assert_true(
@@ -131,7 +132,7 @@ def _one_row_per_key(batch, keys, names, ordering):
                 ).isNull()
             )
         )
-    return picked.select(*[F.col(n) if n in keys else F.col(f"_row.`{n}`").alias(n) for n in names])
+    return picked.select(*[col(n) if n in keys else col(n, of="_row").alias(n) for n in names])
 
 
 def _has_map(dtype: T.DataType) -> bool:
@@ -150,22 +151,22 @@ def _absent(target, keyed, keys):
     The target's keys are first cut to those the batch holds. With a small batch
     that is a broadcast filter, and the target is never shuffled.
     """
-    held = target.select(*keys).join(keyed.select(*keys), keys, "left_semi")
-    return keyed.join(held, keys, "left_anti")
+    held = target.select(cols(keys)).join(keyed.select(cols(keys)), keys, "left_semi")
+    return keyed.join(held, keys, "left_anti").select(cols(keyed.columns))
 
 
 def _update_matches(target, keyed, keys, values, condition):
     marked = keyed.withColumn("_matched", F.lit(True))
     t, s = target.alias("target"), marked.alias("source")
-    on = [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in keys]
+    on = [col(k, of="target") == col(k, of="source") for k in keys]
     take = F.col("source._matched")
     if condition is not None:
         take = take & (F.expr(condition) if isinstance(condition, str) else condition)
     return t.join(s, on, "left").select(
         *[
-            F.when(take, F.col(f"source.`{c}`")).otherwise(F.col(f"target.`{c}`")).alias(c)
+            F.when(take, col(c, of="source")).otherwise(col(c, of="target")).alias(c)
             if c in values
-            else F.col(f"target.`{c}`")
+            else col(c, of="target")
             for c in target.columns
         ]
     )
@@ -195,14 +196,15 @@ def incremental_rows(
         raise ValueError(f"on_empty must be skip or full, not {on_empty!r}")
     if inclusive and keys is None:
         raise ValueError("inclusive needs keys")
-    mark = target.agg(F.max(column)).scalar()
-    newer = F.col(column) >= mark if inclusive else F.col(column) > mark
+    value = col(column)
+    mark = target.agg(F.max(value)).scalar()
+    newer = value >= mark if inclusive else value > mark
     if on_empty == "full":
         newer = newer | mark.isNull()
     rows = source.where(newer)
     if inclusive:
         # Only target rows at the maximum can meet a source row from there on.
-        at_mark = target.where(F.col(column) >= target.agg(F.max(column)).scalar())
+        at_mark = target.where(value >= target.agg(F.max(value)).scalar())
         rows = anti_join(rows, at_mark, keys)
     return rows
 
@@ -214,12 +216,12 @@ def incremental_append(source: DataFrame, target: DataFrame, column: str, **opti
 
 def watermark(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """One row: the target's maximum if the source is past it, else NULL."""
-    newest = source.agg(F.max(column)).scalar()
-    return target.agg(F.max(column).alias("held")).select(
+    newest = source.agg(F.max(col(column))).scalar()
+    return target.agg(F.max(col(column)).alias("held")).select(
         F.when(newest > F.col("held"), F.col("held")).alias("update_from")
     )
 
 
 def latest_snapshot(df: DataFrame, column: str) -> DataFrame:
     """Rows that hold the greatest value of ``column``."""
-    return df.where(F.col(column) == df.agg(F.max(column)).scalar())
+    return df.where(col(column) == df.agg(F.max(col(column))).scalar())

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.functions.names import col, cols
 from tablewright.operators.mutate import resolve_names, upsert
 
 
@@ -34,10 +35,10 @@ def upsert_partitions(
         raise ValueError(f"the partition columns {partition_by} must be among the keys {keys}")
     own = resolve_names(batch, partition_by)
     types = {f.name: f.dataType for f in target.schema.fields}
-    tag = _tag([F.col(f"`{o}`").cast(types[p]) for o, p in zip(own, partition_by)])
+    tag = _tag([col(o).cast(types[p]) for o, p in zip(own, partition_by)])
     # One value per touched partition: no more than the driver lists for any write.
     touched = [row[0] for row in batch.select(tag.alias("tag")).distinct().collect()]
-    current = target.where(_tag([F.col(f"`{p}`") for p in partition_by]).isin(touched))
+    current = target.where(_tag(cols(partition_by)).isin(touched))
     content = upsert(current, batch, keys, **options)
     # Even file sizes, and not a file per task and partition.
     (

@@ -76,3 +76,18 @@ def test_hot_key_reaches_the_shuffle_as_buffers(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     final, below = plan.split("Exchange", 1)
     assert "MapInArrow" in final and "MapInArrow" in below
+
+
+def test_same_name_for_key_and_buffer(spark):
+    df = spark.range(10).selectExpr("id % 2 AS n", "id AS v")
+    got = two_phase_aggregate(
+        df,
+        "n",
+        zero={"n": 0},
+        reduce=lambda rows: pd.DataFrame({"n": rows.size()}),
+        merge=lambda buffers: buffers.sum(),
+        finish=lambda b: pd.DataFrame({"rows": b["n"]}),
+        buffer_schema="n bigint",
+        output_schema="rows bigint",
+    )
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 5), (1, 5)]
