@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from tablewright.llm import bpe, decontaminate, token_files
 from tablewright.llm import quality_rules as quality
 from tablewright.llm.registry import CORPUS, corpus_query
+from tablewright.sources.scratch import scratch_path
 
 __all__ = ["CORPUS"]
 
@@ -49,3 +53,20 @@ _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 )
 def op6_quality_rules(spark, t):
     return quality.quality_rules(t.documents)
+
+
+@corpus_query("op8_bpe_round_trip")
+def op8_bpe_round_trip(spark, t):
+    return bpe.round_trip(t.documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@corpus_query("op9_token_files")
+def op9_token_files(spark, t):
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(t.documents, path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_tokens(spark, path, digest=True)
+
+
+@corpus_query("op10_benchmark_decontamination")
+def op10_benchmark_decontamination(spark, t):
+    return decontaminate.report(decontaminate.find_passages(t.documents, t.benchmark))

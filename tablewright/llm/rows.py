@@ -1,4 +1,4 @@
-"""Shared small parts: documents as (id, text) rows and functions over Arrow batches."""
+"""Shared small parts: documents as (id, text) rows, functions over Arrow batches, a bounded cache."""
 
 from __future__ import annotations
 
@@ -30,18 +30,41 @@ def shown(df: DataFrame) -> DataFrame:
 def map_batches(df: DataFrame, start: Callable[[], Callable], schema: str) -> DataFrame:
     """Run over Arrow batches: ``start()`` once per task gives a function of the columns as lists.
 
-    That function returns the output columns as lists (or None for no rows).
-    Binary and string columns both arrive as Python values.
+    That function returns the output columns as lists, or None for no rows. ``start`` may also
+    return a pair; its second function, without arguments, gives the rows that are left at the end.
     """
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = start()
+        def batch_of(made):
+            arrays = [pa.array(c, type=f.type) for c, f in zip(made, out, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, schema=out)
+
+        started = start()
+        step, finish = started if isinstance(started, tuple) else (started, None)
         for batch in batches:
             made = step(*(c.to_pylist() for c in batch.columns))
             if made is not None:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=f.type) for c, f in zip(made, out, strict=True)], schema=out
-                )
+                yield batch_of(made)
+        if finish and (made := finish()) is not None:
+            yield batch_of(made)
 
     return df.mapInArrow(run, schema)
+
+
+class Recent(dict):
+    """A cache that makes what it lacks and holds about ``2 * size`` entries: this and the last generation."""
+
+    def __init__(self, make: Callable, size: int = 250_000):
+        super().__init__()
+        self.make, self.size, self.last = make, size, {}
+
+    def __missing__(self, key):
+        value = self.last.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.last = dict(self)
+            self.clear()
+        self[key] = value
+        return value
