@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tablewright.llm import bpe, decontaminate, token_files
+from pyspark.sql import functions as F
+
+from tablewright.llm import bpe, decontaminate, license_scan, line_dedup, token_counts, token_files, url_filters
 from tablewright.llm import quality_rules as quality
 from tablewright.llm.registry import CORPUS, corpus_query
 from tablewright.sources.scratch import scratch_path
 
 __all__ = ["CORPUS"]
 
+_FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 
 
@@ -67,6 +70,132 @@ def op9_token_files(spark, t):
     return token_files.read_tokens(spark, path, digest=True)
 
 
-@corpus_query("op10_benchmark_decontamination")
+_WINDOW = "w, " + ", ".join(f"lead(w, {k}) OVER o" for k in range(1, 10))
+
+
+@corpus_query(
+    "op10_benchmark_decontamination",
+    rf"""
+    WITH d AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents
+    ), b AS (
+        SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM benchmark
+    ), patterns AS (
+        SELECT DISTINCT item, n, array_to_string(list_slice(words, pos, pos + n - 1), ' ') AS gram
+        FROM (SELECT item, words, least(10, len(words)) AS n, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS pos
+              FROM b WHERE len(words) > 0)
+    ), rows_of_words AS (
+        SELECT doc_id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS pos FROM d
+    ), tens AS (
+        SELECT doc_id, pos, 10 AS n, CASE WHEN lead(w, 9) OVER o IS NOT NULL THEN concat_ws(' ', {_WINDOW}) END AS gram
+        FROM rows_of_words WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
+    ), shorter AS (
+        SELECT doc_id, pos, n, array_to_string(list_slice(words, pos, pos + n - 1), ' ') AS gram
+        FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS pos
+              FROM d, (SELECT DISTINCT n FROM patterns WHERE n < 10) WHERE len(words) >= n)
+    ), found AS (
+        SELECT doc_id, pos, n, item FROM (SELECT * FROM tens UNION ALL SELECT * FROM shorter) JOIN patterns USING (n, gram)
+    ), hit AS (
+        SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS word FROM found) GROUP BY doc_id
+    ), items AS (
+        SELECT doc_id, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM found GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+)
 def op10_benchmark_decontamination(spark, t):
     return decontaminate.report(decontaminate.find_passages(t.documents, t.benchmark))
+
+
+@corpus_query(
+    "op1_line_dedup",
+    rf"""
+    WITH lines AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+        FROM documents
+    ), keyed AS (
+        SELECT *, regexp_replace(translate(line, {_FOLD}), '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS k FROM lines
+    ), shared AS (
+        SELECT k, max(doc_id) AS top FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (top <> doc_id) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (top IS NULL OR top = doc_id), '')) AS kept_sha256
+    FROM keyed LEFT JOIN shared USING (k) GROUP BY doc_id
+    """,
+)
+def op1_line_dedup(spark, t):
+    kept = line_dedup.dedupe_lines(t.documents)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@corpus_query("op3_token_counts")
+def op3_token_counts(spark, t):
+    """Every document gets three edits: a cut at a third, words put in at the middle, a new end."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    state = token_counts.count_tokens(t.documents, tokenizer)
+    n = F.length("text")
+    edit = lambda start, stop, new: F.struct(
+        F.floor(start).cast("long").alias("start"), F.floor(stop).cast("long").alias("stop"), F.lit(new).alias("new")
+    )
+    edits = F.array(edit(n / 3, n / 3 + 20, ""), edit(n / 2, n / 2, " a few new words"), edit(n - 5, n, ". The end"))
+    before = state.select("*", edits.alias("edits"), F.struct("n_pieces", "n_tokens").alias("before"))
+    after = token_counts.apply_edits(before, tokenizer, carry=("before",))
+    return after.select(
+        "doc_id", F.col("before.n_tokens").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_after"),
+        F.col("before.n_pieces").alias("n_pieces"), F.col("n_encoded").alias("n_pieces_encoded"),
+    )
+
+
+@corpus_query(
+    "op5_url_filters",
+    """
+    WITH c AS (
+        SELECT page_id, nullif(rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '.'), '') AS host,
+               DATE '2024-01-01' + CAST(page_id % 500 AS INTEGER) AS fetched_on
+        FROM pages
+    ), domains AS (
+        SELECT DISTINCT regexp_replace(host, '^[^.]+\.((?:[^.]+\.){2,}[^.]+)$', '\1') AS domain FROM c WHERE host IS NOT NULL
+    ), d AS (
+        SELECT domain, CAST('0x' || substr(md5(domain), 1, 2) AS INTEGER) AS a, CAST('0x' || substr(md5(domain), 3, 2) AS INTEGER) AS b,
+               CAST('0x' || substr(md5(domain), 5, 2) AS INTEGER) AS e, CAST('0x' || substr(md5(domain), 7, 2) AS INTEGER) AS f,
+               CAST('0x' || substr(md5(domain), 9, 2) AS INTEGER) AS g, CAST('0x' || substr(md5(domain), 11, 2) AS INTEGER) AS h
+        FROM domains
+    ), entries AS (
+        SELECT 'spam' AS list, domain, DATE '2024-01-01' + a AS listed_on, 'add' AS action FROM d WHERE g < 128
+        UNION ALL SELECT 'spam', domain, DATE '2024-01-01' + (a + b), 'remove' FROM d WHERE g < 64
+        UNION ALL SELECT 'spam', domain, DATE '2024-01-01' + (a + b + e), 'add' FROM d WHERE g < 32
+        UNION ALL SELECT 'adult', domain, DATE '2024-01-01' + f, 'add' FROM d WHERE h < 64
+    ), one AS (
+        SELECT list, domain, listed_on, max(action) AS action FROM entries GROUP BY ALL
+    ), newest AS (
+        SELECT c.page_id, one.list, arg_max(one.action, one.listed_on) AS action
+        FROM c JOIN one ON (c.host = one.domain OR ends_with(c.host, '.' || one.domain)) AND one.listed_on <= c.fetched_on
+        GROUP BY c.page_id, one.list, one.domain
+    ), hits AS (
+        SELECT page_id, string_agg(DISTINCT list, ',' ORDER BY list) AS lists FROM newest WHERE action = 'add' GROUP BY page_id
+    )
+    SELECT c.page_id, c.host, CAST(c.fetched_on AS VARCHAR) AS fetched_on, coalesce(hits.lists, '') AS lists, hits.lists IS NOT NULL AS blocked
+    FROM c LEFT JOIN hits USING (page_id)
+    """,
+)
+def op5_url_filters(spark, t):
+    fetched = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 500).cast("int"))
+    captures = t.pages.select("page_id", "url", fetched.alias("fetched_on"))
+    judged = url_filters.judge_captures(captures, url_filters.entries_from_pages(t.pages))
+    return judged.select("page_id", "host", F.col("fetched_on").cast("string").alias("fetched_on"), F.array_join("lists", ",").alias("lists"), "blocked")
+
+
+@corpus_query("op7_license_scan")
+def op7_license_scan(spark, t):
+    found = license_scan.license_scan(t.documents)
+    names = F.array_sort(F.array_distinct(F.transform("licenses", lambda x: x.license)))
+    return found.select(
+        "doc_id", "n_blocks", F.size("licenses").cast("long").alias("n_confirmed"),
+        F.array_join(names, ",").alias("licenses"),
+        F.aggregate("licenses", F.lit(0).cast("long"), lambda n, x: n + x.n_differing).alias("n_differing"),
+    )
