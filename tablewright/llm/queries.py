@@ -6,7 +6,16 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, decontaminate, license_scan, line_dedup, token_counts, token_files, url_filters
+from tablewright.llm import (
+    bpe,
+    decontaminate,
+    license_scan,
+    line_dedup,
+    substring_dedup,
+    token_counts,
+    token_files,
+    url_filters,
+)
 from tablewright.llm import quality_rules as quality
 from tablewright.llm.registry import CORPUS, corpus_query
 from tablewright.sources.scratch import scratch_path
@@ -153,7 +162,7 @@ def op3_token_counts(spark, t):
 
 @corpus_query(
     "op5_url_filters",
-    """
+    r"""
     WITH c AS (
         SELECT page_id, nullif(rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '.'), '') AS host,
                DATE '2024-01-01' + CAST(page_id % 500 AS INTEGER) AS fetched_on
@@ -199,3 +208,31 @@ def op7_license_scan(spark, t):
         F.array_join(names, ",").alias("licenses"),
         F.aggregate("licenses", F.lit(0).cast("long"), lambda n, x: n + x.n_differing).alias("n_differing"),
     )
+
+
+@corpus_query(
+    "op2_substring_dedup",
+    r"""
+    WITH d AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+    ), w AS (
+        SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM d
+    ), windows AS (
+        SELECT doc_id, pos, CASE WHEN count(*) OVER o = 20 THEN string_agg(word, ' ') OVER o END AS gram
+        FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+    ), firsts AS (
+        SELECT gram, min((doc_id, pos)) AS first FROM windows WHERE gram IS NOT NULL GROUP BY gram HAVING count(*) > 1
+    ), gone AS (
+        SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos
+        FROM windows JOIN firsts USING (gram) WHERE (doc_id, pos) > first
+    ), kept AS (
+        SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.pos) FILTER (gone.pos IS NULL) AS text, count(gone.pos) AS n_removed
+        FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.pos = w.pos GROUP BY w.doc_id
+    )
+    SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id)
+    """,
+)
+def op2_substring_dedup(spark, t):
+    return substring_dedup.digest_of(substring_dedup.remove_repeats(t.documents))

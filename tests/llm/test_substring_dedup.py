@@ -1,0 +1,81 @@
+import random
+import re
+
+from tablewright.llm.substring_dedup import SuffixAutomaton, remove_repeats
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(rows, size=20):
+    low = lambda i: -(2**63) if i is None else i
+    first = {}
+    for i, text in rows:
+        words = WORD.findall(text or "")
+        for s in range(len(words) - size + 1):
+            w = tuple(words[s : s + size])
+            first[w] = min(first.get(w, (low(i), s)), (low(i), s))
+    out = []
+    for i, text in rows:
+        words = WORD.findall(text or "")
+        gone = set()
+        for s in range(len(words) - size + 1):
+            if first[tuple(words[s : s + size])] < (low(i), s):
+                gone.update(range(s, s + size))
+        out.append((i, " ".join(w for k, w in enumerate(words) if k not in gone), len(words), len(gone)))
+    return out
+
+
+def order(r):
+    return (r[0] is not None, r[0] or 0, r[1:])
+
+
+def made(seed):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)] + ["é", "the", "the"]
+    say = lambda n: rng.choices(vocabulary, k=n)
+    passages = [say(rng.choice([19, 20, 21, 35, 80])) for _ in range(6)]
+    rows = []
+    for i in range(50):
+        words = say(rng.randint(0, 40))
+        for _ in range(rng.randint(0, 3)):
+            p = rng.choice(passages)
+            cut = rng.randint(0, 5)
+            words += p[cut : len(p) - rng.randint(0, 5)] + say(rng.randint(0, 25))
+        rows.append((i, rng.choice([" ", "\n", "\t "]).join(words)))
+    hot = " ".join(say(30))
+    rows += [(100 + i, f"{i} " + hot + f" end {i}") for i in range(60)]
+    rows += [(200 + i, rows[5 + i][1]) for i in range(5)]
+    rows += [(300, "x " * 500), (301, "a b c " * 300), (302, None), (303, ""), (304, " \n"), (None, hot), (7, rows[7][1]), (8, hot)]
+    return rows + [(400, " ".join(say(20000)))]
+
+
+def test_against_brute_force(spark):
+    for seed in range(2):
+        rows = made(seed)
+        docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, context string")
+        got = sorted(map(tuple, remove_repeats(docs).collect()), key=order)
+        want = sorted(brute(rows), key=order)
+        assert got == want
+    assert remove_repeats(docs.limit(0)).count() == 0
+    few = docs.filter("doc_id < 60")
+    got = sorted(map(tuple, remove_repeats(few, size=9).collect()), key=order)
+    assert got == sorted(brute([tuple(r)[:2] for r in few.collect()], 9), key=order)
+
+
+def test_matching_statistics():
+    rng = random.Random(1)
+    for _ in range(100):
+        automaton, before = SuffixAutomaton(), []
+        for _ in range(5):
+            words = rng.choices("abc", k=rng.randint(0, 15))
+            expected = []
+            for end in range(1, len(words) + 1):
+                n = 0
+                while n < end and any(
+                    words[end - n - 1 : end] == b[i : i + n + 1] for b in before for i in range(len(b) - n)
+                ):
+                    n += 1
+                expected.append(n)
+            assert automaton.statistics(words) == expected
+            automaton.take_up(words)
+            before.append(words)
