@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tablewright.llm.rows import documents, map_batches, shown
 from tablewright.sources.scratch import scratch_path
 
+#: A-Z to lower case.
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: ASCII letters to lower case, every other ASCII character that is no digit to a blank.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 

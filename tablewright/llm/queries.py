@@ -11,6 +11,7 @@ from tablewright.llm import (
     decontaminate,
     license_scan,
     line_dedup,
+    ngram_join,
     substring_dedup,
     token_counts,
     token_files,
@@ -236,3 +237,8 @@ def op7_license_scan(spark, t):
 )
 def op2_substring_dedup(spark, t):
     return substring_dedup.digest_of(substring_dedup.remove_repeats(t.documents))
+
+
+@corpus_query("op4_ngram_jaccard_join")
+def op4_ngram_jaccard_join(spark, t):
+    return ngram_join.jaccard_groups(t.documents, words=4, percent=85).select("doc_id", "n_shingles", "component_id")
