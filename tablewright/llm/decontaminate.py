@@ -10,10 +10,11 @@ import hashlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.rows import documents, map_batches, shown
+from tablewright.llm.rows import documents, free_name, map_batches, shown
 from tablewright.sources.scratch import scratch_path
 
 #: A-Z to lower case.
@@ -179,25 +180,23 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, **options) -> DataF
 
     Marks each row in one pass without a shuffle; see ``find_passages`` for the options.
     """
-    carried = docs.withColumn("text_of_row", docs[options.get("text_col", "text")].cast("string"))
+    name = free_name(docs, "text_of_row")
+    kept = docs.withColumn(name, docs[options.get("text_col", "text")].cast("string"))
     size, most = options.get("size", 10), options.get("block_bytes", 8 << 20)
-    blocks = item_blocks(benchmark, options.get("item_col", "item_id"), options.get("item_text_col", "text"), most)
-    kept = carried
-    for block in blocks:
+    for block in item_blocks(benchmark, options.get("item_col", "item_id"), options.get("item_text_col", "text"), most):
         kept = _drop(kept, block, size)
-    return kept.drop("text_of_row")
+    return kept.drop(name)
 
 
 def _drop(docs: DataFrame, block: list, size: int) -> DataFrame:
+    """Without the rows whose last column holds a window of the block."""
     shared = docs.sparkSession.sparkContext.broadcast(block)
-    at = docs.columns.index("text_of_row")
 
     def run(batches):
-        import pyarrow as pa
-
         engines = matchers(shared.value, size)
         for batch in batches:
-            words = map(words_of, batch.column(at).to_pylist())
-            yield batch.filter(pa.array([not any(any(e.find(w)) for e in engines) for w in words], pa.bool_()))
+            words = map(words_of, batch.column(batch.num_columns - 1).to_pylist())
+            clean = [not any(any(True for _ in e.find(w)) for e in engines) for w in words]
+            yield batch.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

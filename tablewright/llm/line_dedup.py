@@ -14,11 +14,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.rows import documents, map_batches, shown
+from tablewright.llm.rows import NO_ID, documents, free_name, map_batches, shown
 from tablewright.sources.scratch import scratch_path
 
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -279,17 +280,8 @@ class LineIndex:
 
         def start():
             def step(ids, texts, dropped):
-                kept, n_lines, n_dropped = [], [], []
-                for text, drop in zip(texts, dropped, strict=True):
-                    lines = (text or "").split("\n")
-                    stay = lines
-                    if drop:
-                        drop = set(drop)
-                        stay = [l for l in lines if line_key(l.encode().lower(), min_chars) not in drop]
-                    kept.append("\n".join(stay))
-                    n_lines.append(len(lines))
-                    n_dropped.append(len(lines) - len(stay))
-                return ids, kept, n_lines, n_dropped
+                made = [kept_lines(t, d, min_chars) for t, d in zip(texts, dropped, strict=True)]
+                return ids, *([m[k] for m in made] for k in range(3))
 
             return step
 
@@ -297,9 +289,41 @@ class LineIndex:
         return shown(map_batches(joined, start, "doc_id long, text string, n_lines long, n_dropped long"))
 
 
+def kept_lines(text: str | None, dropped: list[bytes] | None, min_chars: int) -> tuple[str, int, int]:
+    """What stays of a text without the lines of some keys, the number of its lines, and of those dropped."""
+    lines = (text or "").split("\n")
+    if not dropped:
+        return text or "", len(lines), 0
+    gone = set(dropped)
+    stay = [line for line in lines if line_key(line.encode().lower(), min_chars) not in gone]
+    return "\n".join(stay), len(lines), len(lines) - len(stay)
+
+
 def dedupe_lines(docs: DataFrame, *, min_docs: int = 3, min_chars: int = 20, **columns) -> DataFrame:
     """Line dedup of one table against itself: all its documents into a new index, then ``LineIndex.dedupe``."""
     index = LineIndex(docs.sparkSession, min_docs=min_docs, min_chars=min_chars)
     keys = index.keys_of(docs, **columns)
     index.insert(keys)
     return index.dedupe(docs, keys, **columns)
+
+
+def clean_lines(docs: DataFrame, *, min_docs: int = 3, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text"):
+    """The table with all its columns and rows, where each text is what line dedup leaves of it."""
+    index = LineIndex(docs.sparkSession, min_docs=min_docs, min_chars=min_chars)
+    keys = index.keys_of(docs, id_col=id_col, text_col=text_col)
+    index.insert(keys)
+    key, name, owner = docs[id_col].cast("long"), free_name(docs, "dropped_keys"), free_name(docs, "dropped_from")
+    drops = index.drops(keys).select(F.col("doc_id").alias(owner), F.col("dropped_keys").alias(name))
+    joined = docs.join(drops, F.coalesce(key, F.lit(NO_ID)) == drops[owner], "left").select(
+        *(docs[f"`{c}`"] for c in docs.columns), drops[name]
+    )
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            rows = zip(batch.column(place).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True)
+            texts = pa.array([kept_lines(t, d, min_chars)[0] for t, d in rows], pa.string())
+            columns = [texts if k == place else c for k, c in enumerate(batch.columns[:-1])]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    return joined.mapInArrow(run, docs.schema)

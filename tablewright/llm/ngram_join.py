@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.connected import connected_components
 from tablewright.llm.decontaminate import LOWER
 from tablewright.llm.hashes import by_range, ranges_for, run_hashes, word_hashes
-from tablewright.llm.rows import documents, map_batches
+from tablewright.llm.rows import documents, free_name, map_batches
 from tablewright.sources.scratch import scratch_path
 
 
@@ -306,3 +306,14 @@ def jaccard_groups(
     return members.join(of_class, "class", "left").select(
         "doc_id", "class", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The table, with all its columns, without documents that belong to a group with a smaller id.
+
+    Rows of one id are one document: it goes if one of its rows belongs to such a group.
+    """
+    groups = jaccard_groups(docs, id_col=id_col, text_col=text_col, **options)
+    name = free_name(docs, "repeated_id")
+    losers = groups.filter("component_id < doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(losers, docs[id_col].cast("long") == losers[name], "left_anti")

@@ -27,6 +27,14 @@ def shown(df: DataFrame) -> DataFrame:
     return df.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column has it in any spelling."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_batches(df: DataFrame, start: Callable[[], Callable], schema: str) -> DataFrame:
     """Run over Arrow batches: ``start()`` once per task gives a function of the columns as lists.
 
