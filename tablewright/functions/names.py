@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,3 +19,27 @@ def col(name: str, of: str | None = None) -> Column:
 
 def cols(names: Iterable[str]) -> list[Column]:
     return [col(n) for n in names]
+
+
+def same_name(df: DataFrame):
+    """A function that maps spellings which ``spark.sql.caseSensitive`` takes for one name to one text."""
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    return (lambda name: name) if sensitive else str.lower
+
+
+def resolve_names(df: DataFrame, names: Sequence[str]) -> list[str]:
+    """The spelling ``df`` uses for ``names``, matched by ``spark.sql.caseSensitive``."""
+    norm = same_name(df)
+    known = {norm(c): c for c in df.columns}
+    missing = [n for n in names if norm(n) not in known]
+    if missing:
+        raise ValueError(f"no such column: {missing}; have {df.columns}")
+    return [known[norm(n)] for n in names]
+
+
+def free_name(taken: Iterable[str], name: str) -> str:
+    """The name, lengthened by underscores until it meets none of those taken, in any spelling."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.names import cols
-from tablewright.operators.mutate import resolve_names
+from tablewright.functions.names import cols, resolve_names
 
 # Integers stay integers when some are missing.
 _NULLABLE = {

@@ -14,7 +14,7 @@ from operator import and_, or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.names import col, cols
+from tablewright.functions.names import col, cols, free_name, resolve_names
 
 ON_DELETE = ("cascade", "set_null", "set_default", "restrict", "no_action")
 
@@ -32,19 +32,24 @@ def _no_null(names):
 
 
 def unique_violations(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with ``n_rows``. Keys with a NULL never conflict."""
-    keys = _list(keys)
-    counts = df.where(_no_null(keys)).groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.where("n_rows > 1")
+    """Keys that occur more than once, with ``n_rows``. Keys with a NULL never conflict.
+
+    The count's name gets underscores if a key has it.
+    """
+    keys = resolve_names(df, _list(keys))
+    n_rows = free_name(keys, "n_rows")
+    counts = df.where(_no_null(keys)).groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias(n_rows))
+    return counts.where(col(n_rows) > 1)
 
 
 def primary_key_violations(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Keys that occur more than once or hold a NULL, with ``n_rows`` and ``reason``."""
-    keys = _list(keys)
-    counts = df.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Keys that occur more than once or hold a NULL, with ``n_rows`` and ``reason``, named as above."""
+    keys = resolve_names(df, _list(keys))
+    n_rows = free_name(keys, "n_rows")
+    counts = df.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias(n_rows))
     null_key = _any_null(keys)
-    return counts.where(null_key | (F.col("n_rows") > 1)).withColumn(
-        "reason", F.when(null_key, F.lit("null")).otherwise(F.lit("duplicate"))
+    return counts.where(null_key | (col(n_rows) > 1)).withColumn(
+        free_name(keys, "reason"), F.when(null_key, F.lit("null")).otherwise(F.lit("duplicate"))
     )
 
 
@@ -52,8 +57,9 @@ def foreign_key_orphans(
     child: DataFrame, fk: str | Sequence[str], parent: DataFrame, pk: str | Sequence[str]
 ) -> DataFrame:
     """Foreign keys of ``child`` that ``parent`` lacks, with ``n_rows``. A NULL in the key passes."""
-    fk, pk = _list(fk), _list(pk)
-    used = child.where(_no_null(fk)).groupBy(*cols(fk)).agg(F.count(F.lit(1)).alias("n_rows"))
+    fk, pk = resolve_names(child, _list(fk)), resolve_names(parent, _list(pk))
+    n_rows = free_name(fk, "n_rows")
+    used = child.where(_no_null(fk)).groupBy(*cols(fk)).agg(F.count(F.lit(1)).alias(n_rows))
     return used.join(_as_fk(parent, pk, fk), fk, "left_anti")
 
 
@@ -76,8 +82,9 @@ def apply_parent_delete(
     """
     if action not in ON_DELETE:
         raise ValueError(f"action must be one of {ON_DELETE}, not {action!r}")
-    fk, pk = _list(fk), _list(pk)
-    if action == "set_default" and set(default or {}) != set(fk):
+    fk, pk = resolve_names(child, _list(fk)), resolve_names(deleted, _list(pk))
+    given = dict(zip(resolve_names(child, list(default or {})), (default or {}).values()))
+    if action == "set_default" and set(given) != set(fk):
         raise ValueError(f"set_default needs a default for each of {fk}")
     gone = _as_fk(deleted, pk, fk).distinct()
     if action == "cascade":
@@ -87,12 +94,13 @@ def apply_parent_delete(
         return child
     # Distinct keys on the right, the big side on the left: one row in, one row out,
     # and adaptive execution may split a hot foreign key.
-    values = default if action == "set_default" else dict.fromkeys(fk)
+    values = given if action == "set_default" else dict.fromkeys(fk)
+    flag = free_name(child.columns, "_gone")
     types = {f.name: f.dataType for f in child.schema.fields}
     changes = {
-        c: F.when(F.col("_gone"), F.lit(values[c]).cast(types[c])).otherwise(col(c)) for c in fk
+        c: F.when(col(flag), F.lit(values[c]).cast(types[c])).otherwise(col(c)) for c in fk
     }
-    joined = child.join(gone.withColumn("_gone", F.lit(True)), fk, "left")
+    joined = child.join(gone.withColumn(flag, F.lit(True)), fk, "left")
     return joined.withColumns(changes).select(cols(child.columns))
 
 
@@ -108,25 +116,29 @@ def apply_parent_update(
     """``child`` after parent keys changed from ``changes.old`` to ``changes.new``.
 
     ``"cascade"`` follows the change; the other actions do what they do on delete.
-    An old key that changes to two different new ones is an error.
+    An old key that changes to two different new ones is an error; a new key of NULL is
+    a value like others. An old key of NULL refers to no row.
     """
     if action not in ON_DELETE:
         raise ValueError(f"action must be one of {ON_DELETE}, not {action!r}")
+    fk = resolve_names(child, [fk])[0]
+    old, new = resolve_names(changes, [old, new])
     moved = changes.where(~col(old).eqNullSafe(col(new)))
     if action != "cascade":
         return apply_parent_delete(child, fk, moved, old, action, {fk: default})
     dtype = child.schema[fk].dataType
+    to = free_name(child.columns, "_to")
+    # In a struct a NULL is a value like others, so that (5, NULL) is seen as ambiguous.
+    target = F.struct(col(new).cast(dtype).alias("key"))
     mapping = (
-        moved.groupBy(col(old).alias(fk))
-        .agg(F.min(col(new)).alias("_new"), F.max(col(new)).alias("_other"))
-        .where(F.assert_true(F.col("_new") == F.col("_other"), F.lit("ambiguous key change")).isNull())
-        .select(col(fk), F.col("_new").cast(dtype).alias("_new"))
-    )
-    return (
-        child.join(mapping, fk, "left")
-        .withColumn(fk, F.coalesce("_new", col(fk)))
-        .select(cols(child.columns))
+        moved.where(col(old).isNotNull())
+        .groupBy(col(old).cast(dtype).alias(fk))
+        .agg(F.min(target).alias(to), F.max(target).alias(to + "_"))
+        .where(F.assert_true(col(to).eqNullSafe(col(to + "_")), F.lit("ambiguous key change")).isNull())
+        .select(col(fk), col(to))
     )
+    moved_to = F.when(col(to).isNotNull(), col(to).getField("key")).otherwise(col(fk))
+    return child.join(mapping, fk, "left").withColumn(fk, moved_to).select(cols(child.columns))
 
 
 def _refuse_if_referenced(child, fk, gone):

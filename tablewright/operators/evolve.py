@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.names import col
+from tablewright.functions.names import col, same_name
 
 
 @dataclass(frozen=True)
@@ -42,22 +42,31 @@ Change = AddColumn | DropColumn | RenameColumn | CastColumn
 
 
 def evolve_schema(df: DataFrame, changes: Iterable[Change]) -> DataFrame:
-    """Apply the changes in order, as one projection over ``df``."""
-    columns = {c: col(c) for c in df.columns}
+    """Apply the changes in order, as one projection over ``df``.
+
+    Names match by ``spark.sql.caseSensitive``, as everywhere in Spark.
+    """
+    norm = same_name(df)
+    columns = {norm(c): (c, col(c)) for c in df.columns}
     for change in changes:
+        known = norm(change.name)
         if isinstance(change, AddColumn):
-            if change.name in columns:
+            if known in columns:
                 raise ValueError(f"column {change.name!r} exists already")
-            columns[change.name] = F.lit(change.default).cast(change.dtype)
+            columns[known] = (change.name, F.lit(change.default).cast(change.dtype))
             continue
-        if change.name not in columns:
-            raise ValueError(f"no column {change.name!r}; have {list(columns)}")
+        if known not in columns:
+            raise ValueError(f"no column {change.name!r}; have {[n for n, _ in columns.values()]}")
+        name, value = columns[known]
         if isinstance(change, DropColumn):
-            del columns[change.name]
+            del columns[known]
         elif isinstance(change, CastColumn):
-            columns[change.name] = columns[change.name].try_cast(change.dtype)
-        elif change.to in columns:
+            columns[known] = (name, value.try_cast(change.dtype))
+        elif norm(change.to) in columns and norm(change.to) != known:
             raise ValueError(f"column {change.to!r} exists already")
         else:
-            columns = {change.to if n == change.name else n: c for n, c in columns.items()}
-    return df.select(*[c.alias(n) for n, c in columns.items()])
+            columns = {
+                (norm(change.to) if k == known else k): ((change.to, c) if k == known else (n, c))
+                for k, (n, c) in columns.items()
+            }
+    return df.select(*[c.alias(n) for n, c in columns.values()])

@@ -15,7 +15,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.names import col, cols
+from tablewright.functions.names import cols, resolve_names
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -43,32 +43,43 @@ def outer_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
 
     A plain left join cannot split a hot right side, and a full join can split
     neither. The matched rows come from an inner join, which can split both; the
-    rest come from anti joins against distinct keys. Those read the inner join's
-    shuffles again, unless a renamed column keeps Spark from seeing that they are the
-    same. Rows with a NULL key are not shuffled. When the preserved side is the big
-    one and the other side has unique keys, a plain left join is cheaper.
+    rest come from anti joins against distinct keys, which keep rows with a NULL key.
+    Those read the inner join's shuffles again where Spark sees that they are the same.
+    Otherwise, and where a side is broadcast, the inputs are computed again: write them
+    out first if they are costly or may differ between two runs. When the preserved side is the
+    big one and the other side has unique keys, a plain left join is cheaper.
     """
     if how not in ("left", "right", "full"):
         raise ValueError(f"how must be left, right or full, not {how!r}")
-    keys = _keys(on)
-    has_key = reduce(and_, [col(k).isNotNull() for k in keys])
-    keyed_left, keyed_right = left.where(has_key), right.where(has_key)
-    result = keyed_left.join(keyed_right, keys, "inner")
-    unmatched = []
+    left_keys, right_keys = resolve_names(left, _keys(on)), resolve_names(right, _keys(on))
+    # Inside, columns go by number: any names may be used, also the same ones on both sides.
+    l_names, l_keys, l_values = _numbered(left, left_keys, "left")
+    r_names, r_keys, r_values = _numbered(right, right_keys, "right")
+    lefts, rights = left.toDF(*l_names), right.toDF(*r_names)
+    out = [f"key_{i}" for i in range(len(left_keys))]
+    on_keys = reduce(and_, [F.col(a) == F.col(b) for a, b in zip(l_keys, r_keys)])
+
+    def shaped(rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.select(*[F.col(k).alias(o) for k, o in zip(keys, out)], *l_values, *r_values)
+
+    result = shaped(lefts.join(rights, on_keys, "inner"), r_keys if how == "right" else l_keys)
     if how in ("left", "full"):
-        unmatched += [anti_join(keyed_left, keyed_right, keys), left.where(~has_key)]
+        alone = lefts.join(rights.select(r_keys).distinct(), on_keys, "left_anti")
+        result = result.unionByName(shaped(alone.select("*", *_nulls(rights, r_values)), l_keys))
     if how in ("right", "full"):
-        unmatched += [anti_join(keyed_right, keyed_left, keys), right.where(~has_key)]
-    for rows in unmatched:
-        result = result.unionByName(_padded(rows, result))
-    return result
-
-
-def _padded(df: DataFrame, like: DataFrame) -> DataFrame:
-    present = set(df.columns)
-    return df.select(
-        *[
-            col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in like.schema.fields
-        ]
-    )
+        alone = rights.join(lefts.select(l_keys).distinct(), on_keys, "left_anti")
+        result = result.unionByName(shaped(alone.select("*", *_nulls(lefts, l_values)), r_keys))
+    named = [*(right_keys if how == "right" else left_keys)]
+    named += [c for c in left.columns if c not in left_keys] + [c for c in right.columns if c not in right_keys]
+    return result.toDF(*named)
+
+
+def _numbered(df: DataFrame, keys: list[str], side: str) -> tuple[list[str], list[str], list[str]]:
+    """A name for every column, those of the keys in the order given, and those of the other columns."""
+    names = [f"{side}_key_{keys.index(c)}" if c in keys else f"{side}_{i}" for i, c in enumerate(df.columns)]
+    of_keys = [f"{side}_key_{i}" for i in range(len(keys))]
+    return names, of_keys, [n for n in names if n not in of_keys]
+
+
+def _nulls(df: DataFrame, names: list[str]):
+    return [F.lit(None).cast(df.schema[n].dataType).alias(n) for n in names]

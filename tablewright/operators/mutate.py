@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.names import col, cols
+from tablewright.functions.names import col, cols, free_name, quoted, resolve_names
 from tablewright.operators.joins import anti_join
 
 ACTIONS = ("update", "nothing")
@@ -64,20 +64,6 @@ def upsert(
     return held.unionByName(with_unkeyed(_absent(target, keyed, keys)), allowMissingColumns=True)
 
 
-def resolve_names(df: DataFrame, names: Sequence[str]) -> list[str]:
-    """The spelling ``df`` uses for ``names``, matched by ``spark.sql.caseSensitive``."""
-    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
-
-    def norm(name: str) -> str:
-        return name if sensitive else name.lower()
-
-    known = {norm(c): c for c in df.columns}
-    missing = [n for n in names if norm(n) not in known]
-    if missing:
-        raise ValueError(f"no such column: {missing}; have {df.columns}")
-    return [known[norm(n)] for n in names]
-
-
 def split_batch(target, source, keys, order_by):
     """The batch as (one row per key, rows with a NULL key or None), in target types."""
     names = resolve_names(target, [c for c in source.columns if not _only_orders(c, target, order_by)])
@@ -89,7 +75,7 @@ def split_batch(target, source, keys, order_by):
     types = {f.name: f.dataType for f in target.schema.fields}
     batch = source.select(
         *[col(s).cast(types[n]).alias(n) for s, n in zip(picked, names)],
-        *[o.alias(f"_order_{i}") for i, o in enumerate(order)],
+        *[o.alias(free_name(names, f"_order_{i}")) for i, o in enumerate(order)],
     )
     ordering = [c for c in batch.columns if c not in names]
 
@@ -117,22 +103,26 @@ def _order_columns(source, order_by) -> list[Column]:
 def _one_row_per_key(batch, keys, names, ordering):
     """One row per key by partial aggregation, so a hot key is combined before the shuffle."""
     values = [n for n in names if n not in keys]
+    picked_row, count = free_name(keys, "_row"), free_name(keys, "_n")
     row = F.struct(cols(values)) if values else F.struct(F.lit(0).alias("_"))
     if ordering:
         # Equal order values fall through to the row itself: the winner is the same on every run.
         rest = [v for v in values if not _has_map(batch.schema[v].dataType)]
-        picked = batch.groupBy(*cols(keys)).agg(F.max_by(row, F.struct(cols(ordering + rest))).alias("_row"))
+        # Rows that hold maps can't be compared; without them each value is shuffled once.
+        by = F.struct(cols(ordering + rest))
+        best = F.max(by) if rest == values and values else F.max_by(row, by)
+        picked = batch.groupBy(*cols(keys)).agg(best.alias(picked_row))
     else:
         picked = (
             batch.groupBy(*cols(keys))
-            .agg(F.first(row).alias("_row"), F.count(F.lit(1)).alias("_n"))
+            .agg(F.first(row).alias(picked_row), F.count(F.lit(1)).alias(count))
             .where(
                 F.assert_true(
-                    F.col("_n") == 1, F.lit(f"duplicate keys {keys} in the batch; pass order_by")
+                    col(count) == 1, F.lit(f"duplicate keys {keys} in the batch; pass order_by")
                 ).isNull()
             )
         )
-    return picked.select(*[col(n) if n in keys else col(n, of="_row").alias(n) for n in names])
+    return picked.select(*[col(n) if n in keys else col(n, of=quoted(picked_row)).alias(n) for n in names])
 
 
 def _has_map(dtype: T.DataType) -> bool:
@@ -151,15 +141,16 @@ def _absent(target, keyed, keys):
     The target's keys are first cut to those the batch holds. With a small batch
     that is a broadcast filter, and the target is never shuffled.
     """
-    held = target.select(cols(keys)).join(keyed.select(cols(keys)), keys, "left_semi")
+    held = target.select(cols(keys)).join(keyed.select(cols(keys)), keys, "left_semi").distinct()
     return keyed.join(held, keys, "left_anti").select(cols(keyed.columns))
 
 
 def _update_matches(target, keyed, keys, values, condition):
-    marked = keyed.withColumn("_matched", F.lit(True))
+    matched = free_name([*target.columns, *keyed.columns], "_matched")
+    marked = keyed.withColumn(matched, F.lit(True))
     t, s = target.alias("target"), marked.alias("source")
     on = [col(k, of="target") == col(k, of="source") for k in keys]
-    take = F.col("source._matched")
+    take = col(matched, of="source")
     if condition is not None:
         take = take & (F.expr(condition) if isinstance(condition, str) else condition)
     return t.join(s, on, "left").select(

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.functions.names import col, cols
-from tablewright.operators.mutate import resolve_names, upsert
+from tablewright.functions.names import col, cols, resolve_names
+from tablewright.operators.mutate import upsert
+
+#: Inside the table's folder; Spark skips names that begin so.
+STAGE = "_upsert"
 
 
 def upsert_partitions(
@@ -23,10 +26,14 @@ def upsert_partitions(
     """``upsert`` a batch into the files at ``path``; ``options`` are those of ``upsert``.
 
     The partition columns must be among the keys: then a key never moves to another
-    partition, and all others keep their files. Partitions are swapped when the new
-    files are complete; a run that fails during the swap can be repeated.
+    partition, and all others keep their files. The new files are written whole to a
+    folder inside ``path`` that readers skip, and marked. Then each old partition is
+    moved aside and the new one moved in; the old files are deleted last. A run that
+    is cut short in between leaves the mark, and the next call, or ``finish_swap``, goes on
+    from there before anything is read. One writer at a time.
     """
     spark = batch.sparkSession
+    finish_swap(spark, path)
     keys = [keys] if isinstance(keys, str) else list(keys)
     partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     target = spark.read.format(source_format).load(path)
@@ -36,19 +43,52 @@ def upsert_partitions(
     own = resolve_names(batch, partition_by)
     types = {f.name: f.dataType for f in target.schema.fields}
     tag = _tag([col(o).cast(types[p]) for o, p in zip(own, partition_by)])
-    # One value per touched partition: no more than the driver lists for any write.
+    # One value per touched partition: the driver has to move each of these folders anyway.
     touched = [row[0] for row in batch.select(tag.alias("tag")).distinct().collect()]
     current = target.where(_tag(cols(partition_by)).isin(touched))
     content = upsert(current, batch, keys, **options)
     # Even file sizes, and not a file per task and partition.
-    (
-        content.hint("rebalance", *partition_by)
-        .write.format(source_format)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .save(path)
+    content.hint("rebalance", *partition_by).write.format(source_format).partitionBy(*partition_by).save(
+        f"{path}/{STAGE}/new"
     )
+    files, at = _files(spark, path)
+    files.create(at(f"{STAGE}/complete")).close()
+    finish_swap(spark, path)
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Bring a swap that was cut short to its end; drop staged files that are not complete."""
+    files, at = _files(spark, path)
+    if files.exists(at(f"{STAGE}/complete")):
+        for folder in _partitions(files, at, f"{STAGE}/new"):
+            if files.exists(at(folder)):
+                _move(files, at, folder, f"{STAGE}/old/{folder}")
+            _move(files, at, f"{STAGE}/new/{folder}", folder)
+    if files.exists(at(STAGE)):
+        files.delete(at(STAGE), True)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and a function from a place below it to its full name."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    files = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    return files, lambda below: Path(f"{path.rstrip('/')}/{below}")
+
+
+def _partitions(files, at, top: str, below: str = "") -> Iterator[str]:
+    """Partition folders under ``top`` that hold files, as places below it."""
+    inner = [s.getPath().getName() for s in files.listStatus(at(f"{top}/{below}" if below else top)) if s.isDirectory()]
+    inner = [f"{below}/{n}" if below else n for n in inner if "=" in n]
+    for name in inner:
+        yield from _partitions(files, at, top, name)
+    if below and not inner:
+        yield below
+
+
+def _move(files, at, here: str, there: str) -> None:
+    files.mkdirs(at(there).getParent())
+    if not files.rename(at(here), at(there)):
+        raise OSError(f"cannot move {at(here)} to {at(there)}")
 
 
 def _tag(columns: list[Column]) -> Column:

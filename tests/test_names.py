@@ -5,6 +5,8 @@ import pytest
 
 from tablewright import (
     AddColumn,
+    DropColumn,
+    RenameColumn,
     anti_join,
     apply_parent_delete,
     apply_parent_update,
@@ -75,3 +77,69 @@ def test_aggregate(tables):
         buffer_schema="n bigint", output_schema="n bigint",
     )
     assert rows(got) == [(1, 1), (2, 1), (None, 1)]
+
+
+@pytest.fixture
+def case_sensitive(spark):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    yield
+    spark.conf.unset("spark.sql.caseSensitive")
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_join_by_spelling(spark, how):
+    left = spark.createDataFrame([(1, "x", "p"), (2, "y", "q"), (None, "n", "r")], "k int, v string, w string")
+    right = spark.createDataFrame([(2, "Y"), (3, "z"), (None, "m")], "K int, v string")
+    for on in ("k", "K"):
+        plain, got = left.join(right, on, how), outer_join(left, right, on, how)
+        assert rows(got) == rows(plain)
+        assert [c.lower() for c in got.columns] == [c.lower() for c in plain.columns] == ["k", "v", "w", "v"]
+
+
+def test_outer_join_case_sensitive(spark, case_sensitive):
+    left = spark.createDataFrame([(1, 2)], "k int, K int")
+    right = spark.createDataFrame([(2, 5)], "K int, k int")
+    assert rows(outer_join(left, right, "K", "full")) == rows(left.join(right, "K", "full")) == [(2, 1, 5)]
+    with pytest.raises(ValueError):
+        outer_join(left.select("k"), right, "K", "full")
+
+
+def test_helper_names_may_be_columns(spark):
+    names = ["_matched", "_row", "_n", "_order_0", "n_rows", "_gone", "_to"]
+    frame = lambda data: spark.createDataFrame(data, ", ".join(f"{n} int" for n in ["id", *names]))
+    target = frame([(1, *[0] * 7), (2, *[0] * 7)])
+    batch = frame([(1, *[5] * 7), (3, *[7] * 7)])
+    want = [(1, *[5] * 7), (2, *[0] * 7), (3, *[7] * 7)]
+    assert rows(upsert(target, batch, "id")) == want
+    assert rows(upsert(target, batch, "ID", condition="source.id > 0")) == want
+    assert rows(upsert(target, batch, "id", order_by="_order_0")) == want
+    assert rows(upsert(target, batch.drop("_gone"), "id")) == [(1, *[5] * 5, 0, 5), want[1], (3, *[7] * 5, None, 7)]
+    for name in names:
+        assert rows(upsert(target, batch, [name], order_by="id")) == sorted([*rows(target), *rows(batch)], key=repr)
+        key = target.select(name)
+        assert rows(unique_violations(key, name)) == [(0, 2)]
+        assert rows(primary_key_violations(key, name)) == [(0, 2, "duplicate")]
+        assert rows(foreign_key_orphans(key, name, batch, name)) == [(0, 2)]
+        gone = apply_parent_delete(target.withColumn(name, target["id"]), name, batch.select("id"), "id", "set_null")
+        assert sorted(r[name] or 0 for r in gone.collect()) == [0, 2]
+        moved = spark.createDataFrame([(0, 9)], "old int, new int")
+        assert {r[name] for r in apply_parent_update(target, name, moved).collect()} == {9}
+
+
+def test_constraints_by_spelling(spark):
+    child = spark.createDataFrame([(1, 1), (2, 2)], "id int, fk int")
+    gone = spark.createDataFrame([(1,)], "PK int")
+    assert rows(apply_parent_delete(child, "FK", gone, "pk", "set_null")) == [(1, None), (2, 2)]
+    assert rows(apply_parent_delete(child, "FK", gone, "pk", "set_default", {"Fk": 7})) == [(1, 7), (2, 2)]
+    assert rows(evolve_schema(child, [DropColumn("FK")])) == [(1,), (2,)]
+    assert evolve_schema(child, [RenameColumn("FK", "Fk")]).columns == ["id", "Fk"]
+    with pytest.raises(ValueError, match="exists"):
+        evolve_schema(child, [AddColumn("FK", "int")])
+
+
+def test_key_changes_to_null(spark):
+    child = spark.createDataFrame([(1, 5), (2, 6), (3, None)], "id int, fk int")
+    changes = lambda data: spark.createDataFrame(data, "old int, new int")
+    assert rows(apply_parent_update(child, "fk", changes([(5, None), (5, None)]))) == [(1, None), (2, 6), (3, None)]
+    with pytest.raises(Exception, match="ambiguous"):
+        apply_parent_update(child, "fk", changes([(5, 7), (5, None)])).collect()

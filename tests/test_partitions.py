@@ -76,3 +76,37 @@ def test_untouched_partitions_are_not_read(spark, table):
     plan = current._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [coalesce(cast(p#" in plan or "PartitionFilters: [concat_ws" in plan
     assert current.count() == 120
+
+
+@pytest.mark.parametrize("after", range(6))
+def test_a_swap_cut_short_is_finished(spark, table, monkeypatch, after):
+    from tablewright.sources import partitions
+
+    batch = spark.createDataFrame([(1, "new", 1), (2, "two", 2), (9, "fresh", 9)], "id bigint, v string, p int")
+    want = rows(upsert(spark.read.parquet(table), batch, ["p", "id"]))
+    moved, move = [], partitions._move
+
+    def stopping(*a):
+        if len(moved) == after:
+            raise OSError("cut short")
+        moved.append(a)
+        move(*a)
+
+    monkeypatch.setattr(partitions, "_move", stopping)
+    if after < 5:  # two old and three new folders
+        with pytest.raises(OSError, match="cut short"):
+            upsert_partitions(table, batch, ["p", "id"], "p")
+    monkeypatch.setattr(partitions, "_move", move)
+    upsert_partitions(table, batch, ["p", "id"], "p")
+    assert rows(spark.read.parquet(table)) == want
+    assert not os.path.exists(os.path.join(table, partitions.STAGE))
+
+
+def test_incomplete_staged_files_are_dropped(spark, table):
+    from tablewright.sources import partitions
+
+    before = rows(spark.read.parquet(table))
+    spark.range(3).selectExpr("id", "'x' AS v", "1 AS p").write.partitionBy("p").parquet(f"{table}/{partitions.STAGE}/new")
+    assert rows(spark.read.parquet(table)) == before
+    partitions.finish_swap(spark, table)
+    assert rows(spark.read.parquet(table)) == before
