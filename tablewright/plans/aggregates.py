@@ -173,29 +173,25 @@ def pivot_auto(spark, t):
     return t.orders.groupBy("o_orderpriority").pivot("o_orderstatus").agg(_total("o_totalprice"))
 
 
-def _small_orders_by_nation(t):
-    # Few orders are this large, so some nations have none of one status.
-    big = t.orders.where("o_totalprice > 490000").join(
-        t.customer, F.col("o_custkey") == F.col("c_custkey")
-    )
-    return big.groupBy("c_nationkey").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count(F.lit(1)))
+def _orders_by_customer(t):
+    # Many a customer has no order of some status.
+    return t.orders.groupBy("o_custkey").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count(F.lit(1)))
 
 
-_UNPIVOT = """SELECT c_nationkey, o_orderstatus AS status, count(*) AS total
-    FROM orders JOIN customer ON o_custkey = c_custkey
-    WHERE o_totalprice > 490000 AND o_orderstatus IN ('O', 'P') GROUP BY ALL"""
+_UNPIVOT = """SELECT o_custkey, o_orderstatus AS status, count(*) AS total
+    FROM orders WHERE o_orderstatus IN ('O', 'P') GROUP BY ALL"""
 
 
 @query(_UNPIVOT)
 def unpivot(spark, t):
-    wide = _small_orders_by_nation(t).select("c_nationkey", "O", "P")
-    return wide.unpivot("c_nationkey", ["O", "P"], "status", "total").where("total IS NOT NULL")
+    wide = _orders_by_customer(t).select("o_custkey", "O", "P")
+    return wide.unpivot("o_custkey", ["O", "P"], "status", "total").where("total IS NOT NULL")
 
 
 @query(_UNPIVOT)
 def unpivot_stack(spark, t):
     stacked = F.expr("stack(2, 'O', O, 'P', P) AS (status, total)")
-    return _small_orders_by_nation(t).select("c_nationkey", stacked).where("total IS NOT NULL")
+    return _orders_by_customer(t).select("o_custkey", stacked).where("total IS NOT NULL")
 
 
 # -- sorting ---------------------------------------------------------------------
@@ -331,18 +327,19 @@ def uda_two_phase(spark, t):
     FROM customer GROUP BY c_mktsegment"""
 )
 def uda_mean_sql(spark, t):
-    # A Python aggregate in SQL would be handed whole groups. Here SQL keeps the buffer (sum and
-    # count, combined on the map side) and the user's function finishes it.
-    spark.sql(
-        """CREATE OR REPLACE TEMPORARY FUNCTION my_average(total DOUBLE, n BIGINT)
-        RETURNS DOUBLE RETURN CASE WHEN n > 0 THEN total / n END"""
-    )
-    return spark.sql(
-        """SELECT c_mktsegment, my_average(CAST(total AS DOUBLE), n) AS mean FROM
-        (SELECT c_mktsegment, sum(CAST(c_acctbal AS DECIMAL(18,2))) AS total, count(c_acctbal) AS n
-        FROM {customer} GROUP BY c_mktsegment)""",
-        customer=t.customer,
+    # SQL would hand a Python aggregate whole groups. The two-phase form folds them per task, and SQL
+    # reads its result like a table.
+    means = two_phase_aggregate(
+        t.customer.select("c_mktsegment", F.rint(F.col("c_acctbal") * 100).cast("bigint").alias("cents")),
+        "c_mktsegment",
+        zero={"total": 0, "n": 0},
+        reduce=lambda rows: pd.DataFrame({"total": rows["cents"].sum(), "n": rows["cents"].count()}),
+        merge=lambda buffers: buffers.sum(),
+        finish=lambda b: pd.DataFrame({"mean": (b["total"] / 100 / b["n"]).where(b["n"] > 0)}),
+        buffer_schema="total bigint, n bigint",
+        output_schema="mean double",
     )
+    return spark.sql("SELECT c_mktsegment, mean FROM {means}", means=means)
 
 
 # -- reuse -----------------------------------------------------------------------

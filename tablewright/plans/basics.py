@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tablewright import capitalize_words, split_columns, struct_to_map
-from tablewright.functions.columns import capitalize_words_udf
 from tablewright.plans.registry import query
 
 # -- projections -----------------------------------------------------------------
@@ -114,7 +113,11 @@ def map_partitions(spark, t):
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         separator = ","  # set up once per partition: where a costly client or model would be made
         for rows in batches:
-            full_name = rows["p_name"].str.cat([rows["p_brand"], rows["p_type"]], sep=separator)
+            full_name, begun = pd.Series("", rows.index), pd.Series(False, rows.index)
+            for part in ("p_name", "p_brand", "p_type"):  # missing parts are left out
+                there = rows[part].notna()
+                full_name += (begun & there).map({True: separator, False: ""}) + rows[part].fillna("")
+                begun |= there
             yield rows[["p_partkey"]].assign(full_name=full_name, p_size=rows["p_size"])
 
     parts = t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
@@ -345,8 +348,12 @@ def udf_capitalize(spark, t):
 
 @query(f"SELECT c_custkey, {_CAPITALIZED.format('lower(c_mktsegment)')} AS segment FROM customer")
 def udf_sql(spark, t):
-    spark.udf.register("capitalize_words", capitalize_words_udf)
+    # A function of SQL expressions is inlined, and no row leaves the JVM.
+    spark.sql(
+        """CREATE OR REPLACE TEMPORARY FUNCTION tablewright_capitalize(s STRING) RETURNS STRING
+        RETURN array_join(transform(split(s, ' '), w -> concat(upper(left(w, 1)), substring(w, 2))), ' ')"""
+    )
     return spark.sql(
-        "SELECT c_custkey, capitalize_words(lower(c_mktsegment)) AS segment FROM {customer}",
+        "SELECT c_custkey, tablewright_capitalize(lower(c_mktsegment)) AS segment FROM {customer}",
         customer=t.customer,
     )

@@ -74,7 +74,7 @@ _TYPES = "NAME VARCHAR(64)"
 def jdbc_roundtrip(spark, t):
     db, name = database(spark), _name("accounts")
     db.save(_accounts(t), name, mode="error", column_types=_TYPES, num_partitions=8)
-    return _copied(db, db.table(name), name)
+    return _copied(db, db.table(name, partition_column="ID"), name)
 
 
 @query("SELECT c_custkey AS ID, c_acctbal AS BALANCE FROM customer WHERE c_acctbal > 5000")
@@ -107,7 +107,7 @@ def jdbc_upsert(spark, t):
     db.upsert(
         held.unionByName(new), name, "ID", condition='source."BALANCE" > target."BALANCE"'
     )
-    return _copied(db, db.table(name), name)
+    return _copied(db, db.table(name, partition_column="ID"), name)
 
 
 @query("SELECT o_orderkey AS ID, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS DAY FROM orders")
@@ -126,5 +126,5 @@ def jdbc_incremental(spark, t):
         lambda day: f"""SELECT * FROM {source} WHERE "DAY" > DATE('{day}')""",
         keys="ID",
     )
-    days = db.table(target).select("ID", F.col("DAY").cast("string").alias("DAY"))
+    days = db.table(target, partition_column="ID").select("ID", F.col("DAY").cast("string").alias("DAY"))
     return _copied(db, days, source, target)

@@ -5,6 +5,8 @@ Everything is written under the shared scratch folder, to a fresh path per call.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -53,7 +55,7 @@ def src_ignore_corrupt(spark, t):
 def src_recursive(spark, t):
     path = scratch_path(spark, "nested")
     orders = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
-    orders.write.partitionBy("o_orderstatus").parquet(f"{path}/deeper")
+    orders.hint("rebalance", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(f"{path}/deeper")
     # Recursion switches partition discovery off: no o_orderstatus column.
     return spark.read.option("recursiveFileLookup", "true").parquet(path)
 
@@ -66,14 +68,22 @@ def src_glob(spark, t):
     return spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
 
 
-@query("SELECT s_suppkey, s_acctbal FROM supplier")
+@query("SELECT s_suppkey, s_acctbal FROM supplier WHERE s_suppkey % 3 = 1")
 def src_modified(spark, t):
+    # Files of three dates; the two limits leave those in the middle.
     path = scratch_path(spark, "dated")
     rows = t.supplier.select("s_suppkey", "s_acctbal")
-    rows.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    files = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for part, day in enumerate(("2015-03-01", "2021-03-01", "2031-03-01")):
+        place = f"{path}/part={part}"
+        rows.where(F.col("s_suppkey") % 3 == part).write.parquet(place)
+        millis = int(datetime.fromisoformat(f"{day}T00:00:00+00:00").timestamp() * 1000)
+        for entry in files.listStatus(folder(place)):
+            files.setTimes(entry.getPath(), millis, -1)
     reader = spark.read.schema(rows.schema)  # an empty match could not be inferred
-    after = reader.option("modifiedAfter", "2020-06-01T05:30:00")
-    return after.option("modifiedBefore", "2199-06-01T05:30:00").parquet(path)
+    after = reader.option("modifiedAfter", "2018-02-03T04:05:06")
+    return after.option("modifiedBefore", "2025-02-03T04:05:06").parquet(path).select("s_suppkey", "s_acctbal")
 
 
 @query(
@@ -153,7 +163,7 @@ def src_csv_folder(spark, t):
 def src_text(spark, t):
     path = scratch_path(spark, "text")
     t.documents.select("text").write.text(path)
-    return spark.read.text(path)
+    return spark.read.text(path, lineSep="\n")  # by default a carriage return ends a line too
 
 
 @query("SELECT unnest(string_split(p_name || ' ' || p_brand, ' ')) AS value FROM part")
@@ -168,17 +178,20 @@ def src_text_whole(spark, t):
     # One row per file: the writer bounds the files, so no row grows with the table.
     path = scratch_path(spark, "text-whole")
     documents = t.documents.select("lang", "text")
-    documents.write.partitionBy("lang").options(maxRecordsPerFile=500, lineSep="\x1e").text(path)
+    dealt = documents.hint("rebalance", "lang")
+    dealt.write.partitionBy("lang").options(maxRecordsPerFile=500, lineSep="\x1e").text(path)
     files = spark.read.text(path, wholetext=True)
-    chars = F.length(F.translate("value", "\x1e", ""))
-    return files.groupBy("lang").agg(F.sum(chars).alias("n_chars"))
+    # Each text came with one separator, whatever signs it holds itself.
+    ends = documents.groupBy("lang").agg(F.count("text").alias("ends"))
+    chars = files.groupBy("lang").agg(F.sum(F.length("value")).alias("chars"))
+    return chars.join(ends, "lang").select("lang", (F.col("chars") - F.col("ends")).alias("n_chars"))
 
 
 @query("SELECT unnest(string_split(text, chr(10))) AS value FROM conversations")
 def sink_text_gzip(spark, t):
     path = scratch_path(spark, "text-gzip")
     t.conversations.select("text").write.option("compression", "gzip").text(path)
-    return spark.read.text(path)
+    return spark.read.text(path, lineSep="\n")
 
 
 # -- rows from memory and from a range -------------------------------------------
@@ -186,27 +199,27 @@ def sink_text_gzip(spark, t):
 
 @query(
     """SELECT o_orderkey, label FROM orders
-    JOIN (VALUES ('F', 'finished'), ('O', 'open')) v(code, label) ON code = o_orderstatus"""
+    LEFT JOIN (VALUES ('F', 'finished'), ('O', 'open')) v(code, label) ON code = o_orderstatus"""
 )
 def src_inline(spark, t):
     labels = spark.createDataFrame([("F", "finished"), ("O", "open")], "code string, label string")
     # Two literal rows, but Spark does not know the size of rows from Python: without the hint it
     # would shuffle the orders by a column of three values.
     matching = F.col("o_orderstatus") == F.col("code")
-    return t.orders.join(F.broadcast(labels), matching).select("o_orderkey", "label")
+    return t.orders.join(F.broadcast(labels), matching, "left").select("o_orderkey", "label")
 
 
 @query(
-    """SELECT i AS l_quantity, count(l_orderkey) AS n FROM range(61) r(i)
-    LEFT JOIN lineitem ON CAST(l_quantity AS BIGINT) = i GROUP BY i"""
+    """SELECT coalesce(i, q) AS l_quantity, coalesce(n, 0) AS n FROM range(61) r(i)
+    FULL JOIN (SELECT CAST(l_quantity AS BIGINT) AS q, count(l_orderkey) AS n FROM lineitem GROUP BY 1) ON i = q"""
 )
 def src_range(spark, t):
-    # Every quantity from 0 to 60 with its number of lines, zero where there is none.
+    # Every quantity from 0 to 60 with its number of lines, zero where there is none; others too.
     counts = t.lineitem.groupBy(F.col("l_quantity").cast("bigint").alias("l_quantity")).agg(
         F.count("l_orderkey").alias("n")
     )
     steps = spark.range(0, 61).withColumnRenamed("id", "l_quantity")
-    return steps.join(counts, "l_quantity", "left").fillna(0, ["n"])
+    return steps.join(counts, "l_quantity", "full").fillna(0, ["n"])
 
 
 # -- sinks -----------------------------------------------------------------------
@@ -260,33 +273,41 @@ def sink_orc(spark, t):
     return spark.read.orc(path)
 
 
-@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
 def sink_partitioned(spark, t):
     path = scratch_path(spark, "partitioned")
     rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
-    rows.write.partitionBy("o_orderstatus").parquet(path)
-    # The filter prunes whole folders.
-    return spark.read.parquet(path).where(F.col("o_orderstatus").isin("F", "O"))
+    # Rebalanced by the partition column, each value's rows come in few files, also of a frequent one.
+    rows.hint("rebalance", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    return spark.read.parquet(path)
+
+
+def bucketed(rows, key, buckets):
+    """The rows dealt by the bucket they will be written to: few files for each, also for a hot key."""
+    dealt = rows.withColumn("bucket_no", F.pmod(F.hash(key), F.lit(buckets)))
+    return dealt.hint("rebalance", "bucket_no").drop("bucket_no")
 
 
 def _read_back(spark, writer, label):
-    """Save as a catalog table over a scratch path, drop the table, and read the files it leaves."""
+    """Save as a catalog table, read that table, and drop it; what was read comes back as a copy."""
     path = scratch_path(spark, label)
     name = path.rsplit("/", 1)[1].replace("-", "_")
     writer.option("path", path).saveAsTable(name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return spark.read.parquet(path)
+    try:
+        spark.table(name).write.parquet(f"{path}-copy")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.read.parquet(f"{path}-copy")
 
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")
 def sink_bucketed(spark, t):
-    # Rebalancing by the bucket key keeps the number of files low and splits a hot key.
-    rows = t.customer.select("c_custkey", "c_name", "c_acctbal").hint("rebalance", "c_custkey")
-    return _read_back(spark, rows.write.bucketBy(42, "c_custkey").sortBy("c_acctbal"), "bucketed")
+    rows = bucketed(t.customer.select("c_custkey", "c_name", "c_acctbal"), "c_custkey", 24)
+    return _read_back(spark, rows.write.bucketBy(24, "c_custkey").sortBy("c_acctbal"), "bucketed")
 
 
 @query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def sink_part_bucketed(spark, t):
-    rows = t.customer.select("c_custkey", "c_name", "c_mktsegment").hint("rebalance", "c_custkey")
+    rows = bucketed(t.customer.select("c_custkey", "c_name", "c_mktsegment"), "c_custkey", 8)
     writer = rows.write.partitionBy("c_mktsegment").bucketBy(8, "c_custkey")
     return _read_back(spark, writer, "part-bucketed")

@@ -13,12 +13,11 @@ def _richest(t):
     return t.customer.where("c_acctbal > 5000").select("c_custkey", "c_name")
 
 
-def _urgent(t):
-    return t.orders.where("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey")
+def _orders(t):
+    return t.orders.select("o_orderkey", "o_custkey")
 
 
 _RICHEST = "(SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 5000)"
-_URGENT = "(SELECT o_orderkey, o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"
 
 
 @query(
@@ -33,25 +32,25 @@ def join_inner(spark, t):
     )
 
 
-@query(f"SELECT o_orderkey, o_custkey, c_name FROM {_URGENT} LEFT JOIN {_RICHEST} ON o_custkey = c_custkey")
+@query(f"SELECT o_orderkey, o_custkey, c_name FROM orders LEFT JOIN {_RICHEST} ON o_custkey = c_custkey")
 def join_left(spark, t):
     # Many orders to one customer: a plain left join, whose left side may be split.
-    joined = _urgent(t).join(_richest(t), F.col("o_custkey") == F.col("c_custkey"), "left")
+    joined = _orders(t).join(_richest(t), F.col("o_custkey") == F.col("c_custkey"), "left")
     return joined.select("o_orderkey", "o_custkey", "c_name")
 
 
-@query(f"SELECT o_orderkey, c_custkey, c_name FROM {_URGENT} RIGHT JOIN {_RICHEST} ON o_custkey = c_custkey")
+@query(f"SELECT o_orderkey, c_custkey, c_name FROM orders RIGHT JOIN {_RICHEST} ON o_custkey = c_custkey")
 def join_right(spark, t):
-    orders = _urgent(t).withColumnRenamed("o_custkey", "c_custkey")
+    orders = _orders(t).withColumnRenamed("o_custkey", "c_custkey")
     return outer_join(orders, _richest(t), "c_custkey", "right").select("o_orderkey", "c_custkey", "c_name")
 
 
 @query(
     f"""SELECT coalesce(o_custkey, c_custkey) AS custkey, o_orderkey, c_name
-    FROM {_URGENT} FULL JOIN {_RICHEST} ON o_custkey = c_custkey"""
+    FROM orders FULL JOIN {_RICHEST} ON o_custkey = c_custkey"""
 )
 def join_full(spark, t):
-    orders = _urgent(t).withColumnRenamed("o_custkey", "custkey")
+    orders = _orders(t).withColumnRenamed("o_custkey", "custkey")
     customers = _richest(t).withColumnRenamed("c_custkey", "custkey")
     return outer_join(orders, customers, "custkey", "full").select("custkey", "o_orderkey", "c_name")
 
@@ -116,19 +115,20 @@ def join_using(spark, t):
 
 
 @query(
-    """SELECT c_custkey, s.status, count(o_orderkey) AS n_orders FROM customer
-    CROSS JOIN (VALUES ('F'), ('O'), ('P')) s(status)
-    LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = s.status GROUP BY c_custkey, s.status"""
+    """SELECT c_custkey, status, coalesce(n_orders, 0) AS n_orders
+    FROM (SELECT c_custkey, status FROM customer CROSS JOIN (VALUES ('F'), ('O'), ('P')) s(status))
+    FULL JOIN (SELECT o_custkey AS c_custkey, o_orderstatus AS status, count(o_orderkey) AS n_orders
+    FROM orders GROUP BY 1, 2) USING (c_custkey, status)"""
 )
 def join_cross(spark, t):
     # Every customer with every status of a fixed list: the product is an explode, three rows
-    # per customer, and counts of the pairs that occur fill it.
+    # per customer, and counts of the pairs that occur fill it. Pairs beyond the list stay too.
     statuses = F.array(*[F.lit(s) for s in ("F", "O", "P")])
     pairs = t.customer.select("c_custkey", F.explode(statuses).alias("status"))
     counts = t.orders.groupBy(
         F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("status")
     ).agg(F.count("o_orderkey").alias("n_orders"))
-    return pairs.join(counts, ["c_custkey", "status"], "left").fillna(0, ["n_orders"])
+    return pairs.join(counts, ["c_custkey", "status"], "full").fillna(0, ["n_orders"])
 
 
 @query(

@@ -92,13 +92,13 @@ def upsert_partial(spark, t):
 
 @query(
     """WITH newest AS (SELECT o_custkey, max_by(o_totalprice, o_orderkey) AS price FROM orders
-    WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey)
+    GROUP BY o_custkey)
     SELECT c_custkey, c_name, coalesce(price, c_acctbal) AS c_acctbal
     FROM customer LEFT JOIN newest ON c_custkey = o_custkey"""
 )
 def upsert_latest_wins(spark, t):
     # Many orders per customer in one batch: the greatest order key wins.
-    batch = t.orders.where("o_orderpriority = '1-URGENT'").select(
+    batch = t.orders.select(
         F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"), "o_orderkey"
     )
     return upsert(_accounts(t), batch, "c_custkey", order_by="o_orderkey")
