@@ -30,14 +30,24 @@ DROPS_BLANKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SIMPLE_CHUNK = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017e]+")
 #: The byte-level alphabet: printable bytes stand for themselves, the others for characters from U+0100 on.
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-BYTE_CHARACTERS = dict(zip([b for b in range(256) if b not in PRINTABLE], range(0x100, 0x200), strict=False))
+_OTHERS = iter(range(0x100, 0x200))
+BYTE_CHARACTERS = [chr(b) if b in PRINTABLE else chr(next(_OTHERS)) for b in range(256)]
+
+
+#: Signs that often end a word and are always cut off it.
+ENDS = frozenset(",.;:!?")
+
+
+def is_letters(word: str) -> bool:
+    """Nothing but Latin letters whose class and lower case are the same everywhere."""
+    return word.isalpha() and max(word) < "\u0130"
 
 
 def byte_level(word: str) -> str:
     """The word's UTF-8 bytes in the byte-level alphabet."""
-    return word if word.isascii() and word.isprintable() and " " not in word else (
-        word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
-    )
+    if word.isalpha() and word.isascii():
+        return word
+    return "".join([BYTE_CHARACTERS[b] for b in word.encode()])
 
 
 def pack_ids(ids: list[int]) -> bytes:
@@ -232,8 +242,10 @@ class PrefixBpe:
     def chunk_ids(self, chunk: bytes) -> bytes:
         """A text without ASCII white space. Simple ones are cut here, which takes less time than a library call."""
         text = chunk.decode()
-        if chunk.isalpha():  # ASCII letters
-            return self.words[text.lower()]
+        if is_letters(text):
+            return self.words[byte_level(text.lower())]
+        if text[-1] in ENDS and is_letters(text[:-1]):
+            return self.words[byte_level(text[:-1].lower())] + self.words[text[-1]]
         if SIMPLE_CHUNK.fullmatch(text) and not self.at_special.search(text):
             return b"".join([self.words[byte_level(w)] for w in self.simple_cut(text.lower())])
         return self.with_special(text)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tablewright.llm.bpe import SIMPLE_CHUNK, byte_level, pack_ids, read_spec
+from tablewright.llm.bpe import ENDS, SIMPLE_CHUNK, byte_level, is_letters, pack_ids, read_spec
 from tablewright.llm.rows import Recent, documents, map_batches, shown
 
 BLOCK = 1 << 16
@@ -38,9 +38,10 @@ BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]
 class SpacedEncoder:
     """The library's byte-level encoding, word by word with a cache.
 
-    Its pre-tokenizer always cuts before a space that follows something else, so the ids of a text
-    are those of its first word and of each further one with its space. Where white space meets
-    the space, or a special token's string stands in the text, the whole text goes to the library.
+    Its pre-tokenizer always cuts before a space that follows something else, so the ids of a line
+    are those of its first word and of each further one with its space; a single line end between words is
+    a token too. Where white space meets white space, or a special token's string stands in the text,
+    the whole text goes to the library.
     """
 
     def __init__(self, spec: str):
@@ -52,8 +53,10 @@ class SpacedEncoder:
         if cutter["type"] != "ByteLevel" or cutter["add_prefix_space"] or not cutter["use_regex"]:
             raise ValueError("only plain byte-level tokenizers are handled")
         self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
-        self.first = Recent(lambda w: self.piece(w, w), 20_000)
-        self.rest = Recent(lambda w: self.piece(w, " " + w))
+        self.first = Recent(lambda w: self.piece(w, w), 50_000)
+        self.rest = Recent(lambda w: self.piece(w, " " + w), 400_000)
+        self.signs = Recent(self.whole)
+        self.line_end = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -65,8 +68,11 @@ class SpacedEncoder:
         """
         if not word or word[-1].isspace():
             return ()
-        if word.isascii() and word.isalpha():
-            return pack_ids([t.id for t in self.model.tokenize(text.replace(" ", SPACE))])
+        if is_letters(word):
+            letters = byte_level(word)
+            return pack_ids([t.id for t in self.model.tokenize(letters if text is word else SPACE + letters)])
+        if word[-1] in ENDS and is_letters(word[:-1]) and text[0] == " ":
+            return self.rest[word[:-1]] + self.signs[word[-1]]
         if not SIMPLE_CHUNK.fullmatch(word):
             return self.whole(text)
         return pack_ids([t.id for w in self.cut(text) for t in self.model.tokenize(byte_level(w))])
@@ -76,9 +82,12 @@ class SpacedEncoder:
             return b""
         if any(s in text for s in self.special):
             return self.whole(text)
-        words = text.split(" ")
+        made = []
+        for line in text.split("\n"):
+            words = line.split(" ")
+            made += [self.line_end, self.first[words[0]], *map(self.rest.__getitem__, words[1:])]
         try:
-            return b"".join([self.first[words[0]], *map(self.rest.__getitem__, words[1:])])
+            return b"".join(made[1:])
         except TypeError:
             return self.whole(text)
 
