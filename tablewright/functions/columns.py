@@ -13,19 +13,29 @@ from pyspark.sql import types as T
 from tablewright.functions.names import col
 
 
-def split_columns(df: DataFrame, splits: Mapping[str, tuple[str, Sequence[str]]]) -> DataFrame:
+def split_columns(
+    df: DataFrame, splits: Mapping[str, tuple[str, Sequence[str]]], further: str = "drop"
+) -> DataFrame:
     """Replace text columns by the parts between a separator.
 
     ``splits`` maps a column to (separator, names). Parts are not trimmed; a row
-    with too few parts gets NULL for the missing ones, further parts are left out.
+    with too few parts gets NULL for the missing ones. ``further`` says what happens to
+    parts beyond the names: ``"drop"`` leaves them out, ``"keep"`` leaves them in the last
+    column with their separators, ``"error"`` fails the query.
     """
+    if further not in ("drop", "keep", "error"):
+        raise ValueError(f"further must be drop, keep or error, not {further!r}")
     out: list[Column] = []
     for name in df.columns:
         if name not in splits:
             out.append(col(name))
             continue
         separator, parts = splits[name]
-        pieces = F.split(col(name), re.escape(separator))
+        pieces = F.split(col(name), re.escape(separator), len(parts) if further == "keep" else -1)
+        if further == "error":
+            message = F.lit(f"{name!r} has more than {len(parts)} parts")
+            # NULL texts have size -1 or NULL and pass
+            pieces = F.when(F.coalesce(F.size(pieces) > len(parts), F.lit(False)), F.raise_error(message)).otherwise(pieces)
         out += [F.get(pieces, F.lit(i)).alias(part) for i, part in enumerate(parts)]
     return df.select(*out)
 
