@@ -55,6 +55,9 @@ def two_phase_aggregate(
     which bounds its memory and changes no result.
     """
     keys = resolve_names(df, [keys] if isinstance(keys, str) else keys)
+    nested = [k for k in keys if isinstance(df.schema[k].dataType, (T.StructType, T.ArrayType, T.MapType))]
+    if nested:
+        raise ValueError(f"the keys {nested} are nested; group by their fields or by their text")
     values = [c for c in df.columns if c not in keys]
     spark = df.sparkSession
     buffer_schema, output_schema = _struct(buffer_schema), _struct(output_schema)

@@ -268,6 +268,13 @@ def sample(spark, t):
     return t.events.where(part < 429496729).select("event_id", "event_type")
 
 
+@query("SELECT event_id, event_type FROM events ORDER BY md5('7-' || event_id), event_id LIMIT 50")
+def take_sample(spark, t):
+    # A sample of fixed size: the first rows by a hash of the key, kept per partition before they meet.
+    digest = F.md5(F.concat(F.lit("7-"), F.col("event_id").cast("string")))
+    return t.events.select("event_id", "event_type").orderBy(digest, "event_id").limit(50)
+
+
 # -- user aggregates -------------------------------------------------------------
 
 

@@ -91,3 +91,13 @@ def test_same_name_for_key_and_buffer(spark):
         output_schema="rows bigint",
     )
     assert sorted(tuple(r) for r in got.collect()) == [(0, 5), (1, 5)]
+
+
+def test_nested_keys_are_refused(spark):
+    df = spark.createDataFrame([((1, 2), [1], 3)], "s struct<a:int,b:int>, l array<int>, v int")
+    for key in ("s", "L"):
+        with pytest.raises(ValueError, match="nested"):
+            two_phase_aggregate(
+                df, key, zero={"n": 0}, reduce=lambda r: pd.DataFrame({"n": r.size()}), merge=lambda b: b.sum(),
+                finish=lambda b: b, buffer_schema="n bigint", output_schema="n bigint",
+            )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright import cached
 from tablewright.operators.reuse import session_setting
-from tablewright.sources.scratch import keyed_data, scratch_path
+from tablewright.sources.scratch import clear_scratch, keyed_data, scratch_path
 
 
 def test_scratch_is_under_the_shared_folder(spark):
@@ -125,3 +125,61 @@ def test_partition_numbers(spark):
     df = spark.range(0, 40, 1, 4).select(F.spark_partition_id().alias("part"))
     got = df.mapInPandas(count, "part int, size long").collect()
     assert sorted(tuple(r) for r in got) == [(i, 10) for i in range(4)]
+
+
+def test_clear_scratch(spark, tmp_path, monkeypatch):
+    from tablewright.sources import scratch
+
+    own = str(tmp_path / "application")
+    monkeypatch.setattr(scratch, "_scratch", lambda s: own)
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert os.path.exists(path)
+    clear_scratch(spark)
+    assert not os.path.exists(own) and os.path.exists(tmp_path)
+
+
+def test_partitions_and_buckets_are_few_files(spark, tmp_path):
+    from tablewright.plans.files import bucketed
+
+    rows = spark.range(0, 20000, 1, 16).selectExpr("id AS k", "id % 3 AS p")
+    path = str(tmp_path / "parts")
+    rows.hint("rebalance", "p").write.partitionBy("p").parquet(path)
+    assert sum(f.endswith(".parquet") for _, _, fs in os.walk(path) for f in fs) == 3
+    pruned = spark.read.parquet(path).where("p = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p#" in pruned
+    names = ["few_left", "few_right"]
+    try:
+        for name in names:
+            place = str(tmp_path / name)
+            bucketed(rows, "k", 6).write.bucketBy(6, "k").sortBy("p").option("path", place).saveAsTable(name)
+            assert sum(f.endswith(".parquet") for f in os.listdir(place)) <= 2 * 6
+        with session_setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+            joined = spark.table(names[0]).join(spark.table(names[1]), "k")
+            assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+            assert joined.count() == 20000
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_written_options_are_in_the_files(spark, tmp_path, monkeypatch):
+    import pyarrow.orc as orc
+    import pyarrow.parquet as pq
+
+    from tablewright.plans import files
+    from tablewright.plans.registry import Tables
+
+    for query, suffix in ((files.sink_parquet_opts, ".parquet"), (files.sink_orc, ".orc")):
+        monkeypatch.setattr(files, "scratch_path", lambda s, label: str(tmp_path / label))
+        query(spark, Tables(spark, "/root/testdata/sf0.001"))
+    part = next(tmp_path.glob("parquet-options/*.parquet"))
+    ids, types = (pq.read_metadata(part).row_group(0).column(i) for i in (0, 1))
+    dictionary = lambda column: any("DICTIONARY" in e for e in column.encodings)
+    assert types.path_in_schema == "event_type" and dictionary(ids) and not dictionary(types)
+    plain = str(tmp_path / "plain")
+    spark.read.parquet(str(tmp_path / "parquet-options")).coalesce(1).write.parquet(plain)
+    # the bloom filter, asked for a thousand values, is over a kilobyte that a plain file has not
+    assert part.stat().st_size > next((tmp_path / "plain").glob("*.parquet")).stat().st_size + 1000
+    written = orc.ORCFile(next(tmp_path.glob("orc/*.orc")))
+    assert written.nrows > 0
