@@ -46,3 +46,16 @@ def ranges_for(rows: DataFrame, chars_per_range: int) -> int:
     """So many ranges that each covers about as many characters of text, whatever the table's size."""
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     return int(max(1, -(-chars // chars_per_range)))
+
+
+def groups_of(keys: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of each run of equal values."""
+    if not len(keys):
+        return []
+    cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True))
+
+
+def joined(blobs, dtype: str) -> np.ndarray:
+    """The arrays packed in a column, one after the other."""
+    return np.frombuffer(b"".join(blobs), dtype=dtype)

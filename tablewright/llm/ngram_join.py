@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.connected import connected_components
 from tablewright.llm.decontaminate import LOWER
-from tablewright.llm.hashes import by_range, ranges_for, run_hashes, word_hashes
+from tablewright.llm.hashes import by_range, groups_of, joined, ranges_for, run_hashes, word_hashes
 from tablewright.llm.rows import documents, free_name, map_batches
 from tablewright.sources.scratch import scratch_path
 
@@ -32,87 +32,122 @@ def shingles(text: str | None, size: int) -> np.ndarray:
 
 
 def _asked(rows: DataFrame, size: int, ranges: int) -> DataFrame:
-    """Rows of two kinds: (doc_id, class, n) for every row of the input, without tokens, and (part, class, n, tokens).
+    """Packed rows of two kinds, for whole batches of documents: each document's class and number of tokens,
+    and by range of hash the tokens of each class.
 
     A task asks once for a class, as long as it remembers it, so that copies cost little.
     """
 
     def start():
-        seen: set[str] = set()
+        seen: set[bytes] = set()
 
         def step(ids, texts):
-            out = [[], [], [], [], []]
-
-            def add(*values):
-                for column, value in zip(out, values, strict=True):
-                    column.append(value)
-
-            for doc, text in zip(ids, texts, strict=True):
+            if not ids:
+                return None
+            sizes, names, asked, found = [], [], [], []
+            for text in texts:
                 tokens = shingles(text, size)
-                name = xxhash.xxh3_128_hexdigest(tokens.tobytes())
-                add(doc % ranges, doc, name, len(tokens), None)
-                if not len(tokens) or name in seen:
-                    continue
-                if len(seen) > 100_000:
-                    seen.clear()
-                seen.add(name)
-                for part, at in by_range(tokens, ranges):
-                    add(part, 0, name, len(tokens), tokens[at].tobytes())
-            return out
+                name = xxhash.xxh3_128_digest(tokens.tobytes())
+                sizes.append(len(tokens))
+                names.append(name)
+                if len(tokens) and name not in seen:
+                    if len(seen) > 100_000:
+                        seen.clear()
+                    seen.add(name)
+                    found.append(tokens)
+                    asked.append((name, len(tokens)))
+            packed = np.array(ids, dtype="<i8").tobytes(), b"".join(names), np.array(sizes, dtype="<u4").tobytes()
+            out = [(ids[0] % ranges, *packed, None, None)]
+            tokens = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+            owner = np.repeat(np.arange(len(found)), [len(t) for t in found])
+            for part, at in by_range(tokens, ranges) if found else ():
+                spans = groups_of(owner[at])
+                who = owner[at][[lo for lo, _ in spans]].tolist()
+                counts = np.array([hi - lo for lo, hi in spans], dtype="<u4")
+                ns = np.array([asked[k][1] for k in who], dtype="<u4")
+                own = b"".join([asked[k][0] for k in who])
+                out.append((part, None, own, ns.tobytes(), counts.tobytes(), tokens[at].tobytes()))
+            return [list(c) for c in zip(*out, strict=True)]
 
         return step
 
-    return map_batches(rows, start, "part int, doc_id long, class string, n int, tokens binary")
-
-
-def _shared(asked: pd.DataFrame) -> pd.DataFrame:
-    """Of each class's tokens in one range, those that other classes have too, with how many have them."""
-    rows = asked[asked["tokens"].isna()]
-    sets = asked[asked["tokens"].notna()].drop_duplicates("class")
-    who, spans, tokens, counts = [], [], np.zeros(0, dtype=np.uint64), np.zeros(0, dtype="<u4")
-    if len(sets):
-        tokens = np.frombuffer(b"".join(sets["tokens"]), dtype=np.uint64)
-        owner = np.repeat(np.arange(len(sets)), sets["tokens"].map(len).to_numpy() // 8)
-        order = np.argsort(tokens, kind="stable")
-        first = np.flatnonzero(np.diff(tokens[order], prepend=tokens[order[0]] ^ np.uint64(1)))
-        sizes = np.diff(first, append=len(order))
-        counts = np.empty(len(order), dtype="<u4")
-        counts[order] = np.repeat(sizes, sizes)
-        often = np.flatnonzero(counts > 1)
-        cuts = np.flatnonzero(np.diff(owner[often], prepend=-1))
-        who, tokens, counts = owner[often[cuts]], tokens[often], counts[often]
-        spans = list(zip(cuts, [*cuts[1:], len(often)], strict=True))
-    none = [None] * len(rows)
+    return map_batches(
+        rows, start, "part int, ids binary, classes binary, sizes binary, counts binary, tokens binary"
+    )
+
+
+ANSWER = (
+    "doc_id long, class string, n int, bucket int, classes binary, sizes binary, counts binary, tokens binary, held binary"
+)
+
+
+def _shared(asked: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """The documents' rows, and packed by class the tokens of one range that other classes have too.
+
+    ``held`` says how many classes have each.
+    """
+    rows, sets = asked[asked["tokens"].isna()], asked[asked["tokens"].notna()]
+    names = joined(rows["classes"], "V16")
+    made = [
+        (doc, name.tobytes().hex(), n, None, None, None, None, None, None)
+        for doc, name, n in zip(joined(rows["ids"], "<i8").tolist(), names, joined(rows["sizes"], "<u4").tolist(), strict=True)
+    ]
+    classes, sizes = joined(sets["classes"], "<u8").reshape(-1, 2), joined(sets["sizes"], "<u4")
+    counts, tokens = joined(sets["counts"], "<u4"), joined(sets["tokens"], "<u8")
+    _, first = np.unique(classes, axis=0, return_index=True)  # several tasks may have asked for a class
+    once = np.zeros(len(classes), dtype=bool)
+    once[first] = True
+    tokens, classes, sizes, counts = tokens[np.repeat(once, counts)], classes[once], sizes[once], counts[once]
+    _, which, n = np.unique(tokens, return_inverse=True, return_counts=True)
+    held = n[which]
+    often = held > 1
+    owner = np.repeat(np.arange(len(classes)), counts)[often]
+    tokens, held = tokens[often], held[often].astype("<u4")
+    bucket = (classes[:, 0] % np.uint64(buckets)).astype(np.int64)[owner]
+    order = np.argsort(bucket, kind="stable")
+    owner, tokens, held, bucket = owner[order], tokens[order], held[order], bucket[order]
+    for lo, hi in groups_of(bucket):
+        spans = groups_of(owner[lo:hi])
+        who = owner[lo:hi][[a for a, _ in spans]]
+        lengths = np.array([b - a for a, b in spans], dtype="<u4")
+        packed = classes[who], sizes[who], lengths, tokens[lo:hi], held[lo:hi]
+        made.append((None, None, None, int(bucket[lo]), *(x.tobytes() for x in packed)))
+    columns = zip(*made, strict=True) if made else [[] for _ in ANSWER.split(", ")]
+    # built one by one, as a frame of rows would turn ids with gaps into floats
     return pd.DataFrame(
         {
-            "doc_id": pd.array([*rows["doc_id"].astype("Int64"), *[None] * len(spans)], dtype="Int64"),
-            "class": [*rows["class"], *sets["class"].to_numpy()[who]] if spans else rows["class"].tolist(),
-            "n": [*rows["n"], *sets["n"].to_numpy()[who]] if spans else rows["n"].tolist(),
-            "tokens": none + [tokens[a:b].tobytes() for a, b in spans],
-            "counts": none + [counts[a:b].tobytes() for a, b in spans],
+            c.split()[0]: pd.array(list(v), dtype="Int64") if c.split()[1] in ("long", "int") else pd.Series(v, dtype=object)
+            for c, v in zip(ANSWER.split(", "), columns, strict=True)
         }
     )
 
 
-def _in_order(sets: DataFrame, percent: int) -> DataFrame:
-    """(class, n, tokens, prefix): a set's shared tokens, the rarest first, and how many are in its prefix."""
-
-    def start():
-        def step(names, sizes, parts):
-            out = [[], [], [], []]
-            for name, n, found in zip(names, sizes, parts, strict=True):
-                tokens = np.frombuffer(b"".join(p["tokens"] for p in found), dtype=np.uint64)
-                counts = np.frombuffer(b"".join(p["counts"] for p in found), dtype="<u4")
-                # tokens of no other set come first in the order, but need no index
-                prefix = n + (-percent * n // 100) + 1 - (n - len(tokens))
-                order = np.lexsort((tokens, counts))
-                for column, value in zip(out, (name, n, tokens[order].tobytes(), prefix), strict=True):
-                    column.append(value)
-            return out
+def _in_order(found: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """(class, n, tokens, prefix) of the sets that may be similar to another.
 
-        return step
-
-    return map_batches(sets, start, "class string, n int, tokens binary, prefix int")
+    The tokens are those that other sets have too, the rarest first; ``prefix`` says how many are in the set's
+    prefix. A set with fewer of them than the threshold asks of any overlap is similar to no other.
+    """
+    classes, sizes = joined(found["classes"], "<u8").reshape(-1, 2), joined(found["sizes"], "<u4")
+    counts, tokens, held = joined(found["counts"], "<u4"), joined(found["tokens"], "<u8"), joined(found["held"], "<u4")
+    own, which = np.unique(classes, axis=0, return_inverse=True)
+    which = which.reshape(-1)
+    n_of = np.zeros(len(own), dtype=np.int64)
+    n_of[which] = sizes
+    shared = np.bincount(which, weights=counts, minlength=len(own)).astype(np.int64)
+    least = -(-percent * n_of // 100)
+    owner = np.repeat(which, counts)
+    stay = (shared >= least)[owner]
+    owner, tokens, held = owner[stay], tokens[stay], held[stay]
+    order = np.lexsort((tokens, held, owner))
+    owner, tokens = owner[order], tokens[order]
+    made = []
+    for lo, hi in groups_of(owner):
+        k = owner[lo]
+        # tokens of no other set come first in the order, but need no index
+        prefix = int(n_of[k] - least[k] + 1 - (n_of[k] - shared[k]))
+        made.append((own[k].tobytes().hex(), int(n_of[k]), tokens[lo:hi].tobytes(), prefix))
+    return pd.DataFrame(made, columns=["class", "n", "tokens", "prefix"])
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
@@ -268,22 +303,17 @@ def jaccard_groups(
     rows = documents(docs, id_col, text_col)
     ranges = ranges_for(rows, 48 << 20)
     answers = written(
-        _asked(rows, words, ranges)
-        .groupBy("part")
-        .applyInPandas(_shared, "doc_id long, class string, n int, tokens binary, counts binary"),
+        _asked(rows, words, ranges).groupBy("part").applyInPandas(lambda part: _shared(part, ranges), ANSWER),
         "shingle-answers",
     )
     members = answers.filter("doc_id IS NOT NULL").select("doc_id", "class", "n")
-    found = F.sum(F.length("tokens") / 8)
-    # a set with fewer shared tokens than the threshold asks of any overlap is similar to no other
-    survivors = (
-        answers.filter("tokens IS NOT NULL")
-        .groupBy("class", "n")
-        .agg(F.collect_list(F.struct("tokens", "counts")).alias("parts"), found.alias("found"))
-        .filter(F.col("found") >= F.ceil(F.col("n") * percent / 100))
-        .select("class", "n", "parts")
+    sets = written(
+        answers.filter("bucket IS NOT NULL")
+        .select("bucket", "classes", "sizes", "counts", "tokens", "held")
+        .groupBy("bucket")
+        .applyInPandas(lambda part: _in_order(part, percent), "class string, n int, tokens binary, prefix int"),
+        "shingle-sets",
     )
-    sets = written(_in_order(survivors, percent), "shingle-sets")
     lists = written(_prefixes(sets), "shingle-lists")
     hubs = lists.groupBy("token").agg(F.min("class").alias("hub"), F.count("*").alias("held")).filter("held > 1")
     meets = lists.join(hubs, "token").filter("class <> hub").select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct()

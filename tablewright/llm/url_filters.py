@@ -46,7 +46,7 @@ def validity(entries: DataFrame) -> DataFrame:
 
 
 def judge_captures(captures: DataFrame, entries: DataFrame, *, url_col: str = "url", time_col: str = "fetched_on"):
-    """The captures, every row with all its columns, plus host, lists and blocked.
+    """The captures, every row with all its columns, plus host, lists and blocked, which replace columns so named.
 
     ``lists`` names the lists with an entry for the host or one of its parent domains in force when the
     capture was fetched, sorted; ``blocked`` says whether there is any. Captures without host or time are
