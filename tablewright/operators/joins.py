@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.names import cols, resolve_names
+from tablewright.functions.names import col, cols, resolve_names
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -43,8 +43,9 @@ def outer_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
 
     A plain left join cannot split a hot right side, and a full join can split
     neither. The matched rows come from an inner join, which can split both; the
-    rest come from anti joins against distinct keys, which keep rows with a NULL key.
-    Those read the inner join's shuffles again where Spark sees that they are the same.
+    rest come from anti joins against distinct keys. Those read the inner join's shuffles
+    again where Spark sees that they are the same, so each side is shuffled once; rows with a
+    NULL key would make them differ, and come by a scan of their own that skips all others.
     Otherwise, and where a side is broadcast, the inputs are computed again: write them
     out first if they are costly or may differ between two runs. When the preserved side is the
     big one and the other side has unique keys, a plain left join is cheaper.
@@ -52,34 +53,38 @@ def outer_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     if how not in ("left", "right", "full"):
         raise ValueError(f"how must be left, right or full, not {how!r}")
     left_keys, right_keys = resolve_names(left, _keys(on)), resolve_names(right, _keys(on))
-    # Inside, columns go by number: any names may be used, also the same ones on both sides.
-    l_names, l_keys, l_values = _numbered(left, left_keys, "left")
-    r_names, r_keys, r_values = _numbered(right, right_keys, "right")
-    lefts, rights = left.toDF(*l_names), right.toDF(*r_names)
-    out = [f"key_{i}" for i in range(len(left_keys))]
-    on_keys = reduce(and_, [F.col(a) == F.col(b) for a, b in zip(l_keys, r_keys)])
-
-    def shaped(rows: DataFrame, keys: list[str]) -> DataFrame:
-        return rows.select(*[F.col(k).alias(o) for k, o in zip(keys, out)], *l_values, *r_values)
-
-    result = shaped(lefts.join(rights, on_keys, "inner"), r_keys if how == "right" else l_keys)
+    left_null, right_null = _null_key(left, left_keys), _null_key(right, right_keys)
+    keyed_left = left if left_null is None else left.where(~left_null)
+    keyed_right = right if right_null is None else right.where(~right_null)
+    on_keys = reduce(and_, [col(a, of="l") == col(b, of="r") for a, b in zip(left_keys, right_keys)])
+
+    def shaped(rows: DataFrame, keys_of: str, sides: str) -> DataFrame:
+        # By number: any names may be used, also the same ones on both sides. Named above the joins, as names
+        # below them would keep Spark from seeing that shuffles are the same.
+        picked = [col(k, of=keys_of) for k in (left_keys if keys_of == "l" else right_keys)]
+        for side, df, keys in (("l", left, left_keys), ("r", right, right_keys)):
+            others = [f for f in df.schema.fields if f.name not in keys]
+            picked += [col(f.name, of=side) if side in sides else F.lit(None).cast(f.dataType) for f in others]
+        return rows.select(*[c.alias(f"column_{i}") for i, c in enumerate(picked)])
+
+    inner = keyed_left.alias("l").join(keyed_right.alias("r"), on_keys, "inner")
+    result = shaped(inner, "r" if how == "right" else "l", "lr")
     if how in ("left", "full"):
-        alone = lefts.join(rights.select(r_keys).distinct(), on_keys, "left_anti")
-        result = result.unionByName(shaped(alone.select("*", *_nulls(rights, r_values)), l_keys))
+        held = keyed_right.select(cols(right_keys)).distinct().alias("r")
+        result = result.unionByName(shaped(keyed_left.alias("l").join(held, on_keys, "left_anti"), "l", "l"))
+        if left_null is not None:
+            result = result.unionByName(shaped(left.where(left_null).alias("l"), "l", "l"))
     if how in ("right", "full"):
-        alone = rights.join(lefts.select(l_keys).distinct(), on_keys, "left_anti")
-        result = result.unionByName(shaped(alone.select("*", *_nulls(lefts, l_values)), r_keys))
+        held = keyed_left.select(cols(left_keys)).distinct().alias("l")
+        result = result.unionByName(shaped(keyed_right.alias("r").join(held, on_keys, "left_anti"), "r", "r"))
+        if right_null is not None:
+            result = result.unionByName(shaped(right.where(right_null).alias("r"), "r", "r"))
     named = [*(right_keys if how == "right" else left_keys)]
     named += [c for c in left.columns if c not in left_keys] + [c for c in right.columns if c not in right_keys]
     return result.toDF(*named)
 
 
-def _numbered(df: DataFrame, keys: list[str], side: str) -> tuple[list[str], list[str], list[str]]:
-    """A name for every column, those of the keys in the order given, and those of the other columns."""
-    names = [f"{side}_key_{keys.index(c)}" if c in keys else f"{side}_{i}" for i, c in enumerate(df.columns)]
-    of_keys = [f"{side}_key_{i}" for i in range(len(keys))]
-    return names, of_keys, [n for n in names if n not in of_keys]
-
-
-def _nulls(df: DataFrame, names: list[str]):
-    return [F.lit(None).cast(df.schema[n].dataType).alias(n) for n in names]
+def _null_key(df: DataFrame, keys: list[str]):
+    """True for rows with a NULL in the key; None if there can be none."""
+    nullable = [col(k).isNull() for k in keys if df.schema[k].nullable]
+    return reduce(or_, nullable) if nullable else None
