@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.hashes import by_range, ranges_for, run_hashes, word_hashes
+from tablewright.llm.hashes import by_range, groups_of, joined, ranges_for, run_hashes, word_hashes
 from tablewright.llm.rows import documents, map_batches, shown
 from tablewright.sources.scratch import scratch_path
 
@@ -82,72 +83,130 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
 
-def anchors_of(words: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every run of ``ANCHOR`` words, and the place of each window's anchor: the first least hash in it."""
-    runs = run_hashes(word_hashes(words), ANCHOR)
+def anchors_of(words: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words, of every run of ``ANCHOR`` words, and the place of each window's anchor.
+
+    That is the first least hash among the runs in the window.
+    """
+    hashes = word_hashes(words)
+    runs = run_hashes(hashes, ANCHOR)
     if len(words) < size:
-        return runs, np.zeros(0, dtype=np.int64)
+        return hashes, runs, np.zeros(0, dtype=np.int64)
     view = np.lib.stride_tricks.sliding_window_view(runs, size - ANCHOR + 1)
-    return runs, view.argmin(axis=1) + np.arange(len(view))
+    return hashes, runs, view.argmin(axis=1) + np.arange(len(view))
+
+
+def around(hashes: np.ndarray, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each anchor the hash of it with some words before it, and with as many after it; 0 where there are none.
+
+    Every window holds one of the two, so an anchor of which neither is repeated is in no repeated window.
+    """
+    more = (size - ANCHOR) // 2
+    runs = run_hashes(hashes, ANCHOR + more) | np.uint64(1)
+    left, right = np.zeros(len(places), dtype=np.uint64), np.zeros(len(places), dtype=np.uint64)
+    has_left, has_right = places >= more, places < len(runs)
+    left[has_left], right[has_right] = runs[places[has_left] - more], runs[places[has_right]]
+    return left, right
 
 
 def _requests(rows: DataFrame, size: int, ranges: int) -> DataFrame:
-    """(part, doc_id, version, hashes, places) of the documents' anchors."""
+    """The documents' anchors by range of hash: a row holds those of a whole batch of documents, packed."""
 
     def start():
-        def step(ids, texts, versions):
-            out = [[], [], [], [], []]
-            for doc, text, version in zip(ids, texts, versions, strict=True):
-                runs, of_window = anchors_of(words_of(text), size)
+        def step(ids, texts, versions, checks):
+            found = []
+            for k, text in enumerate(texts):
+                hashes, runs, of_window = anchors_of(words_of(text), size)
                 places = np.unique(of_window)
-                hashes = runs[places]
-                for part, at in by_range(hashes, ranges) if len(places) else ():
-                    values = part, doc, version, hashes[at].tobytes(), places[at].astype("<u4").tobytes()
-                    for column, value in zip(out, values, strict=True):
-                        column.append(value)
-            return out
+                if len(places):
+                    found.append((runs[places], *around(hashes, places, size), places, np.full(len(places), k)))
+            if not found:
+                return None
+            base, left, right, places, owner = (np.concatenate(c) for c in zip(*found, strict=True))
+            ids, versions, checks = (np.array(x, dtype="<i8") for x in (ids, versions, checks))
+            out = []
+            for part, at in by_range(base, ranges):
+                spans = groups_of(owner[at])
+                docs = owner[at][[lo for lo, _ in spans]]
+                counts = np.array([hi - lo for lo, hi in spans], dtype="<u4")
+                packed = ids[docs], versions[docs], checks[docs], counts, left[at], right[at], places[at].astype("<u4")
+                out.append((part, *(x.tobytes() for x in packed)))
+            return [list(c) for c in zip(*out, strict=True)]
 
         return step
 
-    return map_batches(rows, start, "part int, doc_id long, version long, hashes binary, places binary")
+    columns = "ids", "versions", "checks", "counts", "left", "right", "places"
+    return map_batches(rows, start, "part int" + "".join(f", {c} binary" for c in columns))
 
 
-def _repeated(asked: pd.DataFrame) -> pd.DataFrame:
-    """The places of those anchors that occur twice or more."""
-    hashes = np.frombuffer(b"".join(asked["hashes"]), dtype=np.uint64)
-    places = np.frombuffer(b"".join(asked["places"]), dtype="<u4")
-    owner = np.repeat(np.arange(len(asked)), asked["hashes"].map(len).to_numpy() // 8)
-    _, which, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    often = np.flatnonzero(count[which] > 1)
-    cuts = np.flatnonzero(np.diff(owner[often], prepend=-1))
-    made = [places[often[a:b]].tobytes() for a, b in zip(cuts, [*cuts[1:], len(often)], strict=True)]
-    docs = owner[often[cuts]]
-    return pd.DataFrame(
-        {"doc_id": asked["doc_id"].to_numpy()[docs], "version": asked["version"].to_numpy()[docs], "places": made}
-    )
+def _repeated(asked: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """The places of those anchors that occur twice or more with the same words around them, by document.
+
+    Of equal texts only the first counts and is answered.
+    """
+    ids, versions, checks = (joined(asked[c], "<i8") for c in ("ids", "versions", "checks"))
+    counts, places = joined(asked["counts"], "<u4"), joined(asked["places"], "<u4")
+    order = np.lexsort((ids, checks, versions))
+    v, c = versions[order], checks[order]
+    first = np.zeros(len(ids), dtype=bool)
+    first[order] = np.concatenate([[True], (v[1:] != v[:-1]) | (c[1:] != c[:-1])])[: len(ids)]
+    own = np.repeat(first, counts)
+    ids, versions, counts, places = ids[first], versions[first], counts[first], places[own]
+    often = np.zeros(len(places), dtype=bool)
+    for side in ("left", "right"):
+        runs = joined(asked[side], "<u8")[own]
+        _, which, n = np.unique(runs, return_inverse=True, return_counts=True)
+        often |= (n[which] > 1) & (runs > 0)
+    owner = np.repeat(np.arange(len(ids)), counts)[often]
+    places = places[often]
+    bucket = ((ids ^ versions) % buckets)[owner]
+    order = np.argsort(bucket, kind="stable")
+    owner, places, bucket = owner[order], places[order], bucket[order]
+    made = [
+        (int(bucket[lo]), ids[owner[lo:hi]].tobytes(), versions[owner[lo:hi]].tobytes(), places[lo:hi].tobytes())
+        for lo, hi in groups_of(bucket)
+    ]
+    return pd.DataFrame(made, columns=["bucket", "ids", "versions", "places"])
+
+
+def _by_document(found: pd.DataFrame) -> pd.DataFrame:
+    """One row per document with the places of its repeated anchors, in order."""
+    ids, versions, places = joined(found["ids"], "<i8"), joined(found["versions"], "<i8"), joined(found["places"], "<u4")
+    order = np.lexsort((places, versions, ids))
+    ids, versions, places = ids[order], versions[order], places[order]
+    names = np.stack([ids, versions], axis=1)
+    spans = [] if not len(ids) else groups_of(np.concatenate([[0], np.cumsum((names[1:] != names[:-1]).any(axis=1))]))
+    made = [(int(ids[lo]), int(versions[lo]), places[lo:hi].tobytes()) for lo, hi in spans]
+    return pd.DataFrame(made, columns=["doc_id", "version", "places"])
 
 
 def _contexts(found: DataFrame, size: int) -> DataFrame:
-    """The words around each repeated anchor that belong to its windows, and where they begin."""
+    """The words around each repeated anchor that belong to its windows, and where they begin.
+
+    A context's digest stands for its words and so for its anchor.
+    """
 
     def start():
         def step(ids, versions, texts, places):
-            out = [[], [], [], [], []]
-            for doc, version, text, parts in zip(ids, versions, texts, places, strict=True):
+            out = [[], [], [], [], [], [], []]
+            for doc, version, text, place in zip(ids, versions, texts, places, strict=True):
                 words = words_of(text)
-                runs, of_window = anchors_of(words, size)
-                wanted = np.sort(np.frombuffer(b"".join(parts), dtype="<u4"))
+                _, runs, of_window = anchors_of(words, size)
+                wanted = np.frombuffer(place, dtype="<u4")
                 first, last = np.searchsorted(of_window, wanted), np.searchsorted(of_window, wanted, side="right")
-                for place, a, b in zip(wanted.tolist(), first.tolist(), last.tolist(), strict=True):
-                    anchor = int(runs[place].astype(np.int64))
-                    values = anchor, b" ".join(words[a : b - 1 + size]).decode(), doc, version, a
+                anchors = runs[wanted].view(np.int64).tolist()
+                for anchor, a, b in zip(anchors, first.tolist(), last.tolist(), strict=True):
+                    context = b" ".join(words[a : b - 1 + size])
+                    values = xxhash.xxh3_128_digest(context), anchor, context.decode(), doc, version, a, b - a
                     for column, value in zip(out, values, strict=True):
                         column.append(value)
             return out
 
         return step
 
-    return map_batches(found, start, "anchor long, context string, doc_id long, version long, at int")
+    return map_batches(
+        found, start, "digest binary, anchor long, context string, doc_id long, version long, at int, windows int"
+    )
 
 
 def _covered_bits(contexts: pd.DataFrame, size: int) -> pd.DataFrame:
@@ -169,51 +228,63 @@ def _covered_bits(contexts: pd.DataFrame, size: int) -> pd.DataFrame:
         bits.append(sum(1 << k for k, n in enumerate(matched) if n >= size))
         automaton.take_up(words)
     return pd.DataFrame(
-        {"anchor": groups, "digest": contexts["digest"], "doc_id": contexts["doc_id"], "at": contexts["at"], "bits": bits}
+        {"digest": contexts["digest"], "doc_id": contexts["doc_id"], "at": contexts["at"], "bits": bits}
     )
 
 
-def repeated_windows(docs: DataFrame, *, size: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def versions_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text, version, check): two hashes of the text tell rows of one id apart and show equal texts."""
+    hashes = {"version": F.xxhash64("text"), "check": F.xxhash64(F.lit(1), "text")}
+    return documents(docs, id_col, text_col).withColumns(hashes)
+
+
+def later_copies(rows: DataFrame) -> DataFrame:
+    """(doc_id, version) of the documents with the same text as one of a smaller id; only hashes are shuffled."""
+    names = rows.select("doc_id", "version", "check")
+    firsts = names.groupBy("version", "check").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    copied = firsts.filter("first < last").select("version", "check", "first")
+    return names.join(copied, ["version", "check"]).filter("doc_id > first").select("doc_id", "version").distinct()
+
+
+def repeated_windows(rows: DataFrame, *, size: int = 20) -> DataFrame:
     """(doc_id, version, at, bits): window ``at + k`` of the document begins earlier elsewhere if bit k is set.
 
-    ``version`` is a hash of the text, which tells rows of one id apart. Anchors travel as packed hashes by
+    ``rows`` are ``versions_of`` documents. Later copies of a text are not in the result: all their windows
+    begin earlier, and none of them is the first of its kind. Anchors travel as packed hashes by
     range of hash, so the number of tasks follows the amount of text; an anchor in very many documents
-    adds twelve bytes for each to its range. Equal contexts are merged on the map side before they meet.
+    adds twenty bytes for each to its range. Equal contexts are merged on the map side before they meet.
     """
-    spark = docs.sparkSession
-    rows = documents(docs, id_col, text_col).withColumn("version", F.xxhash64("text"))
+    spark = rows.sparkSession
     ranges = ranges_for(rows, 64 << 20)
     answers = (
         _requests(rows, size, ranges)
         .groupBy("part")
-        .applyInPandas(_repeated, "doc_id long, version long, places binary")
+        .applyInPandas(lambda part: _repeated(part, ranges), "bucket int, ids binary, versions binary, places binary")
+        .groupBy("bucket")
+        .applyInPandas(_by_document, "doc_id long, version long, places binary")
     )
-    wanted = answers.groupBy("doc_id", "version").agg(F.collect_list("places").alias("places"))
-    found = rows.join(wanted, ["doc_id", "version"]).select("doc_id", "version", "text", "places")
+    found = rows.join(answers, ["doc_id", "version"]).select("doc_id", "version", "text", "places")
     path = scratch_path(spark, "contexts")
-    occurrences = _contexts(found, size).withColumn("digest", F.unhex(F.md5("context")))
+    occurrences = _contexts(found, size)
     occurrences.write.option("compression", "zstd").parquet(path)
     occurrences = spark.read.schema(occurrences.schema).parquet(path)
     firsts = (
-        occurrences.groupBy("anchor", "digest", "context")
+        occurrences.groupBy("digest", "anchor", "context")
         .agg(F.min(F.struct("doc_id", "at")).alias("first"))
-        .select("anchor", "digest", "context", "first.*")
+        .select("digest", "anchor", "context", "first.*")
     )
     shards = max(1, occurrences.count() // 20_000)
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
     judged = (
         firsts.groupBy(shard)
-        .applyInPandas(
-            lambda part: _covered_bits(part, size), "anchor long, digest binary, doc_id long, at int, bits int"
-        )
-        .select("anchor", "digest", F.col("doc_id").alias("first_doc"), F.col("at").alias("first_at"), "bits")
+        .applyInPandas(lambda part: _covered_bits(part, size), "digest binary, doc_id long, at int, bits int")
+        .select("digest", F.col("doc_id").alias("first_doc"), F.col("at").alias("first_at"), "bits")
     )
-    windows = F.size(F.split("context", " ")) - size + 1
     first = (F.col("doc_id") == F.col("first_doc")) & (F.col("at") == F.col("first_at"))
     every = F.call_function("shiftleft", F.lit(1), F.col("windows")) - 1
     return (
-        occurrences.select("anchor", "digest", "doc_id", "version", "at", windows.alias("windows"))
-        .join(judged, ["anchor", "digest"])
+        occurrences.select("digest", "doc_id", "version", "at", "windows")
+        .join(judged, "digest")
         .select("doc_id", "version", "at", F.when(first, F.col("bits")).otherwise(every).alias("bits"))
         .filter("bits <> 0")
     )
@@ -229,18 +300,25 @@ def remove_repeats(docs: DataFrame, *, size: int = 20, id_col: str = "doc_id", t
     """
     if not ANCHOR <= size <= ANCHOR + 30:
         raise ValueError(f"size must lie between {ANCHOR} and {ANCHOR + 30}")
-    rows = documents(docs, id_col, text_col).withColumn("version", F.xxhash64("text"))
+    rows = versions_of(docs, id_col, text_col)
     covered = (
-        repeated_windows(docs, size=size, id_col=id_col, text_col=text_col)
+        repeated_windows(rows, size=size)
         .groupBy("doc_id", "version")
         .agg(F.collect_set(F.struct("at", "bits")).alias("covered"))
+        .withColumn("copy", F.lit(False))
+        .unionByName(later_copies(rows).withColumn("copy", F.lit(True)), allowMissingColumns=True)
     )
 
     def start():
-        def step(ids, texts, spans):
+        def step(ids, texts, spans, copies):
             kept, n_words, n_removed = [], [], []
-            for text, found in zip(texts, spans, strict=True):
+            for text, found, copy in zip(texts, spans, copies, strict=True):
                 words = words_of(text)
+                if copy and len(words) >= size:
+                    kept.append("")
+                    n_words.append(len(words))
+                    n_removed.append(len(words))
+                    continue
                 gone = np.zeros(len(words) + 1, dtype=np.int64)
                 for span in found or ():
                     for k in range(size):
@@ -255,7 +333,7 @@ def remove_repeats(docs: DataFrame, *, size: int = 20, id_col: str = "doc_id", t
 
         return step
 
-    joined = rows.join(covered, ["doc_id", "version"], "left").select("doc_id", "text", "covered")
+    joined = rows.join(covered, ["doc_id", "version"], "left").select("doc_id", "text", "covered", "copy")
     return shown(map_batches(joined, start, "doc_id long, text string, n_words long, n_removed long"))
 
 
