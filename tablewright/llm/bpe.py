@@ -13,14 +13,13 @@ import hashlib
 import json
 import re
 import struct
-from functools import lru_cache
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from tablewright.llm.rows import Recent, documents, map_batches, shown
+from tablewright.llm.rows import Recent, documents, kept_in_process, map_batches, shown
 
 #: Stands for the end-of-word suffix as one character; byte-level symbols don't use it.
 MARK = "\ue000"
@@ -263,10 +262,9 @@ class PrefixBpe:
         return " ".join(map(self.strings.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
 def model(spec: str) -> PrefixBpe:
     """One per worker process, so that its caches outlive a task."""
-    return PrefixBpe(spec)
+    return kept_in_process("prefix bpe", spec, PrefixBpe)
 
 
 def read_spec(path: str, most_bytes: int = 64 << 20) -> str:

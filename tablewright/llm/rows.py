@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -35,11 +37,12 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def map_batches(df: DataFrame, start: Callable[[], Callable], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, start: Callable[[], Callable], schema: str, *, at_once: int | None = None) -> DataFrame:
     """Run over Arrow batches: ``start()`` once per task gives a function of the columns as lists.
 
     That function returns the output columns as lists, or None for no rows. ``start`` may also
     return a pair; its second function, without arguments, gives the rows that are left at the end.
+    ``at_once`` bounds the rows of one call where the results are much larger than the input.
     """
     out = to_arrow_schema(StructType.fromDDL(schema))
 
@@ -51,15 +54,32 @@ def map_batches(df: DataFrame, start: Callable[[], Callable], schema: str) -> Da
         started = start()
         step, finish = started if isinstance(started, tuple) else (started, None)
         for batch in batches:
-            made = step(*(c.to_pylist() for c in batch.columns))
-            if made is not None:
-                yield batch_of(made)
+            size = at_once or max(1, batch.num_rows)
+            for part in (batch.slice(k, size) for k in range(0, batch.num_rows, size)):
+                made = step(*(c.to_pylist() for c in part.columns))
+                if made is not None:
+                    yield batch_of(made)
         if finish and (made := finish()) is not None:
             yield batch_of(made)
 
     return df.mapInArrow(run, schema)
 
 
+def kept_in_process(kind: str, spec: str, make: Callable):
+    """``make(spec)``, kept for later tasks of this worker process; the two last ones of a kind.
+
+    Functions of this package reach a worker by value, anew for each task, so its modules' globals
+    would not last.
+    """
+    store = sys.modules.setdefault("_tablewright_kept", types.ModuleType("_tablewright_kept"))
+    held = store.__dict__.setdefault(kind, {})
+    if spec not in held:
+        while len(held) > 1:
+            del held[next(iter(held))]
+        held[spec] = make(spec)
+    return held[spec]
+
+
 class Recent(dict):
     """A cache that makes what it lacks and holds about ``2 * size`` entries: this and the last generation."""
 

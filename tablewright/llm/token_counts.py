@@ -9,14 +9,13 @@ them are brought up to date.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.bpe import read_spec
-from tablewright.llm.rows import Recent, documents, map_batches, shown
+from tablewright.llm.rows import Recent, documents, kept_in_process, map_batches, shown
 from tablewright.llm.token_files import encoder
 
 #: Fixed value: Unicode's white space.
@@ -26,44 +25,47 @@ SPACE = re.compile(f"[{SPACES}]")
 
 
 class SumTree:
-    """Sums over a list of numbers, as a heap: node k covers the nodes 2k and 2k+1; leaves stand last."""
+    """Sums over a list of numbers: the leaves, then the sums of each two of them, and so on to the total.
 
-    def __init__(self, nodes: np.ndarray):
-        self.nodes, self.size = nodes, len(nodes) // 2
+    All levels lie in one array, one after the other, without padding.
+    """
+
+    def __init__(self, nodes: np.ndarray, n: int):
+        self.nodes, self.n = nodes, n
+        self.begins, width, at = [], n, 0
+        while width:
+            self.begins.append(at)
+            at, width = at + width, (width + 1) // 2 if width > 1 else 0
 
     @classmethod
     def of(cls, leaves) -> SumTree:
-        size = 1
-        while size < len(leaves):
-            size *= 2
-        nodes = np.zeros(2 * size, dtype="<i8")
-        nodes[size : size + len(leaves)] = leaves
-        level = size
-        while level > 1:
-            nodes[level // 2 : level] = nodes[level : 2 * level].reshape(-1, 2).sum(axis=1)
-            level //= 2
-        return cls(nodes)
+        level = np.asarray(leaves, dtype="<u4")
+        levels = [level]
+        while len(level) > 1:
+            level = np.add.reduceat(level, np.arange(0, len(level), 2), dtype="<u4")
+            levels.append(level)
+        return cls(np.concatenate(levels), len(levels[0]))
+
+    def leaves(self) -> np.ndarray:
+        return self.nodes[: self.n]
 
     def total(self) -> int:
-        return int(self.nodes[1])
+        return int(self.nodes[-1]) if self.n else 0
 
     def set(self, leaf: int, value: int) -> None:
-        k = leaf + self.size
-        change = value - int(self.nodes[k])
-        while k:
-            self.nodes[k] += change
-            k //= 2
+        change = value - int(self.nodes[leaf])
+        for k, begin in enumerate(self.begins):
+            self.nodes[begin + (leaf >> k)] = int(self.nodes[begin + (leaf >> k)]) + change
 
     def find(self, offset: int) -> tuple[int, int]:
         """The leaf that covers a place, and where the leaf begins."""
-        k, before = 1, 0
-        while k < self.size:
-            left = int(self.nodes[2 * k])
-            if offset - before < left:
-                k = 2 * k
-            else:
-                before, k = before + left, 2 * k + 1
-        return k - self.size, before
+        at, before = 0, 0
+        for begin in reversed(self.begins[:-1]):
+            at *= 2
+            left = int(self.nodes[begin + at])
+            if offset - before >= left:
+                at, before = at + 1, before + left
+        return at, before
 
 
 class Counter:
@@ -80,9 +82,8 @@ class Counter:
         return e.whole(piece)
 
 
-@lru_cache(maxsize=2)
 def counter(spec: str) -> Counter:
-    return Counter(spec)
+    return kept_in_process("token counter", spec, Counter)
 
 
 class CountedText:
@@ -107,12 +108,12 @@ class CountedText:
         end = min(max(end, start), size)
         first, lo = self.lengths.find(start - 1) if start and self.n else (0, 0)
         last, at = self.lengths.find(end) if end < size else (self.n - 1, 0)
-        hi = at + int(self.lengths.nodes[self.lengths.size + last]) if end < size else size
+        hi = at + int(self.lengths.nodes[last]) if end < size else size
         self.text = self.text[:start] + new + self.text[end:]
         hi += len(new) - (end - start)
         while hi < len(self.text) and (hi == lo or SPACE.match(self.text[hi - 1])):
             last += 1  # the region ends in white space, which belongs to the next piece
-            hi += int(self.lengths.nodes[self.lengths.size + last])
+            hi += int(self.lengths.nodes[last])
         pieces = PIECE.findall(self.text[lo:hi])
         tokens = [counts.cache[p] for p in pieces]
         self.encoded = len(pieces)
@@ -123,12 +124,14 @@ class CountedText:
                 self.tokens.set(first + k, n)
             return
         for name, values in (("lengths", list(map(len, pieces))), ("tokens", tokens)):
-            tree = getattr(self, name)
-            leaves = tree.nodes[tree.size : tree.size + self.n]
-            setattr(self, name, SumTree.of(np.concatenate([leaves[:first], np.array(values, dtype="<i8"), leaves[first + old :]])))
+            leaves = getattr(self, name).leaves()
+            changed = np.concatenate([leaves[:first], np.array(values, dtype="<u4"), leaves[first + old :]])
+            setattr(self, name, SumTree.of(changed))
         self.n += len(pieces) - old
 
 
+#: Trees are larger than texts, so a task makes them for so many documents at a time.
+ROWS_AT_ONCE = 1000
 STATE = "doc_id long, text string, n_pieces long, length_tree binary, token_tree binary, n_tokens long, n_encoded long"
 
 
@@ -152,7 +155,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, **columns) -> DataFrame:
         c = counter(spec.value)
         return lambda ids, texts: _columns(ids, [CountedText.of(t or "", c) for t in texts]) if ids else None
 
-    return shown(map_batches(documents(docs, **columns), start, STATE))
+    return shown(map_batches(documents(docs, **columns), start, STATE, at_once=ROWS_AT_ONCE))
 
 
 def with_edits(state: DataFrame, edits: DataFrame) -> DataFrame:
@@ -183,7 +186,7 @@ def apply_edits(state: DataFrame, tokenizer: str, *, carry: tuple[str, ...] = ()
         def step(ids, texts, sizes, lengths, tokens, edits, *carried):
             done = []
             for text, n, a, b, changes in zip(texts, sizes, lengths, tokens, edits, strict=True):
-                t = CountedText(text, n, *(SumTree(np.frombuffer(x, dtype="<i8").copy()) for x in (a, b)))
+                t = CountedText(text, n, *(SumTree(np.frombuffer(x, dtype="<u4").copy(), n) for x in (a, b)))
                 total = 0
                 for e in changes or ():
                     t.edit(e["start"] or 0, e["stop"] or 0, e["new"] or "", c)
@@ -200,4 +203,4 @@ def apply_edits(state: DataFrame, tokenizer: str, *, carry: tuple[str, ...] = ()
         *carry,
     )
     more = "".join(f", `{c}` {state.schema[c].dataType.simpleString()}" for c in carry)
-    return map_batches(asked, start, STATE + more)
+    return map_batches(asked, start, STATE + more, at_once=ROWS_AT_ONCE)

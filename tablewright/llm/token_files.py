@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import regex
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablewright.llm.bpe import ENDS, SIMPLE_CHUNK, byte_level, is_letters, pack_ids, read_spec
-from tablewright.llm.rows import Recent, documents, map_batches, shown
+from tablewright.llm.rows import Recent, documents, kept_in_process, map_batches, shown
 
 BLOCK = 1 << 16
 SPACE = byte_level(" ")
@@ -92,9 +91,9 @@ class SpacedEncoder:
             return self.whole(text)
 
 
-@lru_cache(maxsize=2)
 def encoder(spec: str) -> SpacedEncoder:
-    return SpacedEncoder(spec)
+    """One per worker process, so that its caches outlive a task."""
+    return kept_in_process("spaced encoder", spec, SpacedEncoder)
 
 
 def to_planes(ids: bytes, compressor: zstandard.ZstdCompressor) -> list[bytes]:

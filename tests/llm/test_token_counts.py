@@ -46,6 +46,19 @@ def test_tree():
     assert [t.find(i) for i in (0, 2, 3, 7)] == [(0, 0), (0, 0), (2, 3), (2, 3)]
     t.set(1, 4)
     assert t.total() == 12 and t.find(3) == (1, 3)
+    assert SumTree.of([]).total() == 0
+    rng = random.Random(3)
+    for n in range(1, 40):
+        leaves = [rng.randint(1, 5) for _ in range(n)]
+        t = SumTree.of(leaves)
+        for _ in range(3):
+            k = rng.randrange(n)
+            leaves[k] = rng.randint(1, 9)
+            t.set(k, leaves[k])
+        assert t.total() == sum(leaves) and len(t.nodes) == len(SumTree.of(leaves).nodes)
+        assert t.nodes.tolist() == SumTree.of(leaves).nodes.tolist()
+        places = [(i, sum(leaves[:i])) for i, w in enumerate(leaves) for _ in range(w)]
+        assert [t.find(x) for x in range(sum(leaves))] == places
 
 
 def test_operator(spark):
