@@ -23,6 +23,10 @@ from tablewright.llm.rows import documents, free_name, map_batches
 from tablewright.sources.scratch import scratch_path
 
 
+#: A task packs its tokens whenever it holds more, which bounds its memory and changes no result.
+TOKENS_AT_ONCE = 1_000_000
+
+
 def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of the text's runs of ``size`` words, A-Z in lower case; a shorter text is one run."""
     words = text.encode().translate(LOWER).split() if text else []
@@ -41,10 +45,23 @@ def _asked(rows: DataFrame, size: int, ranges: int) -> DataFrame:
     def start():
         seen: set[bytes] = set()
 
+        def tokens_of(asked: list[tuple[bytes, np.ndarray]]) -> list[tuple]:
+            tokens = np.concatenate([t for _, t in asked])
+            owner = np.repeat(np.arange(len(asked)), [len(t) for _, t in asked])
+            out = []
+            for part, at in by_range(tokens, ranges):
+                spans = groups_of(owner[at])
+                who = owner[at][[lo for lo, _ in spans]].tolist()
+                counts = np.array([hi - lo for lo, hi in spans], dtype="<u4")
+                sizes = np.array([len(asked[k][1]) for k in who], dtype="<u4")
+                names = b"".join([asked[k][0] for k in who])
+                out.append((part, None, names, sizes.tobytes(), counts.tobytes(), tokens[at].tobytes()))
+            return out
+
         def step(ids, texts):
             if not ids:
                 return None
-            sizes, names, asked, found = [], [], [], []
+            sizes, names, asked, held, out = [], [], [], 0, []
             for text in texts:
                 tokens = shingles(text, size)
                 name = xxhash.xxh3_128_digest(tokens.tobytes())
@@ -54,19 +71,14 @@ def _asked(rows: DataFrame, size: int, ranges: int) -> DataFrame:
                     if len(seen) > 100_000:
                         seen.clear()
                     seen.add(name)
-                    found.append(tokens)
-                    asked.append((name, len(tokens)))
+                    asked.append((name, tokens))
+                    held += len(tokens)
+                    if held > TOKENS_AT_ONCE:
+                        out += tokens_of(asked)
+                        asked, held = [], 0
+            out += tokens_of(asked) if asked else []
             packed = np.array(ids, dtype="<i8").tobytes(), b"".join(names), np.array(sizes, dtype="<u4").tobytes()
-            out = [(ids[0] % ranges, *packed, None, None)]
-            tokens = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
-            owner = np.repeat(np.arange(len(found)), [len(t) for t in found])
-            for part, at in by_range(tokens, ranges) if found else ():
-                spans = groups_of(owner[at])
-                who = owner[at][[lo for lo, _ in spans]].tolist()
-                counts = np.array([hi - lo for lo, hi in spans], dtype="<u4")
-                ns = np.array([asked[k][1] for k in who], dtype="<u4")
-                own = b"".join([asked[k][0] for k in who])
-                out.append((part, None, own, ns.tobytes(), counts.tobytes(), tokens[at].tobytes()))
+            out.append((ids[0] % ranges, *packed, None, None))
             return [list(c) for c in zip(*out, strict=True)]
 
         return step
@@ -301,7 +313,7 @@ def jaccard_groups(
         return spark.read.schema(df.schema).parquet(path)
 
     rows = documents(docs, id_col, text_col)
-    ranges = ranges_for(rows, 48 << 20)
+    ranges = ranges_for(rows, 16 << 20)
     answers = written(
         _asked(rows, words, ranges).groupBy("part").applyInPandas(lambda part: _shared(part, ranges), ANSWER),
         "shingle-answers",
