@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from tablewright.llm.rows import Recent, documents, kept_in_process, map_batches, shown
+from tablewright.llm.rows import Recent, documents, map_batches, shown
 
 #: Stands for the end-of-word suffix as one character; byte-level symbols don't use it.
 MARK = "\ue000"
@@ -263,8 +263,8 @@ class PrefixBpe:
 
 
 def model(spec: str) -> PrefixBpe:
-    """One per worker process, so that its caches outlive a task."""
-    return kept_in_process("prefix bpe", spec, PrefixBpe)
+    """One for the task, given back with it."""
+    return PrefixBpe(spec)
 
 
 def read_spec(path: str, most_bytes: int = 64 << 20) -> str:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import sys
-import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -65,21 +63,6 @@ def map_batches(df: DataFrame, start: Callable[[], Callable], schema: str, *, at
     return df.mapInArrow(run, schema)
 
 
-def kept_in_process(kind: str, spec: str, make: Callable):
-    """``make(spec)``, kept for later tasks of this worker process; the two last ones of a kind.
-
-    Functions of this package reach a worker by value, anew for each task, so its modules' globals
-    would not last.
-    """
-    store = sys.modules.setdefault("_tablewright_kept", types.ModuleType("_tablewright_kept"))
-    held = store.__dict__.setdefault(kind, {})
-    if spec not in held:
-        while len(held) > 1:
-            del held[next(iter(held))]
-        held[spec] = make(spec)
-    return held[spec]
-
-
 class Recent(dict):
     """A cache that makes what it lacks and holds about ``2 * size`` entries: this and the last generation."""
 

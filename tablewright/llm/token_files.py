@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablewright.llm.bpe import ENDS, SIMPLE_CHUNK, byte_level, is_letters, pack_ids, read_spec
-from tablewright.llm.rows import Recent, documents, kept_in_process, map_batches, shown
+from tablewright.llm.rows import Recent, documents, map_batches, shown
 
 BLOCK = 1 << 16
 SPACE = byte_level(" ")
@@ -92,8 +92,8 @@ class SpacedEncoder:
 
 
 def encoder(spec: str) -> SpacedEncoder:
-    """One per worker process, so that its caches outlive a task."""
-    return kept_in_process("spaced encoder", spec, SpacedEncoder)
+    """One for the task, given back with it."""
+    return SpacedEncoder(spec)
 
 
 def to_planes(ids: bytes, compressor: zstandard.ZstdCompressor) -> list[bytes]:
