@@ -14,12 +14,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.bpe import read_spec
+from tablewright.llm.bpe import ENDS, byte_level, is_letters, read_spec
 from tablewright.llm.rows import Recent, documents, map_batches, shown
 from tablewright.llm.token_files import encoder
 
 #: Fixed value: Unicode's white space.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE_LETTER = byte_level(" ")
 PIECE = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 SPACE = re.compile(f"[{SPACES}]")
 
@@ -69,17 +70,22 @@ class SumTree:
 
 
 class Counter:
-    """Token counts of pieces, cached."""
+    """Token counts of pieces, cached. For simple words the library's model is called directly."""
 
     def __init__(self, spec: str):
         self.encoder = encoder(spec)
-        self.cache = Recent(lambda piece: len(self.encode(piece)) // 4)
-
-    def encode(self, piece: str) -> bytes:
-        e = self.encoder
-        if piece[0] == " " and not SPACE.search(piece, 1) and not any(s in piece for s in e.special):
-            return e.piece(piece[1:], piece) or e.whole(piece)
-        return e.whole(piece)
+        self.cache = Recent(self.count, 600_000)
+
+    def count(self, piece: str) -> int:
+        e, begin, word = self.encoder, piece[0], piece[1:]
+        if begin in " \n" and word:
+            if is_letters(word):
+                letters = byte_level(word)
+                # a space belongs to its word, a line end is a token of its own
+                return len(e.model.tokenize(SPACE_LETTER + letters)) if begin == " " else 1 + len(e.model.tokenize(letters))
+            if word[-1] in ENDS and is_letters(word[:-1]):
+                return self.cache[piece[:-1]] + len(e.signs[word[-1]]) // 4
+        return len(e.whole(piece)) // 4
 
 
 def counter(spec: str) -> Counter:
