@@ -39,8 +39,8 @@ class SpacedEncoder:
 
     Its pre-tokenizer always cuts before a space that follows something else, so the ids of a line
     are those of its first word and of each further one with its space; a single line end between words is
-    a token too. Where white space meets white space, or a special token's string stands in the text,
-    the whole text goes to the library.
+    a token too. Where white space meets white space, also where a line or word begins with white space
+    other than a space, or a special token's string stands in the text, the whole text goes to the library.
     """
 
     def __init__(self, spec: str):
@@ -65,7 +65,7 @@ class SpacedEncoder:
 
         For one word the library's model is called directly, which saves most of the time.
         """
-        if not word or word[-1].isspace():
+        if not word or word[0].isspace() or word[-1].isspace():
             return ()
         if is_letters(word):
             letters = byte_level(word)

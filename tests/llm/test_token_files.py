@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tablewright.llm.token_files import read_tokens, write_tokens
+from tablewright.llm.bpe import read_spec
+from tablewright.llm.token_files import SpacedEncoder, read_tokens, write_tokens
 from tablewright.sources.scratch import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,3 +53,14 @@ def test_empty_table(spark):
     path = scratch_path(spark, "test-tokens")
     write_tokens(spark.createDataFrame([], "doc_id long, text string"), path, PATH, end_id=2)
     assert read_tokens(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("blank", ["\u00a0", "\u3000", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\u2003", "\u2028", "\u200b", "\ufeff"])
+def test_words_that_begin_with_white_space(blank):
+    library = Tokenizer.from_file(PATH)
+    cut = SpacedEncoder(read_spec(PATH))
+    for n in range(4):
+        for text in ("x\n{}foo bar", "x {}foo bar", "{}foo", "x\n{}", "x\n{} y", "x\n {}y", "x{}\ny", "x\n{}1, (a)", "{}\nfoo", "x{}y z"):
+            text = text.format(blank * n)
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert cut.encode(text) == struct.pack(f"<{len(ids)}I", *ids), repr(text)
