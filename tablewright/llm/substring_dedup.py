@@ -5,6 +5,7 @@ alone, so equal windows name equal anchors. Windows around an anchor that occurs
 repeated. For the others, the words around the anchor make a context; the contexts of one anchor are
 a reference shard. Its suffix automaton takes up the contexts in order of place; each is streamed
 through it first, and where its matching statistics reach ``size`` words, an earlier place holds the window.
+Contexts of an anchor with very many of them meet window by window in native aggregation and not in an automaton.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from tablewright.llm.rows import documents, map_batches, shown
 from tablewright.sources.scratch import scratch_path
 
 ANCHOR = 8
+#: An automaton holds the contexts of an anchor with so many occurrences at most.
+MOST_CONTEXTS = 2_000
 
 
 class SuffixAutomaton:
@@ -232,6 +235,45 @@ def _covered_bits(contexts: pd.DataFrame, size: int) -> pd.DataFrame:
     )
 
 
+def marked_hot(firsts: DataFrame, occurrences: DataFrame, most: int) -> DataFrame:
+    """The contexts with a column ``hot``: true where the anchor has more than ``most`` occurrences, else NULL."""
+    often = occurrences.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > most)
+    return firsts.join(often.select("anchor", F.lit(True).alias("hot")), "anchor", "left")
+
+
+def _covered_by_window(contexts: DataFrame, size: int) -> DataFrame:
+    """What ``_covered_bits`` says, for any number of contexts of one anchor: the first place of every window, natively."""
+
+    def start():
+        def step(digests, texts, docs, places):
+            out = [[], [], [], [], []]
+            for digest, text, doc, at in zip(digests, texts, docs, places, strict=True):
+                words = text.encode().split(b" ")
+                for k in range(len(words) - size + 1):
+                    values = xxhash.xxh3_128_digest(b" ".join(words[k : k + size])), digest, doc, at + k, k
+                    for column, value in zip(out, values, strict=True):
+                        column.append(value)
+            return out
+
+        return step
+
+    windows = map_batches(
+        contexts.select("digest", "context", "doc_id", "at"),
+        start,
+        "window binary, digest binary, doc_id long, at int, k int",
+        at_once=1_000,
+    )
+    first = windows.groupBy("window").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"))
+    repeated = first.filter("n > 1").select("window", "first")
+    later = F.struct("doc_id", "at") > F.col("first")
+    bit = F.when(later, F.call_function("shiftleft", F.lit(1), F.col("k"))).otherwise(0)
+    return (
+        windows.join(repeated, "window", "left")
+        .groupBy("digest")
+        .agg(F.min("doc_id").alias("doc_id"), F.min("at").alias("at"), F.bit_or(bit).alias("bits"))
+    )
+
+
 def versions_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text, version, check): two hashes of the text tell rows of one id apart and show equal texts."""
     hashes = {"version": F.xxhash64("text"), "check": F.xxhash64(F.lit(1), "text")}
@@ -246,13 +288,14 @@ def later_copies(rows: DataFrame) -> DataFrame:
     return names.join(copied, ["version", "check"]).filter("doc_id > first").select("doc_id", "version").distinct()
 
 
-def repeated_windows(rows: DataFrame, *, size: int = 20) -> DataFrame:
+def repeated_windows(rows: DataFrame, *, size: int = 20, most: int = MOST_CONTEXTS) -> DataFrame:
     """(doc_id, version, at, bits): window ``at + k`` of the document begins earlier elsewhere if bit k is set.
 
     ``rows`` are ``versions_of`` documents. Later copies of a text are not in the result: all their windows
     begin earlier, and none of them is the first of its kind. Anchors travel as packed hashes by
     range of hash, so the number of tasks follows the amount of text; an anchor in very many documents
-    adds twenty bytes for each to its range. Equal contexts are merged on the map side before they meet.
+    adds twenty bytes for each to its range. Equal contexts are merged on the map side before they meet, and
+    those of an anchor with more than ``most`` occurrences don't meet, but are judged window by window.
     """
     spark = rows.sparkSession
     ranges = ranges_for(rows, 64 << 20)
@@ -267,7 +310,8 @@ def repeated_windows(rows: DataFrame, *, size: int = 20) -> DataFrame:
     path = scratch_path(spark, "contexts")
     occurrences = _contexts(found, size)
     occurrences.write.option("compression", "zstd").parquet(path)
-    occurrences = spark.read.schema(occurrences.schema).parquet(path)
+    # the same filter for all readers lets Spark shuffle the contexts once
+    occurrences = spark.read.schema(occurrences.schema).parquet(path).filter("anchor is not null")
     firsts = (
         occurrences.groupBy("digest", "anchor", "context")
         .agg(F.min(F.struct("doc_id", "at")).alias("first"))
@@ -275,9 +319,12 @@ def repeated_windows(rows: DataFrame, *, size: int = 20) -> DataFrame:
     )
     shards = max(1, occurrences.count() // 20_000)
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
+    marked = marked_hot(firsts, occurrences, most)
     judged = (
-        firsts.groupBy(shard)
+        marked.filter("hot is null")
+        .groupBy(shard)
         .applyInPandas(lambda part: _covered_bits(part, size), "digest binary, doc_id long, at int, bits int")
+        .unionByName(_covered_by_window(marked.filter("hot"), size))
         .select("digest", F.col("doc_id").alias("first_doc"), F.col("at").alias("first_at"), "bits")
     )
     first = (F.col("doc_id") == F.col("first_doc")) & (F.col("at") == F.col("first_at"))
@@ -290,19 +337,21 @@ def repeated_windows(rows: DataFrame, *, size: int = 20) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, *, size: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, *, size: int = 20, most: int = MOST_CONTEXTS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """(doc_id, text, n_words, n_removed) of every row: the words that stay, joined by one space.
 
     A word goes if a window of ``size`` words covers it whose words also begin at an earlier place: in a
     document of smaller id, or in the same one before. Windows are judged on the input. A NULL id is the smallest.
     Rows of one id are at the same place: equal ones are judged alike, and neither is earlier than the other.
-    A NULL or empty text has no words.
+    A NULL or empty text has no words. ``most`` bounds the contexts of an anchor that one automaton takes up, not the result.
     """
     if not ANCHOR <= size <= ANCHOR + 30:
         raise ValueError(f"size must lie between {ANCHOR} and {ANCHOR + 30}")
     rows = versions_of(docs, id_col, text_col)
     covered = (
-        repeated_windows(rows, size=size)
+        repeated_windows(rows, size=size, most=most)
         .groupBy("doc_id", "version")
         .agg(F.collect_set(F.struct("at", "bits")).alias("covered"))
         .withColumn("copy", F.lit(False))

@@ -1,7 +1,7 @@
 import random
 import re
 
-from tablewright.llm.substring_dedup import SuffixAutomaton, remove_repeats
+from tablewright.llm.substring_dedup import SuffixAutomaton, marked_hot, remove_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -79,3 +79,24 @@ def test_matching_statistics():
             assert automaton.statistics(words) == expected
             automaton.take_up(words)
             before.append(words)
+
+
+def test_hot_anchors_are_judged_window_by_window(spark):
+    rng = random.Random(8)
+    say = lambda n: [f"w{rng.randrange(400)}" for _ in range(n)]
+    rows = made(3)
+    for n in (14, 20, 33):  # a notice with other words around it in each document, and pairs that share some of them
+        notice = say(n)
+        for i in range(40):
+            left, right = say(15), say(15)
+            rows += [(1000 * n + 2 * i + k, " ".join([*say(3), *left, *notice, *right, *say(4)])) for k in range(1 + i % 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(brute(rows), key=order)
+    for most in (0, 10):
+        assert sorted(map(tuple, remove_repeats(docs, most=most).collect()), key=order) == want
+
+
+def test_no_automaton_takes_up_a_hot_anchor(spark):
+    occurrences = spark.createDataFrame([(i % 7 and 1, i) for i in range(70)] + [(2, 1), (2, 2)], "anchor long, at int")
+    marked = marked_hot(occurrences, occurrences, 10).filter("hot is null").groupBy("anchor").count().collect()
+    assert sorted(map(tuple, marked)) == [(0, 10), (2, 2)]
