@@ -34,6 +34,9 @@ def windows_of(words: list[bytes], size: int) -> Iterable[tuple[bytes, ...]]:
         return [tuple(words)] if words else []
     return (tuple(words[i : i + size]) for i in range(len(words) - size + 1))
 
+#: Windows of a benchmark block, whose tables a task holds at once.
+BLOCK_WINDOWS = 200_000
+
 
 class WuManber:
     """Patterns of one length, each with the items that hold it."""
@@ -78,20 +81,23 @@ def matchers(items: Iterable[tuple[object, str | None]], size: int) -> list[WuMa
     return [WuManber(n, dict(p)) for n, p in sorted(by_length.items())]
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, most_bytes: int) -> Iterator[list]:
-    """The benchmark in lists of at most ``most_bytes`` of text (or one item); items without id are named ''."""
+def item_blocks(
+    benchmark: DataFrame, item_col: str, text_col: str, most_bytes: int, size: int, most_windows: int
+) -> Iterator[list]:
+    """The benchmark in lists of at most so many bytes of text and windows (or one item); items without id are named ''."""
     rows = benchmark.select(
         F.coalesce(benchmark[item_col].cast("string"), F.lit("")), benchmark[text_col].cast("string")
     )
-    block, held = [], 0
+    block, held, windows = [], 0, 0
     for item, text in rows.toLocalIterator():
         if not text:
             continue
-        if block and held + len(text) > most_bytes:
+        more = max(1, len(words_of(text)) - size + 1)
+        if block and (held + len(text) > most_bytes or windows + more > most_windows):
             yield block
-            block, held = [], 0
+            block, held, windows = [], 0, 0
         block.append((item, text))
-        held += len(text)
+        held, windows = held + len(text), windows + more
     if block:
         yield block
 
@@ -131,6 +137,7 @@ def find_passages(
     item_col: str = "item_id",
     item_text_col: str = "text",
     block_bytes: int = 8 << 20,
+    block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
     """(doc_id, text, hits, items) of every document: a byte per word, 1 where a benchmark window covers it.
 
@@ -143,7 +150,7 @@ def find_passages(
         {"hits": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")}
     )
     searched = None
-    for block in item_blocks(benchmark, item_col, item_text_col, block_bytes):
+    for block in item_blocks(benchmark, item_col, item_text_col, block_bytes, size, block_windows):
         if searched is not None:
             path = scratch_path(spark, "passages")
             searched.write.parquet(path)
@@ -178,14 +185,22 @@ def report(found: DataFrame) -> DataFrame:
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents, with all their columns, that hold no window of the benchmark.
 
-    Marks each row in one pass without a shuffle; see ``find_passages`` for the options.
+    No shuffle; with more than one block of the benchmark, each further one searches the rows that the block
+    before has kept and written. See ``find_passages`` for the options.
     """
+    spark = docs.sparkSession
     name = free_name(docs, "text_of_row")
-    kept = docs.withColumn(name, docs[options.get("text_col", "text")].cast("string"))
-    size, most = options.get("size", 10), options.get("block_bytes", 8 << 20)
-    for block in item_blocks(benchmark, options.get("item_col", "item_id"), options.get("item_text_col", "text"), most):
-        kept = _drop(kept, block, size)
-    return kept.drop(name)
+    rows = docs.withColumn(name, docs[options.get("text_col", "text")].cast("string"))
+    size = options.get("size", 10)
+    most = options.get("block_bytes", 8 << 20), size, options.get("block_windows", BLOCK_WINDOWS)
+    kept = None
+    for block in item_blocks(benchmark, options.get("item_col", "item_id"), options.get("item_text_col", "text"), *most):
+        if kept is not None:
+            path = scratch_path(spark, "kept-rows")
+            kept.write.parquet(path)
+            rows = spark.read.schema(rows.schema).parquet(path)
+        kept = _drop(rows, block, size)
+    return (rows if kept is None else kept).drop(name)
 
 
 def _drop(docs: DataFrame, block: list, size: int) -> DataFrame:

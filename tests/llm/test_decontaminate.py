@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from tablewright.llm.decontaminate import WuManber, find_passages, report, without_benchmark
+from tablewright.llm.decontaminate import WuManber, find_passages, item_blocks, report, without_benchmark
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -76,3 +76,20 @@ def test_search_skips():
     text = [b"z"] * 900 + words
     assert [at for at, _ in search.find(text)] == [900]
     assert looked < 120
+
+
+def test_each_block_is_searched_by_itself(spark):
+    rows, items = made(1)
+    docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, hits string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    clean = sorted(r[0] or 0 for r in rows if not brute(r[1], items)[-1])
+    for options in ({"block_bytes": 60}, {"block_windows": 8}):
+        kept = without_benchmark(docs, bench, **options)
+        assert kept.columns == docs.columns
+        assert kept._jdf.queryExecution().toString().count("MapInArrow") <= 4  # one for each of the four plans shown
+        assert sorted(r.doc_id or 0 for r in kept.collect()) == clean
+
+
+def test_blocks_by_windows(spark):
+    bench = spark.createDataFrame([(i, "a b c d e f g h i j k l") for i in range(5)], "item_id long, text string").coalesce(1)
+    assert [len(b) for b in item_blocks(bench, "item_id", "text", 8 << 20, 10, 7)] == [2, 2, 1]
