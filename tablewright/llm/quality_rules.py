@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 
-#: Frequent words of four languages. Only words in lower case count, so that a text in capitals has none.
+#: Languages whose frequent words are listed.
+LISTED = ("en", "es", "fr", "de")
+#: Frequent words of these four. Only words in lower case count, so that a text in capitals has none.
 STOP_WORDS = (
     "the and of to in is that for with was on are as by be at from it this "
     "de la que el en y los del se las por un para con una su al lo "
@@ -23,12 +25,16 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """Keep documents with ``low <= measure / per <= high``; a bound of None is open."""
+    """Keep documents with ``low <= measure / per <= high``; a bound of None is open.
+
+    Where the language of a document is known, a rule with ``langs`` is for documents of these languages only.
+    """
 
     measure: str
     per: str
     low: str | None = None
     high: str | None = None
+    langs: tuple[str, ...] | None = None
 
 
 #: A rejected document breaks at least one rule. Bounds are decimals given as text, compared exactly.
@@ -36,7 +42,7 @@ RULES = (
     Rule("word_chars", "n_words", low="2", high="15"),
     Rule("n_symbols", "n_words", high="0.1"),
     Rule("n_shouts", "n_words", high="0.3"),
-    Rule("n_stop_words", "n_words", low="0.01"),
+    Rule("n_stop_words", "n_words", low="0.01", langs=LISTED),
     Rule("n_dup_lines", "n_text_lines", high="0.5"),
 )
 
@@ -157,12 +163,26 @@ def measure(
     )
 
 
-def judge(measured: DataFrame, rules: Sequence[Rule] = RULES, *, min_words: int = 20, repeat_percent: int = 30):
-    """Add ``base_failed`` and ``kept``; a document that fails the base is never kept."""
+def judge(
+    measured: DataFrame,
+    rules: Sequence[Rule] = RULES,
+    *,
+    min_words: int = 20,
+    repeat_percent: int = 30,
+    lang: Column | None = None,
+):
+    """Add ``base_failed`` and ``kept``; a document that fails the base is never kept.
+
+    ``lang`` is the language of each document, as 'en' or 'en-GB'; where it is NULL, empty or not given, every rule holds.
+    """
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * repeat_percent)
     verdict = F.lit(True)
     for rule in rules:
-        verdict = verdict & _ratio(rule)
+        ok = _ratio(rule)
+        if lang is not None and rule.langs is not None:
+            own = F.nullif(F.lower(F.regexp_extract(lang.cast("string"), "^[A-Za-z]*", 0)), F.lit(""))
+            ok = ok | F.coalesce(~own.isin(*rule.langs), F.lit(False))
+        verdict = verdict & ok
     return measured.withColumns({"base_failed": failed, "kept": ~failed & verdict})
 
 
@@ -171,9 +191,10 @@ def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, **options) ->
     return judge(measure(docs, **options), rules)
 
 
-def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """The documents that the rules keep, with their columns as they came."""
-    return judge(measure(docs, carry=True), rules).filter("kept").select("source_row.*")
+def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, *, lang_col: str = "lang") -> DataFrame:
+    """The documents that the rules keep, with their columns as they came; ``lang_col`` is used if there is one."""
+    lang = F.col(f"source_row.`{lang_col}`") if lang_col in docs.columns else None
+    return judge(measure(docs, carry=True), rules, lang=lang).filter("kept").select("source_row.*")
 
 
 def rules_sql(rules: Sequence[Rule] = RULES) -> str:

@@ -74,3 +74,10 @@ def test_query_is_whole(spark, name):
 
     folder = "/root/testdata/sf0.001"
     assert CORPUS[name](spark, folder).count() == spark.read.parquet(f"{folder}/documents.parquet").count()
+
+
+def test_languages_without_stop_words_are_left_to_the_other_rules(spark):
+    russian = "Старый дом у реки стоит много лет и теперь служит школой для всей долины где дети учатся читать и писать каждый день зимой"
+    docs = [(1, russian, "ru"), (2, russian, "en"), (3, russian, None), (4, "# " * 9 + russian, "ru"), (5, russian, "EN-gb"), (6, GOOD, "el")]
+    kept = keep_good(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 6]
