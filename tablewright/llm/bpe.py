@@ -3,7 +3,7 @@
 For every prefix of a word there is one token that its encoding ends with. A token that ends the
 prefix is that one if it is compatible with the last token of the prefix before it: the two stay
 apart when their text is encoded alone. So one left-to-right pass over the vocabulary tokens that
-end at each place, found by an automaton with suffix links, fills in the last tokens; following
+end at each place, found by a trie with suffix links (Aho-Corasick), fills in the last tokens; following
 them back from the end gives the ids, the same as merging pairs by rank.
 """
 
@@ -108,8 +108,8 @@ class MergeTable:
         return self.sound[token]
 
 
-class SuffixAutomaton:
-    """For each place in a text, the vocabulary strings that end there, by links from each state to its suffixes."""
+class SuffixLinkTrie:
+    """Aho-Corasick: for each place in a text, the vocabulary strings that end there, by links from each state to its suffixes."""
 
     def __init__(self, strings: dict[str, int]):
         self.step: list[dict[str, int]] = [{}]
@@ -181,7 +181,7 @@ class PrefixBpe:
         self.end = MARK if suffix else ""
         self.merges = MergeTable(vocab, model["merges"])
         marked = {(t[: -len(suffix)] + MARK if suffix and t.endswith(suffix) else t): n for t, n in vocab.items()}
-        self.automaton = SuffixAutomaton({t: n for t, n in marked.items() if self.merges.is_sound(n)})
+        self.automaton = SuffixLinkTrie({t: n for t, n in marked.items() if self.merges.is_sound(n)})
         self.strings = {number: token for token, number in vocab.items()} | {a["id"]: a["content"] for a in added}
         self.special = {a["content"]: a["id"] for a in added}
         self.at_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")

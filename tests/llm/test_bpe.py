@@ -83,3 +83,15 @@ def test_refuses_what_it_cannot_do(tmp_path):
         PrefixBpe('{"model": {"type": "WordPiece"}}')
     with pytest.raises(ValueError):
         read_spec(PATH, most_bytes=10)
+
+
+def test_trie_finds_every_token_that_ends_at_a_place():
+    from tablewright.llm.bpe import SuffixLinkTrie
+
+    vocabulary = {t: n for n, t in enumerate(["a", "b", "ab", "ba", "bab", "abba", "aabb"])}
+    text = "abbabaabbabbb"
+    want = [
+        [(k, vocabulary[text[end - k : end]]) for k in range(end, 0, -1) if text[end - k : end] in vocabulary]
+        for end in range(len(text) + 1)
+    ]
+    assert [list(x) for x in SuffixLinkTrie(vocabulary).ends(text)] == want
