@@ -16,7 +16,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
-def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     h = (a ^ (a >> np.uint64(31))) * _ODD + b
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))
@@ -29,7 +29,7 @@ def run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     n = len(hashes) - size + 1
     h = hashes[:n]
     for k in range(1, size):
-        h = _mixed(h, hashes[k : k + n])
+        h = mixed(h, hashes[k : k + n])
     return h
 
 

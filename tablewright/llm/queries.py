@@ -13,6 +13,7 @@ from tablewright.llm import (
     line_dedup,
     ngram_join,
     substring_dedup,
+    suffix_tree_lm,
     token_counts,
     token_files,
     url_filters,
@@ -242,3 +243,8 @@ def op2_substring_dedup(spark, t):
 @corpus_query("op4_ngram_jaccard_join")
 def op4_ngram_jaccard_join(spark, t):
     return ngram_join.jaccard_groups(t.documents, words=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+@corpus_query("op11_lm_scoring")
+def op11_lm_scoring(spark, t):
+    return suffix_tree_lm.score_texts(t.documents)
