@@ -23,6 +23,7 @@ from tablewright.operators.mutate import (
     upsert,
     watermark,
 )
+from tablewright.operators.ranking import numbered, with_positions
 from tablewright.operators.reuse import cached
 from tablewright.sources.jdbc import JdbcDatabase, JdbcTarget
 from tablewright.sources.partitions import upsert_partitions
@@ -48,6 +49,7 @@ __all__ = [
     "incremental_append",
     "incremental_rows",
     "latest_snapshot",
+    "numbered",
     "outer_join",
     "primary_key_violations",
     "semi_join",
@@ -58,4 +60,5 @@ __all__ = [
     "upsert",
     "upsert_partitions",
     "watermark",
+    "with_positions",
 ]

@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tablewright import cached, two_phase_aggregate
+from tablewright import cached, numbered, two_phase_aggregate, with_positions
 from tablewright.plans.registry import query
 from tablewright.sources.scratch import scratch_path
 
@@ -195,41 +195,51 @@ def unpivot_stack(spark, t):
 
 
 # -- sorting ---------------------------------------------------------------------
-# Each order ends in a unique key, so the range partitions of the sort stay even
-# when one of the leading values is very frequent.
+# Each row tells its position. Each order ends in a unique key, so the range partitions of
+# the sort stay even when one of the leading values is very frequent.
 
 
-@query("SELECT o_orderpriority, o_orderstatus, o_orderkey FROM orders ORDER BY ALL")
+@query(
+    """SELECT row_number() OVER (ORDER BY o_orderpriority, o_orderstatus, o_orderkey) AS pos,
+    o_orderpriority, o_orderstatus, o_orderkey FROM orders"""
+)
 def sort_cols(spark, t):
     rows = t.orders.select("o_orderpriority", "o_orderstatus", "o_orderkey")
-    return rows.orderBy(F.col("o_orderpriority").asc(), F.asc("o_orderstatus"), "o_orderkey")
+    return numbered(rows, F.col("o_orderpriority").asc(), F.asc("o_orderstatus"), "o_orderkey")
 
 
-@query("SELECT c_mktsegment, c_acctbal, c_custkey FROM customer ORDER BY 1, 2 DESC, 3")
+@query(
+    """SELECT row_number() OVER (ORDER BY c_mktsegment, c_acctbal DESC, c_custkey) AS pos,
+    c_mktsegment, c_acctbal, c_custkey FROM customer"""
+)
 def sort_mixed(spark, t):
     rows = t.customer.select("c_mktsegment", "c_acctbal", "c_custkey")
-    return rows.sort(F.asc("c_mktsegment"), F.desc("c_acctbal"), F.asc("c_custkey"))
+    return numbered(rows, F.asc("c_mktsegment"), F.desc("c_acctbal"), F.asc("c_custkey"))
 
 
-@query("SELECT c_mktsegment, c_acctbal, c_custkey FROM customer ORDER BY 1, 2 DESC, 3")
+@query(
+    """SELECT row_number() OVER (ORDER BY c_mktsegment, c_acctbal DESC, c_custkey) AS pos,
+    c_mktsegment, c_acctbal, c_custkey FROM customer"""
+)
 def sort_sql(spark, t):
-    return spark.sql(
+    # The sort is SQL's; positions follow from the ranges it was sorted in.
+    ordered = spark.sql(
         """SELECT c_mktsegment, c_acctbal, c_custkey FROM {customer}
         ORDER BY c_mktsegment ASC, c_acctbal DESC, c_custkey ASC""",
         customer=t.customer,
     )
+    return with_positions(ordered)
 
 
 @query(
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
-    WHERE l_returnflag = 'R' ORDER BY l_extendedprice"""
+    """SELECT row_number() OVER (ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS pos,
+    l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem WHERE l_returnflag = 'R'"""
 )
 def filter_sort_project(spark, t):
-    return (
-        t.lineitem.where(F.col("l_returnflag") == "R")
-        .orderBy("l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    returned = t.lineitem.where(F.col("l_returnflag") == "R").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
     )
+    return numbered(returned, "l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 @query(

@@ -157,4 +157,7 @@ def test_same_result_without_ansi(spark, name):
 )
 def test_row_order(spark, name, key):
     rows = CATALOGUE[name](spark, FOLDER).collect()
+    if "pos" in rows[0]:
+        rows.sort(key=lambda r: r.pos)
+        assert [r.pos for r in rows] == list(range(1, len(rows) + 1))
     assert rows == sorted(rows, key=key)
