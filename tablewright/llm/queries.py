@@ -11,6 +11,7 @@ from tablewright.llm import (
     decontaminate,
     license_scan,
     line_dedup,
+    merkle,
     ngram_join,
     substring_dedup,
     suffix_tree_lm,
@@ -248,3 +249,69 @@ def op4_ngram_jaccard_join(spark, t):
 @corpus_query("op11_lm_scoring")
 def op11_lm_scoring(spark, t):
     return suffix_tree_lm.score_texts(t.documents)
+
+
+# crc32 of a decimal number, with its table from the polynomial; trees level by level in a recursion.
+@corpus_query(
+    "op13_merkle_manifest",
+    r"""
+    WITH RECURSIVE crc_table AS (
+        SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS steps
+        FROM (SELECT unnest(range(256)) AS i)
+    ), rows_of_docs AS (
+        SELECT doc_id, lang, CAST(doc_id AS VARCHAR) AS id_text, CAST(n_chars AS VARCHAR) AS n0, CAST(n_chars + 1 AS VARCHAR) AS n1, source, text FROM documents
+    ), coded AS (
+        SELECT doc_id, lang, id_text,
+               coalesce(strlen(id_text) || ':' || id_text, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+               coalesce(strlen(n0) || ':' || n0, '-') AS n0, coalesce(strlen(n1) || ':' || n1, '-') AS n1, coalesce(strlen(text) || ':' || text, '-') AS tail
+        FROM rows_of_docs
+    ), leaves AS (
+        SELECT doc_id, lang, sha256(head || n0 || tail) AS leaf, sha256(head || n1 || tail) AS changed,
+               xor(list_reduce(list_prepend(4294967295, list_transform(string_split(id_text, ''), lambda s: CAST(ord(s) AS BIGINT))),
+                               lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 7 = 0 AS tampered
+        FROM coded, crc_table
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY lang) AS size,
+               dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+        FROM leaves
+    ), nodes AS (
+        SELECT tree, 0 AS level, place, leaf AS h, size FROM placed
+        UNION ALL
+        SELECT tree, level + 1, place // 2, sha256(string_agg(h, '' ORDER BY place)), (size + 1) // 2
+        FROM nodes WHERE size > 1 GROUP BY tree, level, place // 2, size
+    ), subroots AS (
+        SELECT tree, h AS subroot, count(*) OVER () AS size FROM nodes WHERE size = 1
+    ), top AS (
+        SELECT 0 AS level, tree AS place, subroot AS h, size FROM subroots
+        UNION ALL
+        SELECT level + 1, place // 2, sha256(string_agg(h, '' ORDER BY place)), (size + 1) // 2
+        FROM top WHERE size > 1 GROUP BY level, place // 2, size
+    ), steps AS (
+        SELECT p.tree, p.place AS leaf_place, n.level, n.size, p.place >> n.level AS at
+        FROM placed p JOIN (SELECT DISTINCT tree, level, size FROM nodes WHERE size > 1) n USING (tree)
+        UNION ALL
+        SELECT p.tree, p.place, 100 + n.level, n.size, p.tree >> n.level
+        FROM placed p, (SELECT DISTINCT level, size FROM top WHERE size > 1) n
+    ), all_nodes AS (
+        SELECT tree, level, place, h FROM nodes UNION ALL SELECT t.tree, 100 + level, place, h FROM top, (SELECT DISTINCT tree FROM placed) t
+    ), proofs AS (
+        SELECT s.tree, s.leaf_place, list({'at': s.at, 'h': n.h} ORDER BY s.level) AS path, coalesce(string_agg(n.h, '' ORDER BY s.level), '') AS proof
+        FROM steps s LEFT JOIN all_nodes n ON n.tree = s.tree AND n.level = s.level AND n.place = xor(s.at, 1)
+        GROUP BY s.tree, s.leaf_place
+    ), folds AS (
+        SELECT p.doc_id, p.leaf, p.tree, coalesce(q.proof, '') AS proof, coalesce(q.path, []) AS path, 1 AS step, CASE WHEN p.tampered THEN p.changed ELSE p.leaf END AS h
+        FROM placed p LEFT JOIN proofs q ON q.tree = p.tree AND q.leaf_place = p.place
+        UNION ALL
+        SELECT doc_id, leaf, tree, proof, path, step + 1,
+               sha256(CASE WHEN path[step].h IS NULL THEN h WHEN path[step].at % 2 = 0 THEN h || path[step].h ELSE path[step].h || h END)
+        FROM folds WHERE step <= len(path)
+    )
+    SELECT f.doc_id, f.leaf, s.subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+    FROM folds f JOIN subroots s USING (tree), top t
+    WHERE f.step > len(f.path) AND t.size = 1
+    """,
+)
+def op13_merkle_manifest(spark, t):
+    docs = t.documents
+    tampered = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 7 == 0
+    return merkle.audit(docs, tampered)
