@@ -33,8 +33,8 @@ from tablewright.llm.hashes import mixed, word_hashes
 #: Added to the count of every word, and of one word for all unknown ones, in the distribution without context.
 ROOT = 0.1
 #: Gains are summed as whole numbers of this fraction, so that no sum depends on the order of its parts.
-UNIT = 1 << 20
-BLOCK_TOKENS = 1_000_000
+UNIT = 1 << 10
+BLOCK_TOKENS = 1_500_000
 TOKENS_PER_RANGE = 2_000_000
 #: The end of a text: not a word, as words hold no space.
 END = b" "
@@ -159,7 +159,7 @@ def score_texts(
     docs: DataFrame,
     *,
     depth: int = 3,
-    min_count: int = 4,
+    min_count: int = 8,
     min_gain: float = 1.0,
     smoothing: float = 50.0,
     block_tokens: int = BLOCK_TOKENS,

@@ -18,7 +18,7 @@ def tokens_of(text):
     return [w for w in lower.split(" ") if w] + [None]  # None: the end
 
 
-def brute_force(rows, depth=3, min_count=4, min_gain=1.0, smoothing=50.0):
+def brute_force(rows, depth=3, min_count=8, min_gain=1.0, smoothing=50.0):
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
     count = Counter()
     train = [tokens_of(t) for i, t in rows if not held(i)]
@@ -46,8 +46,8 @@ def brute_force(rows, depth=3, min_count=4, min_gain=1.0, smoothing=50.0):
         for at, word in enumerate(words):
             told = chances(words[max(0, at - depth) : at], word, None, less=1)
             for k in range(1, len(told)):
-                gains[tuple(words[at - k : at])] += round(math.log10(told[k] / told[k - 1]) * 2**20)
-    states = {context for context, gain in gains.items() if gain >= round(min_gain * 2**20)}
+                gains[tuple(words[at - k : at])] += round(math.log10(told[k] / told[k - 1]) * 2**10)
+    states = {context for context, gain in gains.items() if gain >= round(min_gain * 2**10)}
     out = []
     for i, text in rows:
         words = tokens_of(text)
