@@ -159,7 +159,7 @@ def score_texts(
     docs: DataFrame,
     *,
     depth: int = 3,
-    min_count: int = 8,
+    min_count: int = 4,
     min_gain: float = 1.0,
     smoothing: float = 50.0,
     block_tokens: int = BLOCK_TOKENS,
