@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
+    align,
     bpe,
     decontaminate,
     license_scan,
@@ -315,3 +316,8 @@ def op13_merkle_manifest(spark, t):
     docs = t.documents
     tampered = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 7 == 0
     return merkle.audit(docs, tampered)
+
+
+@corpus_query("op12_token_alignment")
+def op12_token_alignment(spark, t):
+    return align.align_tokens(t.documents, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
