@@ -30,13 +30,16 @@ from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from tablewright.llm.blocks import REQUESTS, pack, pack_sorted, per_block, requests_of, totals, unpack, unpack_sorted, write_blocks
-from tablewright.llm.bpe import BYTE_CHARACTERS, MergeTable, read_spec
+from tablewright.llm.bpe import BYTE_CHARACTERS, MergeTable, pack_ids, read_spec
 from tablewright.llm.token_files import BYTE_LEVEL_WORDS
 
 #: Texts of these characters only are cut into words alike by every regular expression engine.
 COMMON = re.compile("[\t-\r -~\xa0-ɏ]*")
 BLOCK_CHARS = 8 << 20
 STEP_CHARS = 1 << 20
+#: Words whose ids a task holds, and the longest of them.
+MOST_WORDS = 300_000
+LONGEST_WORD = 100
 PAIRS_PER_RANGE = 2_000_000
 #: An odd factor deals pairs out evenly over 64-bit numbers and can be taken back.
 SPREAD = 0x9E3779B97F4A7C15
@@ -135,17 +138,42 @@ class Aligner:
         self.a = ByteLevel(spec, ranked)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         tokens = (self.a.bytes, token_bytes_of_pieces(self.b))
+        self.by_word = all("▁" not in self.b.id_to_piece(n).lstrip("▁") for n in range(self.b.get_piece_size()))
+        self.words: dict[str, bytes | None] = {}
         self.bytes = [pa.array(t, type=pa.binary()) for t in tokens]
         self.sizes = [pa.array([len(x) for x in t], type=pa.int64()) for t in tokens]
         self.names = [pa.array([str(n) for n in range(len(t))]) for t in tokens]
 
+    def _learn(self, words: list[list[str]]) -> None:
+        """Take in B's ids of new words; None for those whose ids may hang on what stands beside them."""
+        new = set().union(*words) - self.words.keys()
+        if len(self.words) + len(new) > MOST_WORDS:
+            self.words.clear()
+            new = set().union(*words)
+        plain = [w for w in new if 0 < len(w) <= LONGEST_WORD and "▁" not in w]
+        self.words.update(dict.fromkeys(new))
+        self.words.update((w, pack_ids(i)) for w, i in zip(plain, self.b.encode(plain, num_threads=1), strict=True))
+
+    def encode(self, texts: list[str]) -> list[list[np.ndarray]]:
+        """Both sides' ids of each text; B's word by word where it can be done.
+
+        No piece has a space behind another character, so a single space between two words always begins a piece.
+        """
+        words = [t.split(" ") for t in texts]
+        if self.by_word:
+            self._learn(words)
+        b = []
+        for text, parts in zip(texts, words, strict=True):
+            try:
+                b.append(np.frombuffer(b"".join(map(self.words.__getitem__, parts)), dtype="<u4"))
+            except (TypeError, KeyError):
+                b.append(np.array(self.b.encode(text), dtype="<u4"))
+        return [[self.a.ids(" " + t) for t in texts], b]
+
     def align(self, texts: list[str | None]) -> tuple[pa.Table, list[str], pa.Table]:
         """For documents by their place: numbers and digests of all, and the (doc, pair, times) they link."""
         wanted = [k for k, t in enumerate(texts) if t]
-        encoded = [
-            _lists([self.a.ids(" " + texts[k]) for k in wanted]),
-            _lists([np.array(i, dtype=np.int32) for i in self.b.encode([texts[k] for k in wanted], num_threads=1)] if wanted else []),
-        ]
+        encoded = list(map(_lists, self.encode([texts[k] for k in wanted])))
         bytes_of = pa.array([(" " + texts[k]).encode() for k in wanted], type=pa.binary())
         same = np.ones(len(wanted), dtype=bool)
         for lists, tokens in zip(encoded, self.bytes, strict=True):

@@ -8,7 +8,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from tablewright.llm import align
-from tablewright.llm.align import ByteLevel, align_tokens, by_rank
+from tablewright.llm.align import Aligner, ByteLevel, align_tokens, by_rank
 from tablewright.llm.bpe import BYTE_CHARACTERS, read_spec
 from tablewright.plans.registry import Tables
 
@@ -117,3 +117,20 @@ def test_fast_encoder_gives_the_library_s_ids():
     for _ in range(3000):
         text = "".join(rng.choices(letters, k=rng.randint(0, 25)))
         assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_word_by_word_gives_the_whole_text_s_ids(monkeypatch):
+    monkeypatch.setattr(align, "MOST_WORDS", 40)
+    spec = read_spec(A)
+    with open(B, "rb") as f:
+        aligner = Aligner(spec, True, f.read())
+    assert aligner.by_word
+    library, model = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
+    library.encode_special_tokens = True
+    rng = random.Random(6)
+    bits = [" ", " ", " ", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "▁", "word", "Größe", "日本", "🙂", "a", "'s", ",", "\x85", "\u0301", "<s>", "x" * 120, "1"]
+    for _ in range(300):
+        texts = ["".join(rng.choices(bits, k=rng.randint(1, 25))) for _ in range(8)]
+        a, b = aligner.encode(texts)
+        assert [i.tolist() for i in a] == [library.encode(" " + t, add_special_tokens=False).ids for t in texts]
+        assert [i.tolist() for i in b] == model.encode(texts), texts
