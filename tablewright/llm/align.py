@@ -12,7 +12,6 @@ move, and Spark adds them up.
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterator
 from hashlib import sha256
@@ -21,20 +20,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
-import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
-from tokenizers import Tokenizer
 
 from tablewright.llm.blocks import REQUESTS, pack, pack_sorted, per_block, requests_of, totals, unpack, unpack_sorted, write_blocks
-from tablewright.llm.bpe import BYTE_CHARACTERS, MergeTable, pack_ids, read_spec
-from tablewright.llm.token_files import BYTE_LEVEL_WORDS
+from tablewright.llm.bpe import pack_ids, read_spec
+from tablewright.llm.byte_level import ByteLevel, by_rank, token_bytes
 
-#: Texts of these characters only are cut into words alike by every regular expression engine.
-COMMON = re.compile("[\t-\r -~\xa0-ɏ]*")
 BLOCK_CHARS = 8 << 20
 STEP_CHARS = 1 << 20
 #: Words whose ids a task holds, and the longest of them.
@@ -49,15 +44,6 @@ BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def token_bytes_of_json(spec: str) -> list[bytes]:
-    """By id, the bytes of a byte-level vocabulary's entries."""
-    parsed = json.loads(spec)
-    back = {c: b for b, c in enumerate(BYTE_CHARACTERS)}
-    found = {n: bytes(back[c] for c in token) for token, n in parsed["model"]["vocab"].items() if all(c in back for c in token)}
-    found |= {t["id"]: t["content"].encode() for t in parsed["added_tokens"]}
-    return [found.get(n, b"") for n in range(max(found) + 1)]
-
-
 def token_bytes_of_pieces(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     """By id, the bytes of a sentencepiece model's pieces."""
     pieces = [model.id_to_piece(n) for n in range(model.get_piece_size())]
@@ -65,37 +51,6 @@ def token_bytes_of_pieces(model: sentencepiece.SentencePieceProcessor) -> list[b
     return [bytes([int(m[1], 16)]) if m else p.replace("▁", " ").encode() for m, p in zip(marks, pieces, strict=True)]
 
 
-def by_rank(spec: str) -> bool:
-    """Merging the pair whose result has the lowest id gives this model's ids: ids follow the merges, and every token's own
-    text is encoded as that token, so any two tokens that make up a third one also merge to it."""
-    model = json.loads(spec)["model"]
-    merges = MergeTable(model["vocab"], model["merges"])
-    first = len(BYTE_CHARACTERS)
-    return all(n == first + rank and merges.is_sound(n) for n, rank in merges.rank.items())
-
-
-class ByteLevel:
-    """The ids of a byte-level tokenizer; strings of special tokens are ordinary text.
-
-    Texts of common characters go to a faster encoder over the same vocabulary where that is known to give the same ids.
-    """
-
-    def __init__(self, spec: str, ranked: bool):
-        self.library = Tokenizer.from_str(spec)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.library.encode_special_tokens = True
-        self.bytes = token_bytes_of_json(spec)
-        special = {t["id"] for t in json.loads(spec)["added_tokens"]}
-        ranks = {b: n for n, b in enumerate(self.bytes) if n not in special}
-        self.fast = tiktoken.Encoding("own", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={}) if ranked else None
-
-    def ids(self, text: str) -> np.ndarray:
-        if self.fast and COMMON.fullmatch(text):
-            return self.fast.encode_to_numpy(text)
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-
-
 def _lists(ids: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*ids, np.zeros(0)]).astype(np.int32)))
@@ -135,7 +90,7 @@ class Aligner:
     """Both tokenizers, and their tokens' bytes, sizes and names as Arrow columns."""
 
     def __init__(self, spec: str, ranked: bool, pieces: bytes):
-        self.a = ByteLevel(spec, ranked)
+        self.a = ByteLevel(spec, ranked, plain=True)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         tokens = (self.a.bytes, token_bytes_of_pieces(self.b))
         self.by_word = all("▁" not in self.b.id_to_piece(n).lstrip("▁") for n in range(self.b.get_piece_size()))
@@ -303,7 +258,7 @@ def align_tokens(
 
     counts = totals(per_block(blocks.select("block", "pairs", "counts"), [], ask, REQUESTS), "pair-counts", notes=best)
     highest = counts.selectExpr("inline(notes)").groupBy("k").agg(F.max("v").alias("v")).collect()
-    table = np.zeros(len(token_bytes_of_json(spec)), dtype=np.int64)  # a number for each id of A, whatever the corpus
+    table = np.zeros(len(token_bytes(spec)), dtype=np.int64)  # a number for each id of A, whatever the corpus
     for k, v in highest:
         table[k] = v
     of_a = spark.sparkContext.broadcast(table)

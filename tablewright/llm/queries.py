@@ -149,19 +149,13 @@ def op1_line_dedup(spark, t):
 @corpus_query("op3_token_counts")
 def op3_token_counts(spark, t):
     """Every document gets three edits: a cut at a third, words put in at the middle, a new end."""
-    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    state = token_counts.count_tokens(t.documents, tokenizer)
     n = F.length("text")
     edit = lambda start, stop, new: F.struct(
         F.floor(start).cast("long").alias("start"), F.floor(stop).cast("long").alias("stop"), F.lit(new).alias("new")
     )
     edits = F.array(edit(n / 3, n / 3 + 20, ""), edit(n / 2, n / 2, " a few new words"), edit(n - 5, n, ". The end"))
-    before = state.select("*", edits.alias("edits"), F.struct("n_pieces", "n_tokens").alias("before"))
-    after = token_counts.apply_edits(before, tokenizer, carry=("before",))
-    return after.select(
-        "doc_id", F.col("before.n_tokens").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_after"),
-        F.col("before.n_pieces").alias("n_pieces"), F.col("n_encoded").alias("n_pieces_encoded"),
-    )
+    counted = token_counts.count_edited(t.documents, public_tokenizers.path("byte_bpe_50k.json"), edits)
+    return counted.withColumnRenamed("n_encoded", "n_pieces_encoded")
 
 
 @corpus_query(

@@ -8,8 +8,9 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from tablewright.llm import align
-from tablewright.llm.align import Aligner, ByteLevel, align_tokens, by_rank
+from tablewright.llm.align import Aligner, align_tokens
 from tablewright.llm.bpe import BYTE_CHARACTERS, read_spec
+from tablewright.llm.byte_level import ByteLevel, by_rank
 from tablewright.plans.registry import Tables
 
 A = public_tokenizers.path("byte_bpe_50k.json")
@@ -110,13 +111,15 @@ def test_ids_of_other_types_and_empty(spark):
 def test_fast_encoder_gives_the_library_s_ids():
     spec = read_spec(A)
     assert by_rank(spec)
-    encoder, library = ByteLevel(spec, True), Tokenizer.from_file(A)
-    library.encode_special_tokens = True
+    sides = [(ByteLevel(spec, True, plain=plain), Tokenizer.from_file(A)) for plain in (True, False)]
+    sides[0][1].encode_special_tokens = True
     rng = random.Random(4)
     letters = [chr(c) for c in [*range(9, 14), *range(32, 127), *range(160, 592), 0x85, 0x1C, 0x3000, 0x4E00, 0x1F600]] + [" ", "\n", "the", " of", "'s", "<|endoftext|>"] * 20
     for _ in range(3000):
         text = "".join(rng.choices(letters, k=rng.randint(0, 25)))
-        assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+        for encoder, library in sides:
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert encoder.ids(text).tolist() == ids and encoder.count(text) == len(ids), repr(text)
 
 
 def test_word_by_word_gives_the_whole_text_s_ids(monkeypatch):
