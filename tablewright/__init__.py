@@ -24,9 +24,11 @@ from tablewright.operators.mutate import (
     watermark,
 )
 from tablewright.operators.ranking import numbered, with_positions
+from tablewright.operators.reconcile import differences
 from tablewright.operators.reuse import cached
 from tablewright.sources.jdbc import JdbcDatabase, JdbcTarget
 from tablewright.sources.partitions import upsert_partitions
+from tablewright.sources.rewrite import delete_from_files, upsert_files
 
 # Python functions travel with the plan: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -43,7 +45,9 @@ __all__ = [
     "apply_parent_update",
     "cached",
     "capitalize_words",
+    "delete_from_files",
     "delete_where",
+    "differences",
     "evolve_schema",
     "foreign_key_orphans",
     "incremental_append",
@@ -58,6 +62,7 @@ __all__ = [
     "two_phase_aggregate",
     "unique_violations",
     "upsert",
+    "upsert_files",
     "upsert_partitions",
     "watermark",
     "with_positions",

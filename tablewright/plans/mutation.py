@@ -11,7 +11,9 @@ from tablewright import (
     RenameColumn,
     apply_parent_delete,
     apply_parent_update,
+    delete_from_files,
     delete_where,
+    differences,
     evolve_schema,
     foreign_key_orphans,
     incremental_append,
@@ -20,6 +22,7 @@ from tablewright import (
     primary_key_violations,
     unique_violations,
     upsert,
+    upsert_files,
     upsert_partitions,
     watermark,
 )
@@ -121,6 +124,22 @@ def upsert_partitions_(spark, t):
     return spark.read.parquet(path)
 
 
+@query(
+    """SELECT o_orderkey, CASE WHEN month(o_orderdate) = 3 AND o_orderstatus = 'F' THEN 0 ELSE o_totalprice
+    END AS o_totalprice, CAST(month(o_orderdate) AS INTEGER) AS order_month FROM orders"""
+)
+def upsert_partitions_padded(spark, t):
+    # Folders order_month=01 to order_month=12, which Spark reads as whole numbers.
+    month = F.date_format("o_orderdate", "MM").alias("order_month")
+    path = scratch_path(spark, "by-month")
+    orders = t.orders.select("o_orderkey", "o_totalprice", month)
+    orders.hint("rebalance", "order_month").write.partitionBy("order_month").parquet(path)
+    finished = t.orders.where("o_orderstatus = 'F' AND month(o_orderdate) = 3")
+    batch = finished.select("o_orderkey", F.lit(0.0).alias("o_totalprice"), month)
+    upsert_partitions(path, batch, ["order_month", "o_orderkey"], "order_month")
+    return spark.read.parquet(path)
+
+
 @query(
     """SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority FROM orders
     WHERE o_orderpriority <> '1-URGENT'"""
@@ -130,9 +149,52 @@ def delete_where_(spark, t):
     return delete_where(rows, "priority = '1-URGENT'")
 
 
+@query(
+    """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+    WHERE NOT (o_orderdate >= DATE '2001-01-01' AND o_orderdate < DATE '2001-03-01' AND o_totalprice < 100000)"""
+)
+def delete_from_files_(spark, t):
+    # Files hold ranges of dates, so those of other months keep their names.
+    path = scratch_path(spark, "orders")
+    orders = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")
+    orders.repartitionByRange(16, "o_orderdate").write.parquet(path)
+    early = "o_orderdate >= DATE '2001-01-01' AND o_orderdate < DATE '2001-03-01'"
+    delete_from_files(spark, path, f"{early} AND o_totalprice < 100000")
+    return spark.read.parquet(path)
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 7 AND o_orderstatus = 'F' THEN 0 ELSE o_totalprice
+    END AS o_totalprice FROM orders UNION ALL SELECT -c_custkey, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'"""
+)
+def upsert_files_(spark, t):
+    path = scratch_path(spark, "orders")
+    t.orders.select("o_orderkey", "o_totalprice").repartitionByRange(16, "o_orderkey").write.parquet(path)
+    changed = t.orders.where("o_orderkey % 1000 = 7 AND o_orderstatus = 'F'").select("o_orderkey", F.lit(0.0).alias("o_totalprice"))
+    added = t.customer.where("c_mktsegment = 'BUILDING'").select(-F.col("c_custkey"), "c_acctbal")
+    upsert_files(path, changed.union(added), "o_orderkey")
+    return spark.read.parquet(path)
+
+
 # -- incremental load ------------------------------------------------------------
 
 
+@query(
+    """SELECT o_orderkey, o_orderstatus, o_totalprice, CASE WHEN o_orderkey % 500 = 3 THEN 'missing' ELSE 'changed' END AS change
+    FROM orders WHERE o_orderkey % 500 = 3 OR o_orderkey % 700 = 11 AND o_totalprice <> 1
+    UNION ALL SELECT c_custkey + 1000000000, c_mktsegment, c_acctbal, 'deleted' FROM customer WHERE c_custkey % 100 = 1"""
+)
+def late_rows(spark, t):
+    # The target lacks some old orders, holds others with an old price, and some that the source has deleted.
+    source = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    old_price = F.when(F.col("o_orderkey") % 700 == 11, 1.0).otherwise(F.col("o_totalprice"))
+    held = source.where("o_orderkey % 500 <> 3").withColumn("o_totalprice", old_price)
+    gone = t.customer.where("c_custkey % 100 = 1").select(F.col("c_custkey") + 1000000000, "c_mktsegment", "c_acctbal")
+    path = scratch_path(spark, "held-orders")
+    held.union(gone).write.parquet(path)
+    return differences(source, spark.read.parquet(path), "o_orderkey")
+
+
 def _orders(t):
     # The column as stored: a comparison with it can skip row groups, one with a cast cannot.
     return t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from hashlib import sha1
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablewright.functions.names import col, cols, resolve_names
+from tablewright.functions.names import col, cols, free_name, resolve_names
 from tablewright.operators.mutate import upsert
+from tablewright.sources.swap import NEW, STAGE, commit, finish_swap, folder_uri, place_below
 
-#: Inside the table's folder; Spark skips names that begin so.
-STAGE = "_upsert"
+__all__ = ["finish_swap", "upsert_partitions"]
 
 
 def upsert_partitions(
@@ -26,11 +28,15 @@ def upsert_partitions(
     """``upsert`` a batch into the files at ``path``; ``options`` are those of ``upsert``.
 
     The partition columns must be among the keys: then a key never moves to another
-    partition, and all others keep their files. The new files are written whole to a
-    folder inside ``path`` that readers skip, and marked. Then each old partition is
-    moved aside and the new one moved in; the old files are deleted last. A run that
-    is cut short in between leaves the mark, and the next call, or ``finish_swap``, goes on
-    from there before anything is read. One writer at a time.
+    partition, and all others keep their files. A partition is known by its value as the table is read,
+    and its folder by where its files lie, so ``month=01``, ``month=1`` and a batch's ``'01'`` are one partition
+    if the table reads months as numbers. A partition's new files take the place of its folder; of several
+    folders with one value the first. An empty text is the partition of NULL, as no folder can tell them apart;
+    a batch value that the column's type cannot hold is an error. New partitions get the batch's own text as name.
+
+    The new files are written whole to a folder inside ``path`` that readers skip, then swapped in (see
+    ``swap.py``). A run that is cut short in between is finished by the next call, or by ``finish_swap``,
+    before anything is read. One writer at a time.
     """
     spark = batch.sparkSession
     finish_swap(spark, path)
@@ -41,56 +47,48 @@ def upsert_partitions(
     if not set(partition_by) <= set(keys):
         raise ValueError(f"the partition columns {partition_by} must be among the keys {keys}")
     own = resolve_names(batch, partition_by)
-    types = {f.name: f.dataType for f in target.schema.fields}
-    tag = _tag([col(o).cast(types[p]) for o, p in zip(own, partition_by)])
-    # One value per touched partition: the driver has to move each of these folders anyway.
-    touched = [row[0] for row in batch.select(tag.alias("tag")).distinct().collect()]
-    current = target.where(_tag(cols(partition_by)).isin(touched))
-    content = upsert(current, batch, keys, **options)
+    texts = [F.nullif(col(o).cast("string"), F.lit("")) for o in own]
+    named = batch.select("*", F.array(*texts).alias(names := free_name(batch.columns, "names")))
+    batch = named.withColumns({o: _value(named, o, target.schema[p].dataType) for o, p in zip(own, partition_by, strict=True)})
+    # One row per touched partition: the driver has to move each of these folders anyway.
+    touched = batch.groupBy(_tag(cols(own)).alias("tag")).agg(F.min(col(names)).alias("names")).collect()
+    batch = batch.drop(names)
+    tag = _tag(cols(partition_by))
+    current = target.where(tag.isin([t["tag"] for t in touched]))
+    held: dict[str, list[str]] = {}
+    for row in current.select(tag.alias("tag"), folder_uri().alias("uri")).distinct().collect():
+        held.setdefault(row["tag"], []).append(place_below(spark, path, row["uri"]))
+    slot = free_name(target.columns, "slot")
+    content = upsert(current, batch, keys, **options).withColumn(slot, F.sha1(tag.cast("binary")))
     # Even file sizes, and not a file per task and partition.
-    content.hint("rebalance", *partition_by).write.format(source_format).partitionBy(*partition_by).save(
-        f"{path}/{STAGE}/new"
-    )
-    files, at = _files(spark, path)
-    files.create(at(f"{STAGE}/complete")).close()
-    finish_swap(spark, path)
-
-
-def finish_swap(spark: SparkSession, path: str) -> None:
-    """Bring a swap that was cut short to its end; drop staged files that are not complete."""
-    files, at = _files(spark, path)
-    if files.exists(at(f"{STAGE}/complete")):
-        for folder in _partitions(files, at, f"{STAGE}/new"):
-            if files.exists(at(folder)):
-                _move(files, at, folder, f"{STAGE}/old/{folder}")
-            _move(files, at, f"{STAGE}/new/{folder}", folder)
-    if files.exists(at(STAGE)):
-        files.delete(at(STAGE), True)
-
-
-def _files(spark: SparkSession, path: str):
-    """The file system that holds ``path``, and a function from a place below it to its full name."""
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    files = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    return files, lambda below: Path(f"{path.rstrip('/')}/{below}")
+    content.drop(*partition_by).hint("rebalance", slot).write.format(source_format).partitionBy(slot).save(f"{path}/{NEW}")
+    moves = []
+    for t in touched:
+        folders, number = sorted(held.get(t["tag"], [])), sha1(t["tag"].encode()).hexdigest()
+        moves += [(folder, f"{STAGE}/old/{number}-{k}") for k, folder in enumerate(folders)]
+        moves.append((f"{NEW}/{slot}={number}", folders[0] if folders else _folder(spark, partition_by, t["names"])))
+    commit(spark, path, moves)
+
+
+def _value(batch: DataFrame, name: str, wanted: T.DataType) -> Column:
+    """The batch's partition value in the table's type; an empty text is NULL, an impossible one an error."""
+    given = col(name)
+    if not isinstance(batch.schema[name].dataType, T.StringType):
+        return given.cast(wanted)
+    text = F.nullif(given, F.lit(""))
+    value = text.try_cast(wanted)
+    wrong = F.concat(F.lit(f"partition column {name} cannot hold "), text)
+    return F.when(text.isNotNull() & value.isNull(), F.raise_error(wrong)).otherwise(value)
 
 
-def _partitions(files, at, top: str, below: str = "") -> Iterator[str]:
-    """Partition folders under ``top`` that hold files, as places below it."""
-    inner = [s.getPath().getName() for s in files.listStatus(at(f"{top}/{below}" if below else top)) if s.isDirectory()]
-    inner = [f"{below}/{n}" if below else n for n in inner if "=" in n]
-    for name in inner:
-        yield from _partitions(files, at, top, name)
-    if below and not inner:
-        yield below
-
-
-def _move(files, at, here: str, there: str) -> None:
-    files.mkdirs(at(there).getParent())
-    if not files.rename(at(here), at(there)):
-        raise OSError(f"cannot move {at(here)} to {at(there)}")
+def _tag(columns: list[Column]) -> Column:
+    """A text that is each partition's own, also for NULL values; the scan skips partitions by it."""
+    texts = [c.cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
 
 
-def _tag(columns: list[Column]) -> Column:
-    """A text per partition, also for NULL values; the scan skips partitions by it."""
-    return F.concat_ws("/", *[F.coalesce(c.cast("string"), F.lit("__NULL__")) for c in columns])
+def _folder(spark: SparkSession, partition_by: list[str], names: list[str | None]) -> str:
+    """The folder of a new partition, escaped as Spark does."""
+    spell = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    values = [spell.DEFAULT_PARTITION_NAME() if n is None else spell.escapePathName(n) for n in names]
+    return "/".join(f"{spell.escapePathName(p)}={v}" for p, v in zip(partition_by, values, strict=True))

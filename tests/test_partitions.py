@@ -1,8 +1,10 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablewright import upsert, upsert_partitions
+from tablewright.sources import partitions, swap
 
 
 @pytest.fixture
@@ -68,45 +70,74 @@ def test_null_and_nested_partitions(spark, tmp_path):
 
 
 def test_untouched_partitions_are_not_read(spark, table):
-    from pyspark.sql import functions as F
-
-    from tablewright.sources.partitions import _tag
-
-    current = spark.read.parquet(table).where(_tag([F.col("p")]).isin(["1", "3"]))
+    current = spark.read.parquet(table).where(partitions._tag([F.col("p")]).isin(["1:1", "1:3"]))
     plan = current._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [coalesce(cast(p#" in plan or "PartitionFilters: [concat_ws" in plan
+    assert "DataFilters: []" in plan and "PartitionFilters: []" not in plan
     assert current.count() == 120
 
 
+@pytest.mark.parametrize(
+    ("kind", "held", "given"),
+    [
+        ("string", ["01", "02", "10"], ["01", "2", "03"]),
+        ("string", ["x", None, "a/b"], ["x", "", "a/b", None, "c%2Fd", "e=f g"]),
+        ("string", ["50%", "ü", "1:2"], ["50%", "ü", "1:2", "1"]),
+        ("date", ["2024-01-01", "2024-02-01"], ["2024-01-01", "2024-03-01"]),
+        ("decimal(5,2)", ["1.50", "2.00"], ["1.50", "3.25"]),
+        ("string", ["1.5", "1.50", "2"], ["1.5", "2.0"]),
+        ("int", [1, None], [1, None, 7]),
+    ],
+    ids=str,
+)
+def test_folders_are_taken_as_they_are(spark, tmp_path, kind, held, given):
+    path = str(tmp_path / "table")
+    rows_of = lambda values, note: spark.createDataFrame([(k, f"{note}{k}", v) for k, v in enumerate(values)], f"id int, v string, p {'string' if kind != 'int' else 'int'}").withColumn("p", F.col("p").cast(kind))
+    rows_of(held, "old").write.partitionBy("p").parquet(path)
+    before = spark.read.parquet(path)
+    batch = rows_of(given, "new")
+    read_as = before.schema["p"].dataType
+    wanted = batch.withColumn("p", F.nullif(F.col("p").cast("string"), F.lit("")).cast(read_as))
+    want = rows(upsert(before, wanted, ["id", "p"]).select("id", "v", F.col("p").cast("string")))
+    upsert_partitions(path, batch, ["id", "p"], "p")
+    after = spark.read.parquet(path)
+    assert rows(after.select("id", "v", F.col("p").cast("string"))) == want
+    untouched = {f for f in os.listdir(path)} >= {"p=10"} if "10" in held else True
+    assert untouched and after.schema["p"].dataType == read_as
+
+
+def test_a_value_the_column_cannot_hold(spark, table):
+    batch = spark.createDataFrame([(1, "new", "one")], "id bigint, v string, p string")
+    before = files(table)
+    with pytest.raises(Exception, match="cannot hold one"):
+        upsert_partitions(table, batch, ["p", "id"], "p")
+    assert files(table) == before
+
+
 @pytest.mark.parametrize("after", range(6))
 def test_a_swap_cut_short_is_finished(spark, table, monkeypatch, after):
-    from tablewright.sources import partitions
-
     batch = spark.createDataFrame([(1, "new", 1), (2, "two", 2), (9, "fresh", 9)], "id bigint, v string, p int")
     want = rows(upsert(spark.read.parquet(table), batch, ["p", "id"]))
-    moved, move = [], partitions._move
+    moved, move = [], swap.move
 
     def stopping(*a):
-        if len(moved) == after:
+        if len(moved) == after + 1:  # the first puts the list of moves in place
             raise OSError("cut short")
         moved.append(a)
         move(*a)
 
-    monkeypatch.setattr(partitions, "_move", stopping)
+    monkeypatch.setattr(swap, "move", stopping)
     if after < 5:  # two old and three new folders
         with pytest.raises(OSError, match="cut short"):
             upsert_partitions(table, batch, ["p", "id"], "p")
-    monkeypatch.setattr(partitions, "_move", move)
+    monkeypatch.setattr(swap, "move", move)
     upsert_partitions(table, batch, ["p", "id"], "p")
     assert rows(spark.read.parquet(table)) == want
-    assert not os.path.exists(os.path.join(table, partitions.STAGE))
+    assert not os.path.exists(os.path.join(table, swap.STAGE))
 
 
 def test_incomplete_staged_files_are_dropped(spark, table):
-    from tablewright.sources import partitions
-
     before = rows(spark.read.parquet(table))
-    spark.range(3).selectExpr("id", "'x' AS v", "1 AS p").write.partitionBy("p").parquet(f"{table}/{partitions.STAGE}/new")
+    spark.range(3).selectExpr("id", "'x' AS v", "1 AS p").write.partitionBy("p").parquet(f"{table}/{swap.STAGE}/new")
     assert rows(spark.read.parquet(table)) == before
-    partitions.finish_swap(spark, table)
+    swap.finish_swap(spark, table)
     assert rows(spark.read.parquet(table)) == before
