@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from tablewright.llm.rows import Recent, documents, map_batches, shown
+from tablewright.llm.rows import Recent, any_ids, documents, map_batches, shown
 
 #: Stands for the end-of-word suffix as one character; byte-level symbols don't use it.
 MARK = "\ue000"
@@ -276,6 +276,7 @@ def read_spec(path: str, most_bytes: int = 64 << 20) -> str:
     return spec
 
 
+@any_ids("doc_id")
 def encode(docs: DataFrame, tokenizer: str, **columns) -> DataFrame:
     """(doc_id, ids): the ids of each whole text as little-endian unsigned 32-bit integers.
 
@@ -298,9 +299,11 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
         m = model(spec.value)
         return lambda ids, codes: (ids, [m.decode(c or b"") for c in codes])
 
-    return map_batches(encoded.select("doc_id", "ids"), start, "doc_id long, text string")
+    kind = encoded.schema["doc_id"].dataType.simpleString()
+    return map_batches(encoded.select("doc_id", "ids"), start, f"doc_id {kind}, text string")
 
 
+@any_ids("doc_id")
 def round_trip(docs: DataFrame, tokenizer: str, **columns) -> DataFrame:
     """Digests of the ids and of the decoded text of each document, without moving either."""
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.rows import documents, free_name, map_batches, shown
+from tablewright.llm.rows import any_ids, documents, free_name, map_batches, shown
 from tablewright.sources.scratch import scratch_path
 
 #: A-Z to lower case.
@@ -72,13 +72,11 @@ class WuManber:
 
 def matchers(items: Iterable[tuple[object, str | None]], size: int) -> list[WuManber]:
     """One matcher for each pattern length: ``size``, and the lengths of shorter items."""
-    by_length: dict[int, dict] = defaultdict(lambda: defaultdict(list))
+    by_length: dict[int, dict] = defaultdict(lambda: defaultdict(dict))
     for item, text in items:
         for window in windows_of(words_of(text), size):
-            owners = by_length[len(window)][window]
-            if item not in owners:
-                owners.append(item)
-    return [WuManber(n, dict(p)) for n, p in sorted(by_length.items())]
+            by_length[len(window)][window][item] = True
+    return [WuManber(n, {w: list(owners) for w, owners in p.items()}) for n, p in sorted(by_length.items())]
 
 
 def item_blocks(
@@ -127,6 +125,7 @@ def _search(state: DataFrame, block: list, size: int) -> DataFrame:
     return map_batches(state, start, "doc_id long, text string, hits binary, items array<string>")
 
 
+@any_ids("doc_id")
 def find_passages(
     docs: DataFrame,
     benchmark: DataFrame,

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.rows import NO_ID, documents, free_name, map_batches, shown
+from tablewright.llm.rows import NO_ID, any_ids, documents, free_name, map_batches, shown
 from tablewright.sources.scratch import scratch_path
 
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -299,6 +299,7 @@ def kept_lines(text: str | None, dropped: list[bytes] | None, min_chars: int) ->
     return "\n".join(stay), len(lines), len(lines) - len(stay)
 
 
+@any_ids("doc_id")
 def dedupe_lines(docs: DataFrame, *, min_docs: int = 3, min_chars: int = 20, **columns) -> DataFrame:
     """Line dedup of one table against itself: all its documents into a new index, then ``LineIndex.dedupe``."""
     index = LineIndex(docs.sparkSession, min_docs=min_docs, min_chars=min_chars)
@@ -307,6 +308,7 @@ def dedupe_lines(docs: DataFrame, *, min_docs: int = 3, min_chars: int = 20, **c
     return index.dedupe(docs, keys, **columns)
 
 
+@any_ids()
 def clean_lines(docs: DataFrame, *, min_docs: int = 3, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text"):
     """The table with all its columns and rows, where each text is what line dedup leaves of it."""
     index = LineIndex(docs.sparkSession, min_docs=min_docs, min_chars=min_chars)
@@ -315,7 +317,7 @@ def clean_lines(docs: DataFrame, *, min_docs: int = 3, min_chars: int = 20, id_c
     key, name, owner = docs[id_col].cast("long"), free_name(docs, "dropped_keys"), free_name(docs, "dropped_from")
     drops = index.drops(keys).select(F.col("doc_id").alias(owner), F.col("dropped_keys").alias(name))
     joined = docs.join(drops, F.coalesce(key, F.lit(NO_ID)) == drops[owner], "left").select(
-        *(docs[f"`{c}`"] for c in docs.columns), drops[name]
+        *(docs["`" + c.replace("`", "``") + "`"] for c in docs.columns), drops[name]
     )
     place = docs.columns.index(text_col)
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.connected import connected_components
 from tablewright.llm.decontaminate import LOWER
 from tablewright.llm.hashes import by_range, groups_of, joined, ranges_for, run_hashes, word_hashes
-from tablewright.llm.rows import documents, free_name, map_batches
+from tablewright.llm.rows import any_ids, documents, free_name, map_batches, shown
 from tablewright.sources.scratch import scratch_path
 
 
@@ -293,9 +293,8 @@ def _blocks(candidates: DataFrame, percent: int, most: int) -> DataFrame:
     )
 
 
-def jaccard_groups(
-    docs: DataFrame, *, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = 1000
-) -> DataFrame:
+@any_ids("doc_id", "component_id")
+def jaccard_groups(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, class, n_shingles, component_id) of every row.
 
     Two texts link when their sets of ``words``-word shingles have 100 * intersection >= percent * union;
@@ -303,6 +302,13 @@ def jaccard_groups(
     shingle; a NULL text or one without words has none and links with nothing. A NULL id is the smallest.
     Rows of one id are judged each by its own text. ``class`` names the set; equal sets have equal names.
     """
+    return shown(_groups(docs, **options), "doc_id", "component_id")
+
+
+def _groups(
+    docs: DataFrame, *, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = 1000
+) -> DataFrame:
+    """``jaccard_groups`` with ``NO_ID`` for NULL."""
     if not 0 < percent <= 100:
         raise ValueError("percent must lie between 1 and 100")
     spark = docs.sparkSession
@@ -350,12 +356,13 @@ def jaccard_groups(
     )
 
 
+@any_ids()
 def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The table, with all its columns, without documents that belong to a group with a smaller id.
 
     Rows of one id are one document: it goes if one of its rows belongs to such a group.
     """
-    groups = jaccard_groups(docs, id_col=id_col, text_col=text_col, **options)
+    groups = _groups(docs, id_col=id_col, text_col=text_col, **options)
     name = free_name(docs, "repeated_id")
     losers = groups.filter("component_id < doc_id").select(F.col("doc_id").alias(name)).distinct()
     return docs.join(losers, docs[id_col].cast("long") == losers[name], "left_anti")

@@ -193,7 +193,8 @@ def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, **options) ->
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, *, lang_col: str = "lang") -> DataFrame:
     """The documents that the rules keep, with their columns as they came; ``lang_col`` is used if there is one."""
-    lang = F.col(f"source_row.`{lang_col}`") if lang_col in docs.columns else None
+    own = next((c for c in docs.columns if c.lower() == lang_col.lower()), None)
+    lang = None if own is None else F.col("source_row.`" + own.replace("`", "``") + "`")
     return judge(measure(docs, carry=True), rules, lang=lang).filter("kept").select("source_row.*")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.hashes import by_range, groups_of, joined, ranges_for, run_hashes, word_hashes
-from tablewright.llm.rows import documents, map_batches, shown
+from tablewright.llm.rows import any_ids, documents, map_batches, shown
 from tablewright.sources.scratch import scratch_path
 
 ANCHOR = 8
@@ -328,7 +328,8 @@ def repeated_windows(rows: DataFrame, *, size: int = 20, most: int = MOST_CONTEX
         .select("digest", F.col("doc_id").alias("first_doc"), F.col("at").alias("first_at"), "bits")
     )
     first = (F.col("doc_id") == F.col("first_doc")) & (F.col("at") == F.col("first_at"))
-    every = F.call_function("shiftleft", F.lit(1), F.col("windows")) - 1
+    one = F.lit(1) if size < ANCHOR + 30 else F.lit(1).cast("long")  # all 31 windows fit an int, one bit more does not
+    every = (F.call_function("shiftleft", one, F.col("windows")) - 1).cast("int")
     return (
         occurrences.select("digest", "doc_id", "version", "at", "windows")
         .join(judged, "digest")
@@ -337,6 +338,7 @@ def repeated_windows(rows: DataFrame, *, size: int = 20, most: int = MOST_CONTEX
     )
 
 
+@any_ids("doc_id")
 def remove_repeats(
     docs: DataFrame, *, size: int = 20, most: int = MOST_CONTEXTS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

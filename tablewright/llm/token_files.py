@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablewright.llm.bpe import ENDS, SIMPLE_CHUNK, byte_level, is_letters, pack_ids, read_spec
-from tablewright.llm.rows import Recent, documents, map_batches, shown
+from tablewright.llm.rows import Recent, documents, has_whole_ids, map_batches, shown
 
 BLOCK = 1 << 16
 SPACE = byte_level(" ")
 CHUNK_SCHEMA = (
     "shard int, chunk int, first long, n_ids int, crc32 long, planes array<binary>, "
-    "docs array<struct<doc_id: long, start: long, n_tokens: long>>"
+    "docs array<struct<doc_id: {}, start: long, n_tokens: long>>"
 )
 
 
@@ -133,6 +133,13 @@ class ShardWriter:
         return row
 
 
+def _rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+    """(doc_id, text), and the type of the ids: long for whole numbers, otherwise their own."""
+    if has_whole_ids(docs, id_col):
+        return documents(docs, id_col, text_col), "bigint"
+    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text")), docs.schema[id_col].dataType.simpleString()
+
+
 def write_tokens(
     docs: DataFrame, path: str, tokenizer: str, *, end_id: int, block: int = BLOCK, shards: int | None = None, **columns
 ) -> None:
@@ -145,7 +152,7 @@ def write_tokens(
     spark = docs.sparkSession
     spec = spark.sparkContext.broadcast(read_spec(tokenizer))
     end = np.array([end_id], dtype="<u4").tobytes()
-    rows = documents(docs, **columns)
+    rows, id_type = _rows(docs, **columns)
     shards = shards or max(1, docs.rdd.getNumPartitions())
     ordered = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
 
@@ -161,7 +168,7 @@ def write_tokens(
         return step, lambda: turned([w.cut(len(w.held))] if w.held else [])
 
     # one row group for each file, so that a file is never dealt out to two tasks
-    map_batches(ordered, start, CHUNK_SCHEMA).write.option("parquet.block.size", 1 << 30).option(
+    map_batches(ordered, start, CHUNK_SCHEMA.format(id_type)).write.option("parquet.block.size", 1 << 30).option(
         "compression", "uncompressed"
     ).parquet(path)
 
@@ -220,11 +227,11 @@ def read_tokens(spark: SparkSession, path: str, *, digest: bool = False) -> Data
 
     ``start`` counts the ids of all documents before. Chunks are checked against their checksums.
     """
-    chunks = spark.read.schema(CHUNK_SCHEMA).parquet(path)
+    chunks = spark.read.parquet(path)
+    id_type = chunks.schema["docs"].dataType.elementType["doc_id"].dataType.simpleString()
     last = "ids_crc32 long" if digest else "ids binary"
-    read = _walk(chunks, digest, f"doc_id long, shard int, start_in_shard long, n_tokens long, {last}")
-    return shown(
-        read.join(shard_offsets(chunks), "shard").select(
-            "doc_id", (F.col("before") + F.col("start_in_shard")).alias("start"), "n_tokens", last.split(" ")[0]
-        )
+    read = _walk(chunks, digest, f"doc_id {id_type}, shard int, start_in_shard long, n_tokens long, {last}")
+    found = read.join(shard_offsets(chunks), "shard").select(
+        "doc_id", (F.col("before") + F.col("start_in_shard")).alias("start"), "n_tokens", last.split(" ")[0]
     )
+    return shown(found) if id_type == "bigint" else found
