@@ -14,7 +14,7 @@ from tablewright.operators.constraints import (
     unique_violations,
 )
 from tablewright.operators.evolve import AddColumn, CastColumn, DropColumn, RenameColumn, evolve_schema
-from tablewright.operators.joins import anti_join, outer_join, semi_join
+from tablewright.operators.joins import anti_join, outer_join, semi_join, sifted_semi_join
 from tablewright.operators.mutate import (
     delete_where,
     incremental_append,
@@ -26,9 +26,11 @@ from tablewright.operators.mutate import (
 from tablewright.operators.ranking import numbered, with_positions
 from tablewright.operators.reconcile import differences
 from tablewright.operators.reuse import cached
+from tablewright.operators.uniqueness import repeated_keys
 from tablewright.sources.jdbc import JdbcDatabase, JdbcTarget
 from tablewright.sources.partitions import upsert_partitions
 from tablewright.sources.rewrite import delete_from_files, upsert_files
+from tablewright.sources.skipped import skipped_files
 
 # Python functions travel with the plan: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -56,7 +58,10 @@ __all__ = [
     "numbered",
     "outer_join",
     "primary_key_violations",
+    "repeated_keys",
     "semi_join",
+    "sifted_semi_join",
+    "skipped_files",
     "split_columns",
     "struct_to_map",
     "two_phase_aggregate",

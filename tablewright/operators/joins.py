@@ -14,8 +14,9 @@ from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablewright.functions.names import col, cols, resolve_names
+from tablewright.functions.names import col, cols, free_name, resolve_names
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -32,6 +33,53 @@ def semi_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> Dat
     return left.join(right.select(cols(keys)).distinct(), keys, "left_semi").select(cols(left.columns))
 
 
+#: Bits of a filter for each key: one in so many absent keys passes it.
+BITS_PER_KEY = 16
+#: A filter is 64 MB at most, which every executor can hold.
+MOST_BITS = 1 << 29
+
+
+def sifted_semi_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], *, bits: int | None = None) -> DataFrame:
+    """``semi_join`` of two big tables of which few rows of ``left`` meet: most of these are not shuffled.
+
+    The keys of ``right`` set bits in a filter, one each at the key's hash; bits are combined in the tasks and then by
+    an aggregation. The filter, at most ``MOST_BITS`` whatever the tables' size, is broadcast and drops rows
+    of ``left`` before the shuffle; an exact join follows. Reads ``right`` twice, and counts it to size the filter
+    unless ``bits`` is given. All steps are native.
+    """
+    keys = _keys(on)
+    mine, theirs = resolve_names(left, keys), resolve_names(right, keys)
+    # hashed alike on both sides: in the type that an equality would compare them in
+    types = [_common_type(left, m, right, t) for m, t in zip(mine, theirs, strict=True)]
+    wanted = right.select(*[col(t).alias(k) for t, k in zip(theirs, keys, strict=True)]).distinct()
+    if bits is None:
+        bits = BITS_PER_KEY * max(1, right.count())
+    bits = min(MOST_BITS, max(1 << 15, bits))
+
+    def slot(names: Sequence[str]):
+        return F.pmod(F.xxhash64(*[col(n).cast(t) for n, t in zip(names, types, strict=True)]), F.lit(bits)) + 1
+
+    bucket, place, held = (free_name(left.columns, n) for n in ("bucket", "place", "held_bits"))
+    filters = right.select(slot(theirs).alias("slot")).where("slot IS NOT NULL").groupBy(F.bitmap_bucket_number("slot").alias(bucket)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias(held)
+    )
+    placed = left.withColumns({bucket: F.bitmap_bucket_number(slot(mine)), place: F.bitmap_bit_position(slot(mine))})
+    # of bounded size: MOST_BITS in all
+    met = placed.join(F.broadcast(filters), bucket)
+    byte = F.conv(F.hex(F.substring(col(held), (col(place) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    passed = F.call_function("shiftright", byte, (col(place) % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    sifted = met.where(passed).select(cols(left.columns))
+    # distinct keys make it a semi join; a real one would be moved below the sifting
+    exact = reduce(and_, [col(m, of="sifted") == col(k, of="wanted") for m, k in zip(mine, keys, strict=True)])
+    return sifted.alias("sifted").join(wanted.alias("wanted"), exact).select([col(c, of="sifted") for c in left.columns])
+
+
+def _common_type(left: DataFrame, mine: str, right: DataFrame, theirs: str):
+    """The type that Spark compares the two columns in."""
+    empty = left.sparkSession.createDataFrame([], T.StructType([T.StructField("a", left.schema[mine].dataType), T.StructField("b", right.schema[theirs].dataType)]))
+    return empty.select(F.coalesce("a", "b")).schema[0].dataType
+
+
 def anti_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``; NULL keys are kept."""
     keys = _keys(on)

@@ -10,6 +10,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tablewright import skipped_files
 from tablewright.operators.reuse import session_setting
 from tablewright.plans.registry import query
 from tablewright.sources.scratch import scratch_path
@@ -51,6 +52,22 @@ def src_ignore_corrupt(spark, t):
     return spark.read.parquet(kept)
 
 
+@query(
+    """SELECT 'text' AS folder, CAST(sum(strlen(s_name) + 1) AS BIGINT) AS size, 'unreadable' AS reason FROM supplier
+    UNION ALL SELECT 'none', NULL, 'empty'"""
+)
+def src_skipped_files(spark, t):
+    path = scratch_path(spark, "mixed files")
+    names = t.supplier.select("s_suppkey", "s_name")
+    names.write.parquet(f"{path}/good")
+    names.limit(0).write.parquet(f"{path}/none")
+    names.select("s_name").coalesce(1).write.text(f"{path}/text")
+    found = skipped_files(spark, path, schema="s_suppkey bigint, s_name string")
+    folder = F.element_at(F.split("path", "/"), -2)
+    # the size of an empty Parquet file is the writer's affair
+    return found.select(folder.alias("folder"), F.when(F.col("reason") == "unreadable", F.col("size")).alias("size"), "reason")
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders")
 def src_recursive(spark, t):
     path = scratch_path(spark, "nested")

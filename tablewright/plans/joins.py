@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright import anti_join, outer_join, semi_join
+from tablewright import anti_join, outer_join, semi_join, sifted_semi_join
 from tablewright.plans.registry import query
 
 
@@ -64,6 +64,15 @@ def join_semi(spark, t):
     return semi_join(t.customer.select("c_custkey", "c_name"), big, "c_custkey")
 
 
+@query(
+    """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN
+    (SELECT o_orderkey FROM orders WHERE o_totalprice > 400000 AND o_orderstatus = 'F')"""
+)
+def join_semi_sifted(spark, t):
+    few = t.orders.where("o_totalprice > 400000 AND o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return sifted_semi_join(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), few, "l_orderkey")
+
+
 @query(
     """SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS
     (SELECT 1 FROM orders WHERE o_totalprice > 400000 AND o_custkey = c_custkey)"""

@@ -20,6 +20,7 @@ from tablewright import (
     incremental_rows,
     latest_snapshot,
     primary_key_violations,
+    repeated_keys,
     unique_violations,
     upsert,
     upsert_files,
@@ -255,6 +256,16 @@ def check_unique(spark, t):
     return unique_violations(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
+@query(
+    """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM (SELECT l_orderkey, l_linenumber FROM lineitem
+    UNION ALL SELECT o_orderkey, 1 FROM orders WHERE o_orderkey % 50 = 0) GROUP BY ALL HAVING count(*) > 1"""
+)
+def check_unique_sparse(spark, t):
+    # Nearly all keys are there once: only their hashes are shuffled.
+    again = t.orders.where("o_orderkey % 50 = 0").selectExpr("o_orderkey", "1")
+    return repeated_keys(t.lineitem.select("l_orderkey", "l_linenumber").union(again), ["l_orderkey", "l_linenumber"])
+
+
 @query(
     """SELECT nullif(user_id, 0) AS user_id, event_type, count(*) AS n_rows,
     CASE WHEN nullif(user_id, 0) IS NULL THEN 'null' ELSE 'duplicate' END AS reason
