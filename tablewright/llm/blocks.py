@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablewright.sources.scratch import scratch_path
 
 REQUESTS = "block long, part int, keys binary, amounts binary"
-ANSWERS = "block long, part int, answers binary, notes array<struct<k: long, v: long>>"
+ANSWERS = "block long, part int, answers binary, ranks binary, notes array<struct<k: long, v: long>>"
 #: Fixed value: Spark refuses tables with more buckets.
 MOST_BUCKETS = 100_000
 
@@ -65,9 +65,19 @@ def requests_of(block: int, parts: int, keys: np.ndarray, amounts: np.ndarray) -
         yield block, part, pack_sorted(keys[at]), pack(amounts[at])
 
 
+def requests_by_rank(block: int, parts: np.ndarray, ranks: np.ndarray, amounts: np.ndarray) -> Iterator[tuple]:
+    """As ``requests_of``, for keys that an earlier step has ranked: the range that ranked them knows them by rank."""
+    cuts = np.flatnonzero(np.diff(parts, prepend=-1, append=-1)) if len(parts) else np.zeros(1, dtype=np.int64)
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        yield block, int(parts[lo]), pack_sorted(ranks[lo:hi].astype(np.uint64)), pack(amounts[lo:hi])
+
+
 def per_block(blocks: DataFrame, answers: list[DataFrame], step: Callable, schema: str) -> DataFrame:
-    """``step(row, answers)`` gives each block's rows; ``answers`` holds, for each table, the block's sums by key order."""
-    tables = [a.filter("block IS NOT NULL").selectExpr("block", f"{k} AS step", "part", "answers") for k, a in enumerate(answers)]
+    """``step(row, answers)`` gives each block's rows; ``answers`` holds, for each table, the block's sums by key order.
+
+    Where a table has ranks, ``answers["ranks", k]`` is a pair: the ranked keys' ranges and their ranks in these.
+    """
+    tables = [a.filter("block IS NOT NULL").selectExpr("block", f"{k} AS step", "part", "answers", "ranks") for k, a in enumerate(answers)]
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(found: dict, rows: pd.DataFrame) -> pd.DataFrame:
@@ -80,18 +90,26 @@ def per_block(blocks: DataFrame, answers: list[DataFrame], step: Callable, schem
 
     def both(rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         got = got.sort_values(["step", "part"])
-        blobs = got.groupby("step")["answers"]
-        return run({k: np.concatenate([unpack(b) for b in g]) for k, g in blobs}, rows)
+        found = {}
+        for k, g in got.groupby("step"):
+            found[k] = np.concatenate([unpack(b) for b in g["answers"]])
+            if g["ranks"].notna().all():
+                ranks = [unpack_sorted(r) for r in g["ranks"]]
+                found["ranks", k] = np.repeat(g["part"].to_numpy(), [len(r) for r in ranks]), np.concatenate(ranks)
+        return run(found, rows)
 
     asked = reduce(DataFrame.unionByName, tables)
     return blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(both, schema)
 
 
-def totals(requests: DataFrame, label: str, *, answer: Callable | None = None, notes: Callable | None = None) -> DataFrame:
+def totals(
+    requests: DataFrame, label: str, *, answer: Callable | None = None, notes: Callable | None = None, rank_from: int | None = None
+) -> DataFrame:
     """Each request's keys with the sums of the amounts in all requests, written to the shared folder.
 
     ``answer(sums)`` is what goes back, the sums themselves if not given; ``notes(keys, sums)`` gives pairs of
-    numbers about a range's distinct keys, kept in rows without block.
+    numbers about a range's distinct keys, kept in rows without block. With ``rank_from``, keys of at least that
+    sum get their rank among the range's keys, by which later requests can name them in fewer bytes.
     """
     spark: SparkSession = requests.sparkSession
 
@@ -108,12 +126,21 @@ def totals(requests: DataFrame, label: str, *, answer: Callable | None = None, n
         back = np.empty(len(keys), dtype="<i8")
         back[order] = np.repeat(shown, np.diff(firsts, append=len(keys)))
         part = int(rows["part"].iloc[0])
-        made = [(block, part, pack(a), []) for block, a in zip(rows["block"], np.split(back, cuts), strict=True)]
+        ranks = [None] * len(rows)
+        if rank_from is not None:
+            rank, enough = np.empty(len(keys), dtype=np.uint64), np.empty(len(keys), dtype=bool)
+            times = np.diff(firsts, append=len(keys))
+            rank[order], enough[order] = np.repeat(np.arange(len(firsts), dtype=np.uint64), times), np.repeat(sums >= rank_from, times)
+            ranks = [pack_sorted(r[e]) for r, e in zip(np.split(rank, cuts), np.split(enough, cuts), strict=True)]
+        made = [(block, part, pack(a), r, []) for block, a, r in zip(rows["block"], np.split(back, cuts), ranks, strict=True)]
         if notes:
-            made.append((None, part, None, [{"k": int(k), "v": int(v)} for k, v in notes(keys[firsts], sums)]))
+            made.append((None, part, None, None, [{"k": int(k), "v": int(v)} for k, v in notes(keys[firsts], sums)]))
         columns = zip(*made, strict=True)
-        return pd.DataFrame({n: pd.Series(list(c), dtype=object) for n, c in zip(("block", "part", "answers", "notes"), columns, strict=True)})
+        return pd.DataFrame({n: pd.Series(list(c), dtype=object) for n, c in zip(("block", "part", "answers", "ranks", "notes"), columns, strict=True)})
 
     path = scratch_path(spark, label)
     requests.groupBy("part").applyInPandas(one_range, ANSWERS).write.parquet(path)
+    # Spark deletes the shuffle's files when nothing refers to it any more, which it learns from a collection
+    del requests
+    spark._jvm.System.gc()
     return spark.read.schema(ANSWERS).parquet(path)

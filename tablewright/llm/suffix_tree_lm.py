@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tablewright.llm.blocks import REQUESTS, per_block, requests_of, totals, write_blocks
+from tablewright.llm.blocks import REQUESTS, per_block, requests_by_rank, requests_of, totals, write_blocks
 from tablewright.llm.hashes import mixed, word_hashes
 
 #: Added to the count of every word, and of one word for all unknown ones, in the distribution without context.
@@ -107,6 +107,9 @@ class _Text:
         self.counts: list[np.ndarray] = []  # by order: count of the run that ends at each token, 0 where it wasn't asked for
         self.runs: list[tuple] = []  # by order from 2 on: asked places, distinct keys, each place's key
         self.hashes = [self.first]
+        place_of = np.empty(len(words), dtype=np.int64)
+        place_of[self.order] = np.arange(len(words))
+        self.keys_at = [place_of[self.codes]]  # by order: the number of each token's run among the block's distinct ones
         if 0 in found:
             back = np.empty(len(words), dtype=np.int64)
             back[self.order] = found[0]
@@ -126,6 +129,8 @@ class _Text:
         hashes[places] = mixed(self.hashes[-1][places - 1], self.first[places])
         keys, of = np.unique(hashes[places], return_inverse=True)
         self.hashes.append(hashes)
+        self.keys_at.append(np.zeros(len(self.codes), dtype=np.int64))
+        self.keys_at[-1][places] = of
         self.runs.append((places, keys, of))
         return keys, np.bincount(of[self.train[places]], minlength=len(keys))
 
@@ -145,14 +150,21 @@ class _Text:
         return self
 
 
-def _contexts(text: _Text, depth: int) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
-    """Distinct candidate contexts of all lengths as ascending keys; by length: the places behind them, each place's key."""
-    keys = [
-        mixed(text.hashes[k - 1][text.runs[k - 1][0] - 1], np.uint64(k)) for k in range(1, depth + 1)
-    ]
-    distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
-    cuts = np.cumsum([len(k) for k in keys])[:-1]
-    return distinct, of, [(run[0], part) for run, part in zip(text.runs, np.split(of, cuts), strict=True)]
+def _contexts(text: _Text, depth: int) -> list[tuple]:
+    """By length of candidate contexts: the places behind them, each place's context as a number, the ranges and ranks
+    of the distinct contexts that are used."""
+    made = []
+    for k in range(1, depth + 1):
+        places = text.runs[k - 1][0]
+        if not len(places):
+            none = np.zeros(0, dtype=np.int64)
+            made.append((places, none, none, none))
+            continue
+        number = np.cumsum(text.found[k - 1] >= text.min_count) - 1
+        used, of = np.unique(number[text.keys_at[k - 1][places - 1]], return_inverse=True)
+        parts, ranks = text.found["ranks", k - 1]
+        made.append((places, of, parts[used], ranks[used]))
+    return made
 
 
 def score_texts(
@@ -193,7 +205,7 @@ def score_texts(
     def numbers(keys: np.ndarray, sums: np.ndarray):
         return [(0, int((sums > 0).sum())), (1, int(sums.sum()))]
 
-    known = [totals(per_block(texts, [], first_words, REQUESTS), "lm-words", notes=numbers)]
+    known = [totals(per_block(texts, [], first_words, REQUESTS), "lm-words", notes=numbers, rank_from=min_count)]
     stated = known[0].selectExpr("inline(notes)").groupBy("k").agg(F.sum("v")).collect()
     vocabulary, tokens = (dict(map(tuple, stated)).get(k, 0) for k in (0, 1))
 
@@ -202,25 +214,25 @@ def score_texts(
         def longer_runs(row, found, order=order):
             return requests_of(row.block, parts, *_Text(row, found, min_count).grown(order - 1).longer())
 
-        known.append(totals(per_block(texts, known, longer_runs, REQUESTS), f"lm-runs-{order}"))
+        # runs of depth + 1 words are nobody's context
+        rank_from = min_count if order <= depth else None
+        known.append(totals(per_block(texts, known, longer_runs, REQUESTS), f"lm-runs-{order}", rank_from=rank_from))
 
     rest = tokens + ROOT * (vocabulary + 1)
 
     def gains(row, found):
         text = _Text(row, found, min_count).grown(depth + 1)
-        keys, _, places_of = _contexts(text, depth)
-        gain = np.zeros(len(keys), dtype=np.int64)
         # each occurrence is judged by the counts without itself; only training texts are counted
         told = (np.maximum(text.counts[0] - 1, 0) + ROOT) / (rest - 1)
-        for k, (places, of) in enumerate(places_of, 1):
+        for k, (places, of, ranges, ranks) in enumerate(_contexts(text, depth), 1):
             seen = text.train[places]
             places, of = places[seen], of[seen]
             longer = (text.counts[k][places] - 1 + smoothing * told[places]) / (
                 text.counts[k - 1][places - 1] - 1 + smoothing
             )
-            np.add.at(gain, of, np.rint(np.log10(longer / told[places]) * UNIT).astype(np.int64))
+            gain = np.bincount(of, np.rint(np.log10(longer / told[places]) * UNIT), minlength=len(ranks)).astype(np.int64)
             told[places] = longer
-        return requests_of(row.block, parts, keys, gain)
+            yield from requests_by_rank(row.block, ranges + (k - 1) * parts, ranks, gain)
 
     states = totals(
         per_block(texts, known, gains, REQUESTS), "lm-states", answer=lambda sums: sums >= round(min_gain * UNIT)
@@ -228,13 +240,14 @@ def score_texts(
 
     def score(row, found):
         text = _Text(row, found, min_count).grown(depth + 1)
-        _, _, places_of = _contexts(text, depth)
         chance = (text.counts[0] + ROOT) / rest
         base = np.log10(chance)
-        for k, (places, of) in enumerate(places_of, 1):
+        at = 0
+        for k, (places, of, _, ranks) in enumerate(_contexts(text, depth), 1):
             if not len(places):
                 continue
-            state = found[depth + 1][of] > 0
+            state = found[depth + 1][at : at + len(ranks)][of] > 0
+            at += len(ranks)
             places = places[state]
             chance[places] = (text.counts[k][places] + smoothing * chance[places]) / (
                 text.counts[k - 1][places - 1] + smoothing
