@@ -140,7 +140,4 @@ def totals(
 
     path = scratch_path(spark, label)
     requests.groupBy("part").applyInPandas(one_range, ANSWERS).write.parquet(path)
-    # Spark deletes the shuffle's files when nothing refers to it any more, which it learns from a collection
-    del requests
-    spark._jvm.System.gc()
     return spark.read.schema(ANSWERS).parquet(path)
