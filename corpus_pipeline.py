@@ -21,8 +21,10 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that three documents or more hold stay in the last of them; ``n_chars`` follows the text."""
+    """Lines that three documents or more hold stay in the last of them; ``n_chars``, if there is one, follows the text."""
     cleaned = clean_lines(docs)
+    if "n_chars" not in docs.columns:
+        return cleaned
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
