@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablewright.sources.scratch import scratch_path
 
@@ -44,16 +45,46 @@ def unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(unpack(blob, "<u8"), dtype=np.uint64)
 
 
+class Bucketed:
+    """A table in the shared folder, bucketed by ``block``; rows can be added to it."""
+
+    def __init__(self, spark: SparkSession, buckets: int, label: str):
+        self.spark, self.buckets, self.path = spark, buckets, scratch_path(spark, label)
+        self.name = "tablewright_" + self.path.rstrip("/").split("/")[-1].replace("-", "_")
+
+    def add(self, rows: DataFrame) -> None:
+        rows.write.mode("append").bucketBy(self.buckets, "block").option("path", self.path).saveAsTable(self.name)
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def closed(self) -> DataFrame:
+        """The rows, without the table's name in the catalog: the files are read by their path."""
+        rows = self.rows
+        self.spark.sql(f"DROP TABLE {self.name}")
+        return rows
+
+
+class Steps(Bucketed):
+    """The sums of all steps so far, by block: they are moved to their block once, and by no later step again."""
+
+    made = 0
+
+    def add(self, rows: DataFrame) -> None:
+        super().add(rows.withColumn("step", F.lit(self.made)).repartition(self.buckets, "block"))
+        self.made += 1
+
+
+def buckets_for(rows: DataFrame) -> int:
+    return min(MOST_BUCKETS, max(1, rows.rdd.getNumPartitions()))
+
+
 def write_blocks(rows: DataFrame, label: str) -> DataFrame:
     """The rows, one per ``block``, written to the shared folder and read back by bucket."""
-    spark = rows.sparkSession
-    path = scratch_path(spark, label)
-    table = "tablewright_" + path.rstrip("/").split("/")[-1].replace("-", "_")
-    buckets = min(MOST_BUCKETS, max(1, rows.rdd.getNumPartitions()))
-    rows.write.bucketBy(buckets, "block").option("path", path).saveAsTable(table)
-    written = spark.table(table)
-    spark.sql(f"DROP TABLE {table}")  # the name only: the files are read by their path
-    return written
+    table = Bucketed(rows.sparkSession, buckets_for(rows), label)
+    table.add(rows)
+    return table.closed()
 
 
 def requests_of(block: int, parts: int, keys: np.ndarray, amounts: np.ndarray) -> Iterator[tuple]:
@@ -72,12 +103,17 @@ def requests_by_rank(block: int, parts: np.ndarray, ranks: np.ndarray, amounts:
         yield block, int(parts[lo]), pack_sorted(ranks[lo:hi].astype(np.uint64)), pack(amounts[lo:hi])
 
 
-def per_block(blocks: DataFrame, answers: list[DataFrame], step: Callable, schema: str) -> DataFrame:
-    """``step(row, answers)`` gives each block's rows; ``answers`` holds, for each table, the block's sums by key order.
+def per_block(blocks: DataFrame, answers: list[DataFrame] | DataFrame, step: Callable, schema: str) -> DataFrame:
+    """``step(row, answers)`` gives each block's rows; ``answers`` holds, for each step, the block's sums by key order.
 
-    Where a table has ranks, ``answers["ranks", k]`` is a pair: the ranked keys' ranges and their ranks in these.
+    The steps' sums come as a table for each, or as one with the steps' numbers. Where a step has ranks,
+    ``answers["ranks", k]`` is a pair: the ranked keys' ranges and their ranks in these.
     """
-    tables = [a.filter("block IS NOT NULL").selectExpr("block", f"{k} AS step", "part", "answers", "ranks") for k, a in enumerate(answers)]
+    if isinstance(answers, DataFrame):
+        answers = [answers]
+    else:
+        answers = [a.withColumn("step", F.lit(k)) for k, a in enumerate(answers)]
+    tables = [a.filter("answers IS NOT NULL").select("block", "step", "part", "answers", "ranks") for a in answers]
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(found: dict, rows: pd.DataFrame) -> pd.DataFrame:
@@ -102,16 +138,15 @@ def per_block(blocks: DataFrame, answers: list[DataFrame], step: Callable, schem
     return blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(both, schema)
 
 
-def totals(
-    requests: DataFrame, label: str, *, answer: Callable | None = None, notes: Callable | None = None, rank_from: int | None = None
+def sums_of(
+    requests: DataFrame, *, answer: Callable | None = None, notes: Callable | None = None, rank_from: int | None = None
 ) -> DataFrame:
-    """Each request's keys with the sums of the amounts in all requests, written to the shared folder.
+    """Each request's keys with the sums of the amounts in all requests.
 
     ``answer(sums)`` is what goes back, the sums themselves if not given; ``notes(keys, sums)`` gives pairs of
-    numbers about a range's distinct keys, kept in rows without block. With ``rank_from``, keys of at least that
+    numbers about a range's distinct keys, kept in rows without answers. With ``rank_from``, keys of at least that
     sum get their rank among the range's keys, by which later requests can name them in fewer bytes.
     """
-    spark: SparkSession = requests.sparkSession
 
     def one_range(rows: pd.DataFrame) -> pd.DataFrame:
         keys = [unpack_sorted(k) for k in rows["keys"]]
@@ -134,10 +169,15 @@ def totals(
             ranks = [pack_sorted(r[e]) for r, e in zip(np.split(rank, cuts), np.split(enough, cuts), strict=True)]
         made = [(block, part, pack(a), r, []) for block, a, r in zip(rows["block"], np.split(back, cuts), ranks, strict=True)]
         if notes:
-            made.append((None, part, None, None, [{"k": int(k), "v": int(v)} for k, v in notes(keys[firsts], sums)]))
+            made.append((rows["block"].iloc[0], part, None, None, [{"k": int(k), "v": int(v)} for k, v in notes(keys[firsts], sums)]))
         columns = zip(*made, strict=True)
         return pd.DataFrame({n: pd.Series(list(c), dtype=object) for n, c in zip(("block", "part", "answers", "ranks", "notes"), columns, strict=True)})
 
-    path = scratch_path(spark, label)
-    requests.groupBy("part").applyInPandas(one_range, ANSWERS).write.parquet(path)
-    return spark.read.schema(ANSWERS).parquet(path)
+    return requests.groupBy("part").applyInPandas(one_range, ANSWERS)
+
+
+def totals(requests: DataFrame, label: str, **options) -> DataFrame:
+    """``sums_of`` the requests, written to the shared folder."""
+    path = scratch_path(requests.sparkSession, label)
+    sums_of(requests, **options).write.parquet(path)
+    return requests.sparkSession.read.schema(ANSWERS).parquet(path)

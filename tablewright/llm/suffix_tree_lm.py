@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tablewright.llm.blocks import REQUESTS, per_block, requests_by_rank, requests_of, totals, write_blocks
+from tablewright.llm.blocks import REQUESTS, Steps, buckets_for, per_block, requests_by_rank, requests_of, sums_of, write_blocks
 from tablewright.llm.hashes import mixed, word_hashes
 
 #: Added to the count of every word, and of one word for all unknown ones, in the distribution without context.
@@ -194,7 +194,8 @@ def score_texts(
         (F.crc32(F.coalesce(ident.cast("string"), F.lit("")).cast("binary")) % 10 == 0).alias("held_out"),
         docs[text_col].cast("string").alias("text"),
     )
-    blocks = write_blocks(_to_blocks(rows, block_tokens), "lm-blocks")
+    made = _to_blocks(rows, block_tokens)
+    blocks, known = write_blocks(made, "lm-blocks"), Steps(docs.sparkSession, buckets_for(made), "lm-sums")
     n = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     parts = max(1, -(-n // tokens_per_range))
     texts = blocks.select("block", "held", "sizes", "words", "codes")
@@ -205,8 +206,8 @@ def score_texts(
     def numbers(keys: np.ndarray, sums: np.ndarray):
         return [(0, int((sums > 0).sum())), (1, int(sums.sum()))]
 
-    known = [totals(per_block(texts, [], first_words, REQUESTS), "lm-words", notes=numbers, rank_from=min_count)]
-    stated = known[0].selectExpr("inline(notes)").groupBy("k").agg(F.sum("v")).collect()
+    known.add(sums_of(per_block(texts, [], first_words, REQUESTS), notes=numbers, rank_from=min_count))
+    stated = known.rows.selectExpr("inline(notes)").groupBy("k").agg(F.sum("v")).collect()
     vocabulary, tokens = (dict(map(tuple, stated)).get(k, 0) for k in (0, 1))
 
     for order in range(2, depth + 2):
@@ -216,7 +217,7 @@ def score_texts(
 
         # runs of depth + 1 words are nobody's context
         rank_from = min_count if order <= depth else None
-        known.append(totals(per_block(texts, known, longer_runs, REQUESTS), f"lm-runs-{order}", rank_from=rank_from))
+        known.add(sums_of(per_block(texts, known.rows, longer_runs, REQUESTS), rank_from=rank_from))
 
     rest = tokens + ROOT * (vocabulary + 1)
 
@@ -234,9 +235,7 @@ def score_texts(
             told[places] = longer
             yield from requests_by_rank(row.block, ranges + (k - 1) * parts, ranks, gain)
 
-    states = totals(
-        per_block(texts, known, gains, REQUESTS), "lm-states", answer=lambda sums: sums >= round(min_gain * UNIT)
-    )
+    known.add(sums_of(per_block(texts, known.rows, gains, REQUESTS), answer=lambda sums: sums >= round(min_gain * UNIT)))
 
     def score(row, found):
         text = _Text(row, found, min_count).grown(depth + 1)
@@ -260,4 +259,4 @@ def score_texts(
         f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, "
         "train_tokens long, base_score double, score double"
     )
-    return per_block(blocks.drop("n_tokens"), [*known, states], score, schema)
+    return per_block(blocks.drop("n_tokens"), known.closed(), score, schema)

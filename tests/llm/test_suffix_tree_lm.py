@@ -122,7 +122,7 @@ def test_empty_and_all_held_out(spark):
     assert_same(spark.createDataFrame(rows, SCHEMA), rows)
 
 
-def test_blocks_are_not_moved(spark):
+def test_neither_blocks_nor_their_sums_are_moved(spark):
     frame = spark.createDataFrame([(i, "a b c " * 9) for i in range(40)], SCHEMA).repartition(4)
     plan = score_texts(frame, block_tokens=60)._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan
+    assert plan.count("Bucketed: true") == 2 and "Exchange" not in plan
