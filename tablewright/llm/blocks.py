@@ -17,10 +17,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.operators.reuse import session_setting
 from tablewright.sources.scratch import scratch_path
 
 REQUESTS = "block long, part int, keys binary, amounts binary"
 ANSWERS = "block long, part int, answers binary, ranks binary, notes array<struct<k: long, v: long>>"
+#: Spark's setting that deletes the shuffle files of a query when it ends: nothing reads them once its table is written.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Fixed value: Spark refuses tables with more buckets.
 MOST_BUCKETS = 100_000
 
@@ -71,8 +74,11 @@ class Steps(Bucketed):
 
     made = 0
 
-    def add(self, rows: DataFrame) -> None:
-        super().add(rows.withColumn("step", F.lit(self.made)).repartition(self.buckets, "block"))
+    def add(self, *turns: DataFrame) -> None:
+        """The sums of the next step. A step of several turns has only one turn's shuffle on disk at a time."""
+        for rows in turns:
+            with session_setting(self.spark, CLEAN_UP, "true"):
+                super().add(rows.withColumn("step", F.lit(self.made)).repartition(self.buckets, "block"))
         self.made += 1
 
 
@@ -87,11 +93,15 @@ def write_blocks(rows: DataFrame, label: str) -> DataFrame:
     return table.closed()
 
 
-def requests_of(block: int, parts: int, keys: np.ndarray, amounts: np.ndarray) -> Iterator[tuple]:
-    """One row for each range that has some of the block's ascending distinct keys."""
+def requests_of(
+    block: int, parts: int, keys: np.ndarray, amounts: np.ndarray, turn: int = 0, turns: int = 1
+) -> Iterator[tuple]:
+    """One row for each range that has some of the block's ascending distinct keys; every ``turns``-th range in a turn."""
     of = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
     cuts = np.searchsorted(of, np.arange(parts + 1, dtype=np.uint64))
     for part in np.flatnonzero(np.diff(cuts)).tolist():
+        if part % turns != turn:
+            continue
         at = slice(cuts[part], cuts[part + 1])
         yield block, part, pack_sorted(keys[at]), pack(amounts[at])
 

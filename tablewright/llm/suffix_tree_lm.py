@@ -16,6 +16,7 @@ collected, only its two numbers: training tokens and distinct words.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,8 @@ from tablewright.llm.hashes import mixed, word_hashes
 ROOT = 0.1
 #: Gains are summed as whole numbers of this fraction, so that no sum depends on the order of its parts.
 UNIT = 1 << 10
+#: Runs of two words, the most by far, are summed in so many turns, each for its share of the ranges.
+TURNS = 2
 BLOCK_TOKENS = 1_000_000
 TOKENS_PER_RANGE = 2_000_000
 #: The end of a text: not a word, as words hold no space.
@@ -67,7 +70,8 @@ def _to_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
 
         def cut():
             words = word_hashes(list(codes)).astype("<u8").tobytes()
-            packed = zstandard.ZstdCompressor(level=3).compress(np.concatenate(parts).astype("<u4").tobytes())
+            planes = np.concatenate(parts).astype("<u4").view(np.uint8).reshape(-1, 4).T
+            packed = zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
             row = ((task << 32) + made, n, ids, held, sizes, words, packed)
             return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, out, strict=True)], schema=out)
 
@@ -94,8 +98,8 @@ class _Text:
     """A block's tokens, and what is known of the runs that end at each."""
 
     def __init__(self, row, found: dict[int, np.ndarray], min_count: int):
-        packed = zstandard.ZstdDecompressor().decompress(row.codes)
-        self.codes = np.frombuffer(packed, dtype="<u4")
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.codes), dtype=np.uint8)
+        self.codes = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
         words = np.frombuffer(row.words, dtype="<u8")
         self.sizes = np.asarray(row.sizes, dtype=np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
@@ -212,12 +216,15 @@ def score_texts(
 
     for order in range(2, depth + 2):
 
-        def longer_runs(row, found, order=order):
-            return requests_of(row.block, parts, *_Text(row, found, min_count).grown(order - 1).longer())
+        turns = TURNS if order == 2 else 1
+
+        def longer_runs(row, found, order=order, turn=0, turns=turns):
+            return requests_of(row.block, parts, *_Text(row, found, min_count).grown(order - 1).longer(), turn, turns)
 
         # runs of depth + 1 words are nobody's context
         rank_from = min_count if order <= depth else None
-        known.add(sums_of(per_block(texts, known.rows, longer_runs, REQUESTS), rank_from=rank_from))
+        asked = (per_block(texts, known.rows, partial(longer_runs, turn=turn), REQUESTS) for turn in range(turns))
+        known.add(*(sums_of(a, rank_from=rank_from) for a in asked))
 
     rest = tokens + ROOT * (vocabulary + 1)
 
