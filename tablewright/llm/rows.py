@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import wraps
+from inspect import ismethod
+from weakref import WeakMethod
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -106,16 +108,20 @@ def map_batches(df: DataFrame, start: Callable[[], Callable], schema: str, *, at
 
 
 class Recent(dict):
-    """A cache that makes what it lacks and holds about ``2 * size`` entries: this and the last generation."""
+    """A cache that makes what it lacks and holds about ``2 * size`` entries: this and the last generation.
+
+    An object may cache the results of its own method: the cache doesn't keep it, so both go when its task ends.
+    """
 
     def __init__(self, make: Callable, size: int = 250_000):
         super().__init__()
-        self.make, self.size, self.last = make, size, {}
+        self.make = WeakMethod(make) if ismethod(make) else lambda: make
+        self.size, self.last = size, {}
 
     def __missing__(self, key):
         value = self.last.get(key)
         if value is None:
-            value = self.make(key)
+            value = self.make()(key)
         if len(self) >= self.size:
             self.last = dict(self)
             self.clear()
