@@ -15,6 +15,7 @@ from tablewright.operators.constraints import (
 )
 from tablewright.operators.evolve import AddColumn, CastColumn, DropColumn, RenameColumn, evolve_schema
 from tablewright.operators.joins import anti_join, outer_join, semi_join, sifted_semi_join
+from tablewright.operators.layout import bloom_options, z_order_key, z_ordered
 from tablewright.operators.mutate import (
     delete_where,
     incremental_append,
@@ -26,7 +27,9 @@ from tablewright.operators.mutate import (
 from tablewright.operators.ranking import numbered, with_positions
 from tablewright.operators.reconcile import differences
 from tablewright.operators.reuse import cached
+from tablewright.operators.sql_aggregate import drop_aggregate, register_aggregate
 from tablewright.operators.uniqueness import repeated_keys
+from tablewright.sources.field_ids import NumberedSchema, read_by_id, save_by_id
 from tablewright.sources.jdbc import JdbcDatabase, JdbcTarget
 from tablewright.sources.partitions import upsert_partitions
 from tablewright.sources.rewrite import delete_from_files, upsert_files
@@ -41,15 +44,18 @@ __all__ = [
     "DropColumn",
     "JdbcDatabase",
     "JdbcTarget",
+    "NumberedSchema",
     "RenameColumn",
     "anti_join",
     "apply_parent_delete",
     "apply_parent_update",
+    "bloom_options",
     "cached",
     "capitalize_words",
     "delete_from_files",
     "delete_where",
     "differences",
+    "drop_aggregate",
     "evolve_schema",
     "foreign_key_orphans",
     "incremental_append",
@@ -58,7 +64,10 @@ __all__ = [
     "numbered",
     "outer_join",
     "primary_key_violations",
+    "read_by_id",
+    "register_aggregate",
     "repeated_keys",
+    "save_by_id",
     "semi_join",
     "sifted_semi_join",
     "skipped_files",
@@ -71,4 +80,6 @@ __all__ = [
     "upsert_partitions",
     "watermark",
     "with_positions",
+    "z_order_key",
+    "z_ordered",
 ]

@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tablewright import cached, numbered, two_phase_aggregate, with_positions
+from tablewright import cached, drop_aggregate, numbered, register_aggregate, two_phase_aggregate, with_positions
 from tablewright.plans.registry import query
 from tablewright.sources.scratch import scratch_path
 
@@ -359,6 +359,33 @@ def uda_mean_sql(spark, t):
     return spark.sql("SELECT c_mktsegment, mean FROM {means}", means=means)
 
 
+@query(
+    """SELECT c_mktsegment, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean
+    FROM customer GROUP BY c_mktsegment"""
+)
+def uda_called_in_sql(spark, t):
+    # SQL text calls the aggregate itself: once to fold each task's rows, once to merge what was shuffled.
+    register_aggregate(
+        spark,
+        "mean_cents",
+        keys="c_mktsegment string",
+        reduce=lambda rows: pd.DataFrame({"total": rows["cents"].sum(), "n": rows["cents"].count()}),
+        merge=lambda buffers: buffers.sum(),
+        finish=lambda b: pd.DataFrame({"mean": (b["total"] / 100 / b["n"]).where(b["n"] > 0)}),
+        buffer_schema="total bigint, n bigint",
+        output_schema="mean double",
+    )
+    means = spark.sql(
+        """SELECT c_mktsegment, mean FROM mean_cents(TABLE(
+            SELECT * FROM mean_cents_part(TABLE(
+                SELECT c_mktsegment, CAST(rint(c_acctbal * 100) AS BIGINT) AS cents FROM {customer}))
+        ) PARTITION BY c_mktsegment)""",
+        customer=t.customer,
+    )
+    drop_aggregate(spark, "mean_cents")
+    return means
+
+
 # -- reuse -----------------------------------------------------------------------
 
 

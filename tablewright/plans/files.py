@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tablewright import skipped_files
+from tablewright import bloom_options, skipped_files, z_ordered
 from tablewright.operators.reuse import session_setting
 from tablewright.plans.registry import query
 from tablewright.sources.scratch import scratch_path
@@ -301,6 +301,16 @@ def sink_partitioned(spark, t):
     return spark.read.parquet(path)
 
 
+@query("SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders")
+def sink_z_ordered(spark, t):
+    # A filter on the customer or on the date skips most row groups, one on the order asks Bloom filters.
+    path = scratch_path(spark, "z-ordered")
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    options = bloom_options(orders, ["o_orderkey"], files=16)
+    z_ordered(orders, ["o_custkey", "o_orderdate"], files=16).write.options(**options).parquet(path)
+    return spark.read.parquet(path)
+
+
 def bucketed(rows, key, buckets):
     """The rows dealt by the bucket they will be written to: few files for each, also for a hot key."""
     dealt = rows.withColumn("bucket_no", F.pmod(F.hash(key), F.lit(buckets)))

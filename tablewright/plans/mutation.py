@@ -8,6 +8,7 @@ from tablewright import (
     AddColumn,
     CastColumn,
     DropColumn,
+    NumberedSchema,
     RenameColumn,
     apply_parent_delete,
     apply_parent_update,
@@ -20,7 +21,9 @@ from tablewright import (
     incremental_rows,
     latest_snapshot,
     primary_key_violations,
+    read_by_id,
     repeated_keys,
+    save_by_id,
     unique_violations,
     upsert,
     upsert_files,
@@ -346,3 +349,24 @@ def evolve_schema_(spark, t):
             AddColumn("currency", "string", "EUR"),
         ],
     )
+
+
+@query(
+    """SELECT o_orderkey, o_totalprice AS price, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS priority
+    FROM orders"""
+)
+def evolve_by_id(spark, t):
+    # Odd orders are written before the changes, even ones after; no file is written twice.
+    path = scratch_path(spark, "orders-by-id")
+    old = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    schema = NumberedSchema.of(old.schema)
+    save_by_id(old.where("o_orderkey % 2 <> 0"), schema, path)
+    changes = [RenameColumn("o_totalprice", "price"), DropColumn("o_orderstatus"), AddColumn("priority", "string")]
+    schema = schema.changed(spark, changes)
+    new = t.orders.where("o_orderkey % 2 = 0")
+    save_by_id(
+        new.select("o_orderkey", F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority")),
+        schema,
+        path,
+    )
+    return read_by_id(spark, schema, path)

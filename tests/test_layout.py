@@ -1,0 +1,88 @@
+import datetime as dt
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from tablewright import bloom_options, z_order_key, z_ordered
+
+
+def row_groups_with(folder, column, value):
+    """How many of the row groups a reader can't skip by minimum and maximum, and how many there are."""
+    hit = total = 0
+    for file in Path(folder).glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.names.index(column)
+        for k in range(meta.num_row_groups):
+            stats = meta.row_group(k).column(at).statistics
+            total += 1
+            hit += stats.min <= value <= stats.max
+    return hit, total
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    # two columns without any relation, neither in the order of the rows
+    return spark.range(0, 60_000, 1, 8).select(
+        (F.xxhash64("id") % 5000).alias("a"), (F.xxhash64(F.lit(1), "id") % 5000).alias("b"), "id"
+    )
+
+
+def test_row_groups_skipped_on_either_column(spark, points, tmp_path):
+    z_ordered(points, ["a", "b"], files=64).write.parquet(str(tmp_path / "z"))
+    points.repartitionByRange(64, "a").write.parquet(str(tmp_path / "by_a"))
+    for column in "ab":
+        hit, total = row_groups_with(tmp_path / "z", column, 1234)
+        assert total == 64 and hit <= 20  # the square root of the files, and some that straddle a cut
+    assert row_groups_with(tmp_path / "by_a", "a", 1234)[0] <= 2
+    assert row_groups_with(tmp_path / "by_a", "b", 1234)[0] == 64
+    back = spark.read.parquet(str(tmp_path / "z"))
+    assert back.exceptAll(points).isEmpty() and points.exceptAll(back).isEmpty()
+
+
+def test_hot_value_is_spread(points):
+    hot = points.withColumn("a", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("a"))).withColumn(
+        "b", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("b"))
+    )
+    sizes = [r[0] for r in z_ordered(hot, ["a", "b"], files=16).groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * 60_000 / 16
+
+
+def test_types_nulls_and_order(spark):
+    rows = [
+        (None, None, None, None, None),
+        ("a", dt.date(2020, 1, 1), True, 1.5, dt.datetime(2020, 1, 1)),
+        ("b", dt.date(2021, 1, 1), False, float("nan"), dt.datetime(2021, 1, 1)),
+        ("ü and a long text", dt.date(1960, 1, 1), None, -2.0, dt.datetime(1950, 1, 1)),
+    ]
+    df = spark.createDataFrame(rows, "s string, d date, o boolean, x double, t timestamp")
+    for name in df.columns:
+        got = df.select(name, z_order_key(df, [name]).alias("z")).filter(F.col(name).isNotNull()).orderBy(name).collect()
+        assert [r.z for r in got] == sorted(r.z for r in got)
+    assert z_ordered(df, df.columns, bits=3).count() == 4
+    empty = df.filter("false")
+    assert z_ordered(empty, ["s", "d"], files=3).count() == 0
+
+
+def test_refusals(spark, points):
+    with pytest.raises(ValueError):
+        z_order_key(points, [])
+    with pytest.raises(ValueError):
+        z_order_key(points, ["a", "b"], bits=32)
+    with pytest.raises(ValueError, match="no order"):
+        z_order_key(points.select(F.array("a").alias("l")), ["l"])
+
+
+def test_bloom_filters_of_the_right_size(spark, points, tmp_path):
+    few = points.withColumn("few", F.col("id") % 10)
+    options = bloom_options(few, ["id", "few"], files=4)
+    assert options["parquet.bloom.filter.enabled#id"] == "true"
+    assert int(options["parquet.bloom.filter.expected.ndv#id"]) == 15_000
+    assert 10 <= int(options["parquet.bloom.filter.expected.ndv#few"]) <= 12
+    few.repartition(4).write.options(**options).parquet(str(tmp_path / "bloom"))
+    few.repartition(4).write.parquet(str(tmp_path / "plain"))
+    size = {n: sum(p.stat().st_size for p in (tmp_path / n).glob("*.parquet")) for n in ("bloom", "plain")}
+    # about ten bits for each of 15,000 values in four files, rounded up to a power of two
+    assert 4 * 10_000 < size["bloom"] - size["plain"] < 4 * 80_000
+    assert spark.read.parquet(str(tmp_path / "bloom")).filter("id = 77").count() == 1
