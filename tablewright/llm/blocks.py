@@ -39,6 +39,17 @@ def unpack(blob: bytes, dtype: str = "<i8") -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, -1).T).view(dtype).ravel()
 
 
+def pack_signed(values: np.ndarray) -> bytes:
+    """Numbers of both signs, the sign in the lowest bit: the upper planes of small ones are then all zeros."""
+    values = values.astype("<i8", copy=False)
+    return pack((values << 1) ^ (values >> 63))
+
+
+def unpack_signed(blob: bytes) -> np.ndarray:
+    values = unpack(blob, "<u8")
+    return (values >> np.uint64(1)).astype("<i8") ^ -(values & np.uint64(1)).astype("<i8")
+
+
 def pack_sorted(keys: np.ndarray) -> bytes:
     """Ascending keys by their differences, which are shorter."""
     return pack(np.diff(keys, prepend=np.uint64(0)))
@@ -103,14 +114,14 @@ def requests_of(
         if part % turns != turn:
             continue
         at = slice(cuts[part], cuts[part + 1])
-        yield block, part, pack_sorted(keys[at]), pack(amounts[at])
+        yield block, part, pack_sorted(keys[at]), pack_signed(amounts[at])
 
 
 def requests_by_rank(block: int, parts: np.ndarray, ranks: np.ndarray, amounts: np.ndarray) -> Iterator[tuple]:
     """As ``requests_of``, for keys that an earlier step has ranked: the range that ranked them knows them by rank."""
     cuts = np.flatnonzero(np.diff(parts, prepend=-1, append=-1)) if len(parts) else np.zeros(1, dtype=np.int64)
     for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        yield block, int(parts[lo]), pack_sorted(ranks[lo:hi].astype(np.uint64)), pack(amounts[lo:hi])
+        yield block, int(parts[lo]), pack_sorted(ranks[lo:hi].astype(np.uint64)), pack_signed(amounts[lo:hi])
 
 
 def per_block(blocks: DataFrame, answers: list[DataFrame] | DataFrame, step: Callable, schema: str) -> DataFrame:
@@ -162,7 +173,7 @@ def sums_of(
         keys = [unpack_sorted(k) for k in rows["keys"]]
         cuts = np.cumsum([len(k) for k in keys])[:-1]
         keys = np.concatenate(keys)
-        amounts = np.concatenate([unpack(a) for a in rows["amounts"]])
+        amounts = np.concatenate([unpack_signed(a) for a in rows["amounts"]])
         order = np.argsort(keys, kind="stable")
         keys, amounts = keys[order], amounts[order]
         firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
