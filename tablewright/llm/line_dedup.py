@@ -24,6 +24,10 @@ from tablewright.sources.scratch import scratch_path
 
 BLANKS = b" \t\n\x0b\x0c\r"
 KEYS_PER_SHARD = 250_000
+HOLDERS = "key binary, doc_id long"
+COUNTS = "key binary, n_docs long, top_doc long"
+FILTERS = "shard int, filter binary"
+SETTINGS = "min_docs long, min_chars long, shards long"
 
 
 class CuckooFilter:
@@ -136,10 +140,40 @@ class LineIndex:
     def __init__(self, spark, *, min_docs: int = 3, min_chars: int = 20):
         self.spark, self.min_docs, self.min_chars = spark, min_docs, min_chars
         self.holders: list[tuple[DataFrame, int]] = []
-        self.counts = spark.createDataFrame([], "key binary, n_docs long, top_doc long")
-        self.filters = spark.createDataFrame([], "shard int, filter binary")
+        self.counts = spark.createDataFrame([], COUNTS)
+        self.filters = spark.createDataFrame([], FILTERS)
         self.shards = 0
 
+    def save(self, path: str) -> None:
+        """Write the state to a new folder, from which a later session can ``open`` it.
+
+        Holders are written as they now are, without what was deleted. The settings come last: a folder without them is
+        a save that was cut short, and can't be opened.
+        """
+        self.compact()
+        for name, df in (("holders", self.holders[0][0]), ("counts", self.counts), ("filters", self.filters)):
+            df.write.parquet(f"{path}/{name}")
+        settings = [(self.min_docs, self.min_chars, self.shards)]
+        self.spark.createDataFrame(settings, SETTINGS).coalesce(1).write.parquet(f"{path}/settings")
+
+    @classmethod
+    def open(cls, spark, path: str) -> LineIndex:
+        """The index that was saved there. What is inserted and deleted from now on leaves the folder as it is."""
+
+        def read(name: str, schema: str) -> DataFrame:
+            return spark.read.schema(schema).parquet(f"{path}/{name}")
+
+        settings = read("settings", SETTINGS).first()
+        made = cls(spark, min_docs=settings.min_docs, min_chars=settings.min_chars)
+        made.holders, made.shards = [(read("holders", HOLDERS), 1)], settings.shards
+        made.counts, made.filters = read("counts", COUNTS), read("filters", FILTERS)
+        return made
+
+    def compact(self) -> None:
+        """One table of holders in place of one for every batch so far."""
+        held = self.current_holders() if self.holders else self.spark.createDataFrame([], HOLDERS)
+        self.holders = [(self._written(held, "line-holders"), 1)]
+
     def _written(self, df: DataFrame, label: str) -> DataFrame:
         path = scratch_path(self.spark, label)
         df.write.parquet(path)
@@ -161,7 +195,7 @@ class LineIndex:
 
             return step
 
-        return self._written(map_batches(documents(docs, **columns), start, "key binary, doc_id long"), "line-keys")
+        return self._written(map_batches(documents(docs, **columns), start, HOLDERS), "line-keys")
 
     def insert(self, keys: DataFrame) -> None:
         """Add documents by their ``keys_of``. Counting combines on the map side, so hot lines do no harm."""

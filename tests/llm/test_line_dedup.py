@@ -92,3 +92,40 @@ def test_filter():
     assert not small.insert(keys[:100])
     with pytest.raises(KeyError):
         CuckooFilter.sized_for(4).delete(keys[:1])
+
+
+def test_saved_in_one_session_and_opened_in_another(spark, tmp_path):
+    shared = "a line that is long enough"
+    docs = spark.createDataFrame(
+        [(k, f"{shared}\nonly document {k} has this one") for k in range(5)], "doc_id long, text string"
+    )
+    index = LineIndex(spark)
+    for k in (0, 1, 2, 3):
+        index.insert(index.keys_of(docs.filter(f"doc_id = {k}")))
+    index.delete(index.keys_of(docs.filter("doc_id = 3")))
+    index.save(str(tmp_path / "index"))
+
+    again = LineIndex.open(spark.newSession(), str(tmp_path / "index"))
+    assert len(again.holders) == 1 and again.shards == index.shards
+    state = lambda i: sorted((bytes(r.key), r.n_docs, r.top_doc) for r in i.counts.collect())
+    assert state(again) == state(index)
+
+    def dropped(*ids):
+        left = docs.filter(docs.doc_id.isin(*ids))
+        return {r.doc_id: r.n_dropped for r in again.dedupe(left, again.keys_of(left)).collect()}
+
+    assert dropped(0, 1, 2) == {0: 1, 1: 1, 2: 0}
+    again.delete(again.keys_of(docs.filter("doc_id = 2")))  # its largest holder, known from before
+    assert dropped(0, 1) == {0: 0, 1: 0}
+    again.insert(again.keys_of(docs.filter("doc_id = 4")))
+    assert dropped(0, 1, 4) == {0: 1, 1: 1, 4: 0}
+    assert LineIndex.open(spark, str(tmp_path / "index")).counts.count() == 4  # the folder is as it was
+
+
+def test_empty_index_saved(spark, tmp_path):
+    LineIndex(spark, min_docs=2, min_chars=5).save(str(tmp_path / "index"))
+    index = LineIndex.open(spark, str(tmp_path / "index"))
+    assert (index.min_docs, index.min_chars, index.shards) == (2, 5, 0)
+    docs = spark.createDataFrame([(1, "a line"), (2, "a line")], "doc_id long, text string")
+    index.insert(index.keys_of(docs))
+    assert {r.doc_id: r.n_dropped for r in index.dedupe(docs, index.keys_of(docs)).collect()} == {1: 1, 2: 0}
