@@ -172,12 +172,14 @@ def delete_from_files_(spark, t):
     END AS o_totalprice FROM orders UNION ALL SELECT -c_custkey, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'"""
 )
 def upsert_files_(spark, t):
-    path = scratch_path(spark, "orders")
-    t.orders.select("o_orderkey", "o_totalprice").repartitionByRange(16, "o_orderkey").write.parquet(path)
-    changed = t.orders.where("o_orderkey % 1000 = 7 AND o_orderstatus = 'F'").select("o_orderkey", F.lit(0.0).alias("o_totalprice"))
-    added = t.customer.where("c_mktsegment = 'BUILDING'").select(-F.col("c_custkey"), "c_acctbal")
-    upsert_files(path, changed.union(added), "o_orderkey")
-    return spark.read.parquet(path)
+    # Both kinds of rows have a key 0, as -0 is 0, so the kind is part of the key.
+    path, kind = scratch_path(spark, "orders"), lambda name: F.lit(name).alias("kind")
+    orders = t.orders.select(kind("order"), "o_orderkey", "o_totalprice")
+    orders.repartitionByRange(16, "o_orderkey").write.parquet(path)
+    changed = t.orders.where("o_orderkey % 1000 = 7 AND o_orderstatus = 'F'").select(kind("order"), "o_orderkey", F.lit(0.0).alias("o_totalprice"))
+    added = t.customer.where("c_mktsegment = 'BUILDING'").select(kind("customer"), -F.col("c_custkey"), "c_acctbal")
+    upsert_files(path, changed.union(added), ["kind", "o_orderkey"])
+    return spark.read.parquet(path).drop("kind")
 
 
 # -- incremental load ------------------------------------------------------------

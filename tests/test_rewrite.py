@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from tablewright import delete_from_files, delete_where, upsert, upsert_files
 from tablewright.sources import swap
 
@@ -82,6 +83,18 @@ def test_upsert_refuses_partitions(spark, tmp_path):
         upsert_files(path, spark.createDataFrame([(1, 1)], "id bigint, p bigint"), "id")
 
 
+def test_query_keeps_order_and_customer_of_key_zero(spark, tmp_path):
+    spark.createDataFrame([(0, 5.0, "O"), (1007, 6.0, "F"), (2, 7.0, "F")], "o_orderkey bigint, o_totalprice double, o_orderstatus string").write.parquet(
+        str(tmp_path / "orders.parquet")
+    )
+    spark.createDataFrame([(0, 8.0, "BUILDING"), (3, 9.0, "BUILDING"), (4, 1.0, "MACHINERY")], "c_custkey bigint, c_acctbal double, c_mktsegment string").write.parquet(
+        str(tmp_path / "customer.parquet")
+    )
+    got = queries()["upsert_files"](spark, str(tmp_path))
+    assert got.columns == ["o_orderkey", "o_totalprice"]
+    assert sorted(rows(got)) == [(-3, 9.0), (0, 5.0), (0, 8.0), (2, 7.0), (1007, 0.0)]
+
+
 @pytest.mark.parametrize("after", range(5))
 def test_cut_short(spark, flat, monkeypatch, after):
     want = rows(spark.read.parquet(flat).where("id > 250"))
