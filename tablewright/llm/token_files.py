@@ -9,6 +9,7 @@ the documents that begin in it. Documents may run over several chunks, never ove
 from __future__ import annotations
 
 import json
+import re
 import zlib
 
 import numpy as np
@@ -19,11 +20,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tablewright.llm.bpe import ENDS, SIMPLE_CHUNK, byte_level, is_letters, pack_ids, read_spec
+from tablewright.llm.bpe import SIMPLE_CHUNK, byte_level, read_spec
 from tablewright.llm.rows import Recent, documents, has_whole_ids, map_batches, shown
 
 BLOCK = 1 << 16
-SPACE = byte_level(" ")
 CHUNK_SCHEMA = (
     "shard int, chunk int, first long, n_ids int, crc32 long, planes array<binary>, "
     "docs array<struct<doc_id: {}, start: long, n_tokens: long>>"
@@ -32,6 +32,38 @@ CHUNK_SCHEMA = (
 
 #: Fixed value: how a byte-level pre-tokenizer cuts a text.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Latin letters whose class is the same everywhere, and signs after them, which are always cut off as one piece.
+LETTERS_AND_SIGNS = re.compile("([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f]+)([!-&(-/:-@[-`{-~]*)").fullmatch
+
+
+class Words(Recent):
+    """A cache of words' ids, each word after a fixed text."""
+
+    def __init__(self, encoder: SpacedEncoder, before: str, size: int):
+        super().__init__(encoder.piece, size)
+        self.before, self.start, self.tokenize = before, byte_level(before), encoder.model.tokenize
+        self.packed, self.signs = encoder.packed, encoder.signs
+
+    def __missing__(self, word: str):
+        if "\n" in word:
+            before, *lines = word.split("\n")
+            return self.line_end.join([self[before], *[self.first[w] for w in lines]])
+        value = self.last.get(word)
+        if value is None:
+            parts = LETTERS_AND_SIGNS(word)
+            if parts is None:
+                value = self.make()(word, self.before + word)
+            elif parts[2]:
+                value = self[parts[1]] + self.signs[parts[2]]
+            else:
+                # For one word the library's model is called directly, which saves most of the time.
+                letters = self.start + (word if word.isascii() else byte_level(word))
+                value = b"".join([self.packed[t.id] for t in self.tokenize(letters)])
+        if len(self) >= self.size:
+            self.last = dict(self)
+            self.clear()
+        self[word] = value
+        return value
 
 
 class SpacedEncoder:
@@ -48,45 +80,38 @@ class SpacedEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.model, self.cut = self.library.model, regex.compile(BYTE_LEVEL_WORDS).findall
-        cutter = json.loads(spec)["pre_tokenizer"]
+        told = json.loads(spec)
+        cutter = told["pre_tokenizer"]
         if cutter["type"] != "ByteLevel" or cutter["add_prefix_space"] or not cutter["use_regex"]:
             raise ValueError("only plain byte-level tokenizers are handled")
         self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
-        self.first = Recent(lambda w: self.piece(w, w), 50_000)
-        self.rest = Recent(lambda w: self.piece(w, " " + w), 400_000)
+        self.packed = [n.to_bytes(4, "little") for n in range(max(told["model"]["vocab"].values()) + 1)]
         self.signs = Recent(self.whole)
+        self.first, self.rest = Words(self, "", 50_000), Words(self, " ", 400_000)
         self.line_end = self.whole("\n")
+        self.rest.line_end, self.rest.first = self.line_end, self.first
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def piece(self, word: str, text: str):
-        """A tuple marks a word that can't be encoded by itself.
-
-        For one word the library's model is called directly, which saves most of the time.
-        """
+        """What is not letters, or letters and signs; a tuple marks a word that can't be encoded by itself."""
         if not word or word[0].isspace() or word[-1].isspace():
             return ()
-        if is_letters(word):
-            letters = byte_level(word)
-            return pack_ids([t.id for t in self.model.tokenize(letters if text is word else SPACE + letters)])
-        if word[-1] in ENDS and is_letters(word[:-1]) and text[0] == " ":
-            return self.rest[word[:-1]] + self.signs[word[-1]]
         if not SIMPLE_CHUNK.fullmatch(word):
             return self.whole(text)
-        return pack_ids([t.id for w in self.cut(text) for t in self.model.tokenize(byte_level(w))])
+        return b"".join([self.packed[t.id] for w in self.cut(text) for t in self.model.tokenize(byte_level(w))])
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if any(s in text for s in self.special):
             return self.whole(text)
-        made = []
-        for line in text.split("\n"):
-            words = line.split(" ")
-            made += [self.line_end, self.first[words[0]], *map(self.rest.__getitem__, words[1:])]
+        words = text.split(" ")
+        start = words[0].split("\n")
         try:
-            return b"".join(made[1:])
+            made = self.line_end.join([self.first[w] for w in start])
+            return made + b"".join(map(self.rest.__getitem__, words[1:]))
         except TypeError:
             return self.whole(text)
 

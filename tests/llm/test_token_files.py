@@ -64,3 +64,24 @@ def test_words_that_begin_with_white_space(blank):
             text = text.format(blank * n)
             ids = library.encode(text, add_special_tokens=False).ids
             assert cut.encode(text) == struct.pack(f"<{len(ids)}I", *ids), repr(text)
+
+
+def test_signs_after_a_word_cost_no_encoding_of_the_word():
+    library = Tokenizer.from_file(PATH)
+    cut = SpacedEncoder(read_spec(PATH))
+    asked, tokenize = [], cut.model.tokenize
+    cut.rest.tokenize = lambda word: asked.append(word) or tokenize(word)
+    text = "x naming naming$$$ naming,%%% naming\nnaming... naming\n\"naming! größer größer&& naming'' naming's (naming) a.b 3rd ª!"
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert cut.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
+    assert [w for w in asked if w.endswith("naming")] == ["\u0120naming"]
+
+
+@pytest.mark.parametrize("sign", [*"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'", "'s", "'s,", "'ll!", "1", "_a"])
+def test_words_and_signs(sign):
+    library = Tokenizer.from_file(PATH)
+    cut = SpacedEncoder(read_spec(PATH))
+    for text in ("x foo{}", "foo{} foo{}", "x\nfoo{0}{0} y\nfoo{0}.{0}", "é{}\né{} É{}x", "{0} {0}{0}\n{0}\nx {0}"):
+        text = text.format(sign, sign, sign)
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert cut.encode(text) == struct.pack(f"<{len(ids)}I", *ids), repr(text)
