@@ -1,14 +1,14 @@
 """License scans: how much a template helps to compress a block names the license, its wording confirms it.
 
-A license is a place in a candidate block of words where a template's wording stands with few enough
-differing words. Where such places overlap, the words there are compressed by themselves and with
-each template as zstandard raw dictionary, and the template that saves most bytes comes first. What lies
-between the places is searched again, until no template is confirmed.
+A candidate block of words is compressed by itself and with each template as zstandard raw dictionary; the templates
+are ranked by the bytes they save. In that order they are compared with the block word by word, and the first whose wording
+stands there with few enough differing words is confirmed. Where it stands more than once, the words around each of these
+places are ranked again by themselves, as another template may fit one of them better. What lies between the
+confirmed places is searched again in the same way, until no template is confirmed.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections import defaultdict
 from functools import cached_property
 
@@ -124,36 +124,51 @@ def blocks_of(words: list[bytes], templates: list[Template]) -> list[tuple[int,
     return merged(spans)
 
 
+def ranked(words: list[bytes], lo: int, hi: int, templates: list[Template]) -> list[tuple[int, Template]]:
+    """(bytes saved, template) of all templates, the one that helps most to compress ``words[lo:hi]`` first."""
+    data = b" ".join(words[lo:hi])
+    alone = len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(data))
+    saved = [(alone - len(t.compressor.compress(data)), t) for t in templates]
+    return sorted(saved, key=lambda x: (-x[0], x[1].name))
+
+
+def winner(words: list[bytes], lo: int, hi: int, templates: list[Template]) -> tuple[int, Template | None, list[tuple[int, int, int]]]:
+    """(bytes saved, template, its places) of the first in rank that is confirmed; those behind it are not compared."""
+    for saved, t in ranked(words, lo, hi, templates):
+        if places := t.matches(words, lo, hi):
+            return saved, t, sorted(places, key=lambda p: p[1])
+    return 0, None, []
+
+
+def winners(words: list[bytes], lo: int, hi: int, templates: list[Template]) -> list[tuple[int, int, str, int, int]]:
+    """The winner's place in ``words[lo:hi]``; of several the winners around each, in order, none overlapping."""
+    taken, parts = [], [(lo, hi)]
+    while parts:
+        a, b = parts.pop()
+        a = max(a, taken[-1][1]) if taken else a
+        saved, t, places = winner(words, a, b, templates)
+        if len(places) == 1:
+            (n, at, end), = places
+            taken.append((at, end, t.name, n, saved))
+        elif places:
+            ends = [a, *(end for _, _, end in places[:-1])], [*(at for _, at, _ in places[1:]), b]
+            parts += reversed(list(zip(*ends, strict=True)))
+    return taken
+
+
 def licenses_of(words: list[bytes], lo: int, hi: int, templates: list[Template]) -> list[tuple[int, int, str, int, int]]:
     """(start, end, license, differing words, bytes saved) of all places in a block, in order; none overlap.
 
-    Bytes are compared over the words from the place before to the place after, or the block's ends.
+    Bytes are compared over the words that the winner was ranked for: at most from the place before to the place after.
     """
-    plain, found, open_parts = zstandard.ZstdCompressor(level=3, write_content_size=False), [], [(lo, hi)]
+    found, open_parts = [], [(lo, hi)]
     while open_parts:
         lo, hi = open_parts.pop()
-        close = [(at, end, n, t) for t in templates for n, at, end in t.matches(words, lo, hi)]
-        if not close:
-            continue
-        heaps = merged((at, end) for at, end, _, _ in close)
-        ends = [lo, *(end for _, end in heaps[:-1])], [*(at for at, _ in heaps[1:]), hi]
-        of = defaultdict(list)
-        starts = [at for at, _ in heaps]
-        for match in close:
-            of[bisect_right(starts, match[0]) - 1].append(match)
-        taken: list[tuple] = []
-        for k, (before, after) in enumerate(zip(*ends, strict=True)):
-            data = b" ".join(words[before:after])
-            alone = len(plain.compress(data))
-            saved = {t.name: alone - len(t.compressor.compress(data)) for t in {m[3].name: m[3] for m in of[k]}.values()}
-            own: list[tuple] = []
-            for at, end, n, t in sorted(of[k], key=lambda m: (-saved[m[3].name], m[3].name, m[2], m[0])):
-                if all(end <= x[0] or x[1] <= at for x in own):
-                    own.append((at, end, t.name, n, saved[t.name]))
-            taken += own
-        taken.sort()
+        taken = winners(words, lo, hi, templates)
         found += taken
-        open_parts += zip([lo, *(x[1] for x in taken)], [*(x[0] for x in taken), hi], strict=True)
+        if taken:
+            for a, b in zip([lo, *(x[1] for x in taken)], [*(x[0] for x in taken), hi], strict=True):
+                open_parts += [(a + x, a + y) for x, y in blocks_of(words[a:b], templates)]
     return sorted(found)
 
 

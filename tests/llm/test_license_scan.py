@@ -1,7 +1,7 @@
 import random
 
 from tablewright.llm.decontaminate import words_of
-from tablewright.llm.license_scan import TEMPLATES, Template, blocks_of, license_scan, licenses_of, make_templates, scan
+from tablewright.llm.license_scan import TEMPLATES, Template, blocks_of, license_scan, licenses_of, make_templates, ranked, scan
 
 OWN = {"A": "you may copy share and change this text for any purpose you like", "B": "all use of this text is forbidden"}
 
@@ -103,3 +103,19 @@ def test_overlapping_wordings_are_ranked():
     assert [f[:2] for f in scan(both + " " + both, made)[1]] == [("CC-BY-4.0", 0), ("CC-BY-NC-4.0", 0)] * 2
     many = scan((TEMPLATES["MIT"] + " " + TEMPLATES["Apache-2.0"] + " ") * 2000, made)[1]
     assert [f[0] for f in many] == ["MIT", "Apache-2.0"] * 2000
+
+
+def test_only_the_winner_of_the_ranking_is_compared(monkeypatch):
+    made, compared, matches = make_templates(TEMPLATES, 0.1), [], Template.matches
+    monkeypatch.setattr(Template, "matches", lambda t, words, lo, hi: compared.append(t.name) or matches(t, words, lo, hi))
+    for name, text in TEMPLATES.items():
+        compared.clear()
+        assert [f[0] for f in scan(f"Lorem ipsum. {text} Dolor sit.", made)[1]] == [name]
+        assert compared == [name]
+
+
+def test_next_in_rank_is_compared_if_the_first_fails():
+    made = make_templates({"long": "one two three four five six seven eight nine ten", "short": "six seven eight"}, 0.0)
+    words = words_of("one two three four five six seven eight")
+    assert [t.name for _, t in ranked(words, 0, len(words), made)] == ["long", "short"]
+    assert [f[:2] for f in scan(b" ".join(words).decode(), made)[1]] == [("short", 0)]
