@@ -49,6 +49,23 @@ def test_hot_value_is_spread(points):
     assert len(sizes) == 16 and max(sizes) < 3 * 60_000 / 16
 
 
+def test_key_is_worked_out_once_for_each_row(points):
+    plan = z_ordered(points, ["a", "b"], files=4)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    steps = [line for line in plan if "RepartitionByExpression" in line or "Sort [" in line]
+    assert len(steps) == 2 and not any("CASE WHEN" in line for line in steps)
+    # one search for each column, not one for each of its bits
+    assert sum(line.count(" AS code_") for line in plan) == 2
+    assert len([line for line in plan if "CASE WHEN" in line]) == 1
+
+
+def test_own_columns_named_like_the_key(spark):
+    names = ["number_0", "code_0", "z_key", "row_hash"]
+    rows = [(k % 7, k % 3, k, -k) for k in range(50)]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} long" for n in names))
+    out = z_ordered(df, ["z_key", "code_0"], files=3)
+    assert out.columns == names and sorted(map(tuple, out.collect())) == sorted(rows)
+
+
 def test_types_nulls_and_order(spark):
     rows = [
         (None, None, None, None, None),
